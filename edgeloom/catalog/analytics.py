@@ -1 +1,114 @@
-QUERIES = {}
+"""Analytical queries. Windows and thresholds are widened from their per-minute defaults
+where a month of sparse traffic would leave nothing to report."""
+
+from __future__ import annotations
+
+from edgeloom.operators import rollups
+from edgeloom.plans import capacity, compliance, content, cost, performance, security, series, users
+
+
+def on_logs(plan, *args, **options):
+    """Bind a ``plan(logs, as_of, ...)``."""
+
+    def query(t):
+        return plan(t.logs, t.as_of, *args, **options)
+
+    return query
+
+
+def on_all(plan, **options):
+    return lambda t: plan(t.logs, **options)
+
+
+def on_recent(plan, rollup, window, **options):
+    """Bind a plan to the recent part of a roll-up."""
+    return lambda t: plan(t.recent(rollup, window), **options)
+
+
+QUERIES = {
+    # performance
+    "slowest_paths": on_logs(performance.slowest_paths, window="7 days", min_requests=5),
+    "geo_performance": on_logs(performance.geo_performance, min_requests=10),
+    "download_completion": on_logs(performance.download_completion, min_initiated=5),
+    "errors_by_device": on_logs(performance.errors_by_device, window="7 days"),
+    "perf_by_device_network": on_logs(performance.perf_by_device_network),
+    "perf_by_region": on_logs(performance.perf_by_region),
+    "perf_by_device_share": on_logs(performance.perf_by_device_share),
+    "journey_steps": on_logs(performance.journey_steps),
+    "ux_summary": on_logs(performance.ux_summary),
+    "ux_daily": on_logs(performance.ux_daily),
+    "endpoint_health": on_logs(performance.endpoint_health, window="7 days"),
+    "top_errors": on_logs(performance.top_errors, window="7 days"),
+    "slowest_30d": on_logs(performance.slowest_by_first_byte),
+    # cost and caching
+    "cache_by_content_type": on_logs(cost.cache_by_content_type),
+    "origin_offload": on_logs(cost.origin_offload),
+    "expensive_traffic": on_logs(cost.expensive_traffic),
+    "daily_cdn_cost": on_logs(cost.daily_cdn_cost),
+    "business_daily": on_logs(cost.business_daily),
+    "hourly_cost_pattern": on_logs(cost.hourly_cost_pattern),
+    "cache_opportunity": on_logs(cost.cache_opportunity, min_requests=100),
+    # security
+    "attack_sources": on_logs(security.attack_sources, window="7 days", min_requests=10),
+    "bot_traffic": on_logs(security.bot_traffic, min_requests=5),
+    "waf_rule_effectiveness": on_logs(security.waf_rule_effectiveness),
+    "security_overview": on_logs(security.security_overview),
+    "security_daily": on_logs(security.security_daily),
+    "threats_by_type": on_logs(security.threats_by_type),
+    "geo_risk": on_logs(security.geo_risk),
+    "fraud_risk": on_logs(security.fraud_risk, window="30 days"),
+    "ddos_sources": on_logs(security.ddos_sources, window="1 day", flood=5, focused=2, few_paths=3),
+    # content
+    "popular_content": on_logs(content.popular_content, min_views=10),
+    "stale_content": on_logs(content.stale_content),
+    "content_mix": on_logs(content.content_mix),
+    "edgeworker_usage": on_logs(content.edgeworker_usage),
+    "hot_products": on_logs(content.hot_products, window="30 days", pattern="/api/products/%"),
+    # capacity
+    "traffic_per_minute": on_logs(capacity.traffic_per_minute, window="24 hours"),
+    "seasonality": on_logs(capacity.seasonality),
+    "current_rps": on_logs(capacity.current_rps),
+    "capacity_peak": on_all(capacity.capacity_peak),
+    "daily_traffic": on_logs(capacity.daily_traffic),
+    "rps_per_minute": on_logs(capacity.rps_per_minute, window="24 hours"),
+    "noc_now": on_logs(capacity.noc_now, minutes=360),
+    "monthly_growth": on_logs(capacity.monthly_growth),
+    "daily_growth": on_logs(capacity.growth_by_period, grain="day", history="30 days"),
+    "growth_projection": on_logs(capacity.growth_projection),
+    "growth_trend": on_logs(capacity.growth_trend),
+    "peak_pattern": on_recent(capacity.peak_pattern, rollups.endpoint_summary, "30 days"),
+    # compliance and headline figures
+    "gdpr_report": on_logs(compliance.gdpr_report, purge_days=7),
+    "sla_report": on_logs(compliance.sla_report),
+    "compliance_status": on_logs(compliance.compliance_status),
+    "exec_kpis": on_logs(compliance.exec_kpis),
+    "exec_kpis_daily": on_logs(compliance.exec_kpis_daily),
+    "log_totals": on_all(compliance.log_totals),
+    "requests_by_country": on_all(compliance.requests_by_country),
+    "status_percentages": on_all(compliance.status_percentages),
+    "cache_ratio": on_all(compliance.cache_ratio),
+    "traffic_7d_by_country": on_logs(compliance.traffic_by_country),
+    # visitors and customers
+    "signup_funnel": on_logs(users.signup_funnel, window="30 days"),
+    "high_intent_users": on_logs(
+        users.high_intent_users, window="30 days", gap="6 hours", min_views=1, min_avg_seconds=10,
+        seen_within="7 days",
+    ),
+    "user_personas": on_logs(users.user_personas, gap="6 hours"),
+    "churn_risk": on_logs(users.churn_risk, gap="6 hours", min_score=3),
+    "tier_conversion": lambda t: users.tier_conversion(t.table("customer"), t.table("orders")),
+    "regional_analytics": lambda t: users.regional_analytics(
+        t.table("customer"), t.table("orders"), t.table("nation"), t.table("region")
+    ),
+    # series over roll-ups
+    "requests_per_second": on_recent(series.requests_per_second, rollups.endpoint_summary, "24 hours"),
+    "error_rate_series": on_recent(series.error_rate_series, rollups.endpoint_summary, "24 hours"),
+    "p95_series": on_recent(series.p95_series, rollups.endpoint_summary, "24 hours"),
+    "top_endpoints": on_recent(series.top_endpoints, rollups.endpoint_summary, "24 hours"),
+    "busiest_windows": on_recent(series.busiest_windows, rollups.endpoint_summary, "24 hours"),
+    "slow_endpoints": on_recent(series.slow_endpoints, rollups.endpoint_summary, "30 days"),
+    "error_rate_spike": on_recent(series.error_rate_spike, rollups.endpoint_summary, "24 hours"),
+    "hourly_series": on_recent(series.hourly_series, rollups.hourly_metrics, "24 hours"),
+    "regrouped_series": on_recent(series.regrouped_series, rollups.hourly_metrics, "24 hours"),
+    "hourly_error_rate": on_recent(series.hourly_error_rate, rollups.hourly_metrics, "24 hours"),
+}

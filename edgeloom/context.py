@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from edgeloom.fixture_logs import ACCESS_LOGS_SELECT
-from edgeloom.functions.exprs import TS, instant
+from edgeloom.functions.exprs import TS, instant, since
 
 
 class LogTables:
@@ -37,3 +37,9 @@ class LogTables:
         if self._as_of is not None:
             return instant(self._as_of)
         return self.table("events").agg(F.max("ts").alias(TS)).scalar()
+
+    def recent(self, rollup, window: str, start: str = "window_start") -> DataFrame:
+        """Roll-up rows whose window began within ``window`` of ``as_of``. The log is cut
+        to the same bound first, so only that range is scanned and aggregated."""
+        cut = since(self.logs, self.as_of, window, inclusive=True)
+        return since(rollup(cut), self.as_of, window, ts=start, inclusive=True)

@@ -85,3 +85,10 @@ CTES["user_summary"] = """
 SELECT window_start, ip, count(*) AS request_count, count(DISTINCT endpoint) AS endpoints_accessed,
        max(request_timestamp) AS last_seen
 FROM web GROUP BY window_start, ip"""
+
+# Session numbers per user for a pause of more than six hours.
+CTES["sessions_6h"] = """
+SELECT user_id, ts, v, c, sum(opens) OVER (PARTITION BY user_id ORDER BY ts, req_id) AS no FROM (
+  SELECT user_id, req_id, request_timestamp AS ts, contains(req_path, '/products/')::INT AS v, contains(req_path, '/cart')::INT AS c,
+         CASE WHEN request_timestamp - lag(request_timestamp) OVER (PARTITION BY user_id ORDER BY request_timestamp, req_id) <= INTERVAL 6 HOUR
+              THEN 0 ELSE 1 END AS opens FROM access_logs)"""
