@@ -42,7 +42,7 @@ def presentable(df: DataFrame) -> DataFrame:
         col = F.col(f"`{field.name}`")
         if isinstance(field.dataType, T.TimestampType):
             col = col.cast("timestamp_ntz")
-        elif isinstance(field.dataType, (T.DoubleType, T.FloatType)):
+        elif isinstance(field.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
             col = F.round(col.cast("double"), 6)
         cols.append(col.alias(field.name))
     return df.select(*cols)

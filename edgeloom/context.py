@@ -7,7 +7,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edgeloom.fixture_logs import ACCESS_LOGS_SELECT
+from edgeloom.fixture_logs import ACCESS_LOGS_SELECT, DIRTY_LOGS_SELECT, PIPELINE_TABLES
 from edgeloom.functions.exprs import TS, instant, since
 
 
@@ -43,3 +43,15 @@ class LogTables:
         to the same bound first, so only that range is scanned and aggregated."""
         cut = since(self.logs, self.as_of, window, inclusive=True)
         return since(rollup(cut), self.as_of, window, ts=start, inclusive=True)
+
+    def pipeline(self, name: str) -> DataFrame:
+        """A pipeline-metric table (see ``fixture_logs.PIPELINE_TABLES``)."""
+        select, tail = PIPELINE_TABLES[name]
+        return self.spark.sql(f"{select} FROM {{events}}{tail}", events=self.table("events"))
+
+    def recent_metrics(self, name: str, window: str) -> DataFrame:
+        return since(self.pipeline(name), self.as_of, window, ts="timestamp", inclusive=True)
+
+    @cached_property
+    def dirty_logs(self) -> DataFrame:
+        return self.spark.sql(DIRTY_LOGS_SELECT + " FROM {logs}", logs=self.logs)

@@ -52,3 +52,78 @@ SELECT
   concat('c', user_id)                               AS cookie,
   concat('198.51.100.', user_id % 250)               AS x_forwarded_for
 """
+
+# Pipeline-metric tables, derived from the same events. Text for Spark SQL and DuckDB;
+# the caller completes each with "FROM <events>" and, where present, its GROUP BY.
+_JOB_GROUP = " GROUP BY date_trunc('hour', ts), user_id % 4"
+
+PIPELINE_TABLES: dict[str, tuple[str, str]] = {
+    "ingestion_requests": (
+        """SELECT ts AS timestamp, concat('r', event_id) AS request_id,
+  CAST(CASE WHEN event_type = 'error' THEN 400 ELSE 201 END AS INT) AS http_status""", ""),
+    "bundle_processing": (
+        """SELECT ts AS timestamp, concat('r', event_id) AS request_id,
+  CAST((event_id * 37) % 900 AS BIGINT) AS total_processing_time_ms, CAST((event_id * 17) % 90 AS BIGINT) AS decompression_time_ms,
+  CAST((event_id * 29) % 400 AS BIGINT) AS kafka_write_time_ms, CAST(900 + event_id % 100 AS BIGINT) AS valid_lines,
+  CAST(CASE WHEN event_type = 'error' THEN event_id % 50 ELSE 0 END AS BIGINT) AS invalid_lines""", ""),
+    "kafka_production_metrics": (
+        """SELECT ts AS timestamp, CAST(900 + event_id % 100 AS BIGINT) AS records_successful,
+  CAST(CASE WHEN event_type = 'error' THEN event_id % 7 ELSE 0 END AS BIGINT) AS records_failed""", ""),
+    "failed_bundles": (
+        """SELECT ts AS timestamp, concat('r', event_id) AS request_id,
+  CASE event_id % 3 WHEN 0 THEN 'decompress' WHEN 1 THEN 'parse' ELSE 'publish' END AS failure_stage,
+  CASE event_id % 2 WHEN 0 THEN 'CorruptBundle' ELSE 'Timeout' END AS error_type,
+  concat('bundle r', event_id, ' from user ', user_id, ' failed: ', repeat('detail ', CAST(1 + event_id % 40 AS INT))) AS error_message""",
+        " WHERE event_type = 'error'"),
+    "kafka_consumer_lag": (
+        """SELECT ts AS timestamp, concat('group-', user_id % 2) AS consumer_group,
+  CASE event_id % 2 WHEN 0 THEN 'access-logs' ELSE 'access-metrics' END AS topic,
+  CAST(event_id % 3 AS INT) AS partition_id, CAST((event_id * 37) % 2500 AS BIGINT) AS lag_count""", ""),
+    "kafka_topic_metrics": (
+        """SELECT ts AS timestamp, CASE event_id % 2 WHEN 0 THEN 'access-logs' ELSE 'access-metrics' END AS topic,
+  CAST(3 + 3 * (event_id % 2) AS INT) AS partition_count, CAST(2 AS INT) AS replication_factor""", ""),
+    "ingestion_realtime_metrics": (
+        "SELECT concat(event_type, '_total') AS metric_name, CAST(count(*) AS DOUBLE) AS metric_value",
+        " GROUP BY event_type"),
+    "processing_metrics": (
+        """SELECT concat('job-', CAST(min(user_id % 4) AS STRING), '-', CAST(min(event_id) AS STRING)) AS job_id,
+  max(ts) AS timestamp, 'processing' AS stage, count(*) AS lines_read,
+  count(*) FILTER (WHERE event_type <> 'error' AND event_id % 331 <> 0) AS lines_processed,
+  count(*) FILTER (WHERE event_type <> 'error' AND event_id % 331 <> 0) AS lines_stored,
+  count(*) FILTER (WHERE event_type = 'error') AS lines_failed,
+  CAST(round(100.0 * count(*) FILTER (WHERE event_type <> 'error' AND event_id % 331 <> 0) / count(*), 2) AS DECIMAL(5,2)) AS success_rate,
+  CAST(count(*) * 211 AS BIGINT) AS throughput_lines_per_sec,
+  CAST(sum((event_id * 7907) % 47000) AS BIGINT) AS processing_duration_ms,
+  CAST(max(ts) AS DATE) AS partition_date,
+  CASE WHEN count(*) FILTER (WHERE event_id % 113 = 0) > 0 THEN 'write timeout' END AS error_message,
+  CAST(count(*) FILTER (WHERE event_id % 113 = 0) AS INT) AS error_count""", _JOB_GROUP),
+    "spark_processing_metrics": (
+        """SELECT max(ts) AS timestamp, concat('job-', CAST(min(user_id % 4) AS STRING), '-', CAST(min(event_id) AS STRING)) AS job_id,
+  'batch' AS processing_mode, count(*) AS records_read,
+  count(*) FILTER (WHERE event_type <> 'error') AS records_processed, count(*) FILTER (WHERE event_id % 41 = 0) AS records_skipped,
+  count(*) FILTER (WHERE event_type = 'error') AS records_failed, CAST(sum((event_id * 7907) % 47000) AS BIGINT) AS processing_time_ms""",
+        _JOB_GROUP),
+    "spark_failed_records": (
+        """SELECT ts AS timestamp, concat('job-', user_id % 4, '-', event_id) AS job_id, 'parse' AS failure_stage,
+  CASE event_id % 2 WHEN 0 THEN 'BadTimestamp' ELSE 'BadStatus' END AS error_type,
+  concat('line ', event_id, ': ', repeat('unexpected token ', CAST(1 + event_id % 15 AS INT))) AS error_message""",
+        " WHERE event_type = 'error'"),
+    "ingestion_metrics": (
+        """SELECT ts AS timestamp, concat('i-', user_id % 3) AS instance_id,
+  CASE event_id % 3 WHEN 0 THEN 'queue_depth' WHEN 1 THEN 'disk_usage_pct' ELSE 'health_check' END AS metric_name,
+  CAST(CASE event_id % 3 WHEN 0 THEN (event_id * 13) % 1000 WHEN 1 THEN (event_id * 7) % 100 ELSE 1 END AS DOUBLE) AS metric_value""", ""),
+    "kafka_metrics": (
+        """SELECT ts AS timestamp, concat('k-', user_id % 3) AS instance_id, 'consumer_lag' AS metric_name,
+  CAST((event_id * 7919) % 130000 AS DOUBLE) AS metric_value""", ""),
+}
+
+# The access log with the defects the quality checks look for.
+DIRTY_LOGS_SELECT = """
+SELECT req_id, session_id, req_path,
+  CASE WHEN req_id % 53 <> 0 THEN cli_ip END AS cli_ip,
+  CASE WHEN req_id % 59 = 0 THEN 999 WHEN req_id % 61 <> 0 THEN status_code END AS status_code,
+  CASE WHEN req_id % 67 = 0 THEN -1 - bytes ELSE bytes END AS bytes,
+  CASE WHEN req_id % 71 = 0 THEN request_timestamp + INTERVAL 400 DAY ELSE request_timestamp END AS request_timestamp,
+  CASE WHEN req_id % 73 <> 0 THEN country END AS country,
+  CAST(request_timestamp AS DATE) AS partition_date
+"""

@@ -1,6 +1,6 @@
 """Shared CTEs of the checks, in dependency order."""
 
-from edgeloom.fixture_logs import ACCESS_LOGS_SELECT
+from edgeloom.fixture_logs import ACCESS_LOGS_SELECT, DIRTY_LOGS_SELECT, PIPELINE_TABLES
 
 CTES: dict[str, str] = {}
 
@@ -92,3 +92,8 @@ SELECT user_id, ts, v, c, sum(opens) OVER (PARTITION BY user_id ORDER BY ts, req
   SELECT user_id, req_id, request_timestamp AS ts, contains(req_path, '/products/')::INT AS v, contains(req_path, '/cart')::INT AS c,
          CASE WHEN request_timestamp - lag(request_timestamp) OVER (PARTITION BY user_id ORDER BY request_timestamp, req_id) <= INTERVAL 6 HOUR
               THEN 0 ELSE 1 END AS opens FROM access_logs)"""
+
+for _name, (_select, _tail) in PIPELINE_TABLES.items():
+    CTES[_name] = f"{_select} FROM events{_tail}"
+
+CTES["dirty_logs"] = DIRTY_LOGS_SELECT + " FROM access_logs"
