@@ -7,7 +7,9 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edgeloom.fixture_logs import ACCESS_LOGS_SELECT, DIRTY_LOGS_SELECT, PIPELINE_TABLES
+from edgeloom.fixture_logs import (
+    ACCESS_LOGS_SELECT, DIRTY_LOGS_SELECT, PIPELINE_TABLES, REPLAYED_LOGS_SELECT,
+)
 from edgeloom.functions.exprs import TS, instant, since
 
 
@@ -55,3 +57,7 @@ class LogTables:
     @cached_property
     def dirty_logs(self) -> DataFrame:
         return self.spark.sql(DIRTY_LOGS_SELECT + " FROM {logs}", logs=self.logs)
+
+    @cached_property
+    def replayed_logs(self) -> DataFrame:
+        return self.spark.sql(REPLAYED_LOGS_SELECT, logs=self.logs)

@@ -86,7 +86,7 @@ PIPELINE_TABLES: dict[str, tuple[str, str]] = {
         "SELECT concat(event_type, '_total') AS metric_name, CAST(count(*) AS DOUBLE) AS metric_value",
         " GROUP BY event_type"),
     "processing_metrics": (
-        """SELECT concat('job-', CAST(min(user_id % 4) AS STRING), '-', CAST(min(event_id) AS STRING)) AS job_id,
+        """SELECT concat('job-', CAST(max(user_id % 4) AS STRING), '-', CAST(CAST(max(ts) AS DATE) AS STRING), '-', CAST(hour(max(ts)) AS STRING)) AS job_id,
   max(ts) AS timestamp, 'processing' AS stage, count(*) AS lines_read,
   count(*) FILTER (WHERE event_type <> 'error' AND event_id % 331 <> 0) AS lines_processed,
   count(*) FILTER (WHERE event_type <> 'error' AND event_id % 331 <> 0) AS lines_stored,
@@ -98,7 +98,7 @@ PIPELINE_TABLES: dict[str, tuple[str, str]] = {
   CASE WHEN count(*) FILTER (WHERE event_id % 113 = 0) > 0 THEN 'write timeout' END AS error_message,
   CAST(count(*) FILTER (WHERE event_id % 113 = 0) AS INT) AS error_count""", _JOB_GROUP),
     "spark_processing_metrics": (
-        """SELECT max(ts) AS timestamp, concat('job-', CAST(min(user_id % 4) AS STRING), '-', CAST(min(event_id) AS STRING)) AS job_id,
+        """SELECT max(ts) AS timestamp, concat('job-', CAST(max(user_id % 4) AS STRING), '-', CAST(CAST(max(ts) AS DATE) AS STRING), '-', CAST(hour(max(ts)) AS STRING)) AS job_id,
   'batch' AS processing_mode, count(*) AS records_read,
   count(*) FILTER (WHERE event_type <> 'error') AS records_processed, count(*) FILTER (WHERE event_id % 41 = 0) AS records_skipped,
   count(*) FILTER (WHERE event_type = 'error') AS records_failed, CAST(sum((event_id * 7907) % 47000) AS BIGINT) AS processing_time_ms""",
@@ -117,13 +117,22 @@ PIPELINE_TABLES: dict[str, tuple[str, str]] = {
   CAST((event_id * 7919) % 130000 AS DOUBLE) AS metric_value""", ""),
 }
 
-# The access log with the defects the quality checks look for.
+# The access log with the defects the quality checks look for. ``seen_at`` is the time a
+# row was read, ``job_id`` the processing job that read it.
 DIRTY_LOGS_SELECT = """
-SELECT req_id, session_id, req_path,
+SELECT req_id, req_path, request_timestamp AS seen_at,
+  concat('job-', user_id % 4, '-', CAST(request_timestamp AS DATE), '-', hour(request_timestamp)) AS job_id,
+  CAST(request_timestamp AS DATE) AS partition_date,
   CASE WHEN req_id % 53 <> 0 THEN cli_ip END AS cli_ip,
   CASE WHEN req_id % 59 = 0 THEN 999 WHEN req_id % 61 <> 0 THEN status_code END AS status_code,
   CASE WHEN req_id % 67 = 0 THEN -1 - bytes ELSE bytes END AS bytes,
   CASE WHEN req_id % 71 = 0 THEN request_timestamp + INTERVAL 400 DAY ELSE request_timestamp END AS request_timestamp,
-  CASE WHEN req_id % 73 <> 0 THEN country END AS country,
-  CAST(request_timestamp AS DATE) AS partition_date
+  CASE WHEN req_id % 73 <> 0 THEN country END AS country
+"""
+
+# Retried requests: every fiftieth row arrives a second time, an hour later.
+REPLAYED_LOGS_SELECT = """
+SELECT *, request_timestamp AS created_at FROM {logs}
+UNION ALL
+SELECT *, request_timestamp + INTERVAL 1 HOUR AS created_at FROM {logs} WHERE req_id % 50 = 0
 """

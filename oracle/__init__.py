@@ -11,6 +11,7 @@ import re
 from oracle.base import CTES
 
 _WORD = {name: re.compile(rf"\b{name}\b") for name in CTES}
+_WORD["clock"] = re.compile(r"\bclock\b|@asof")
 
 
 def _needed(text: str, found: set[str]) -> None:

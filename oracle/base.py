@@ -1,6 +1,6 @@
 """Shared CTEs of the checks, in dependency order."""
 
-from edgeloom.fixture_logs import ACCESS_LOGS_SELECT, DIRTY_LOGS_SELECT, PIPELINE_TABLES
+from edgeloom.fixture_logs import ACCESS_LOGS_SELECT, DIRTY_LOGS_SELECT, PIPELINE_TABLES, REPLAYED_LOGS_SELECT
 
 CTES: dict[str, str] = {}
 
@@ -97,3 +97,30 @@ for _name, (_select, _tail) in PIPELINE_TABLES.items():
     CTES[_name] = f"{_select} FROM events{_tail}"
 
 CTES["dirty_logs"] = DIRTY_LOGS_SELECT + " FROM access_logs"
+
+CTES["replayed_logs"] = REPLAYED_LOGS_SELECT.format(logs="access_logs")
+
+CTES["flagged"] = """
+SELECT *, 100 - 20 * (missing_ip + invalid_status + negative_bytes + future_timestamp + invalid_geo) AS quality_score FROM (
+  SELECT *, (cli_ip IS NULL)::INT AS missing_ip, CASE WHEN status_code NOT BETWEEN 100 AND 599 THEN 1 ELSE 0 END AS invalid_status,
+         CASE WHEN bytes < 0 THEN 1 ELSE 0 END AS negative_bytes, CASE WHEN request_timestamp > @asof THEN 1 ELSE 0 END AS future_timestamp,
+         (country IS NULL AND cli_ip IS NOT NULL)::INT AS invalid_geo FROM dirty_logs)"""
+
+CTES["checks"] = """
+SELECT job_id, partition_date, seen_at, req_id, req_path, 'missing_ip' AS metric_name, missing_ip AS bad FROM flagged
+UNION ALL SELECT job_id, partition_date, seen_at, req_id, req_path, 'invalid_status', invalid_status FROM flagged
+UNION ALL SELECT job_id, partition_date, seen_at, req_id, req_path, 'negative_bytes', negative_bytes FROM flagged
+UNION ALL SELECT job_id, partition_date, seen_at, req_id, req_path, 'future_timestamp', future_timestamp FROM flagged
+UNION ALL SELECT job_id, partition_date, seen_at, req_id, req_path, 'invalid_geo', invalid_geo FROM flagged"""
+
+CTES["data_quality_metrics"] = """
+SELECT job_id, partition_date, max(seen_at) AS timestamp, metric_name, CAST(sum(bad) AS BIGINT) AS failed_count, count(*) AS total_count,
+       round(sum(bad) * 100.0 / count(*), 2) AS failure_rate,
+       coalesce('[' || string_agg('{"req_id":' || req_id || ',"req_path":"' || req_path || '"}', ',' ORDER BY req_id)
+                FILTER (WHERE bad = 1 AND rn <= 3) || ']', '[]') AS sample_failed_records
+FROM (SELECT *, row_number() OVER (PARTITION BY job_id, partition_date, metric_name, bad ORDER BY req_id) AS rn FROM checks)
+GROUP BY job_id, partition_date, metric_name
+UNION ALL
+SELECT job_id, partition_date, max(seen_at), 'quality_score', count(*) FILTER (WHERE quality_score < 100), count(*),
+       round(100 - avg(quality_score), 2), '[]'
+FROM flagged GROUP BY job_id, partition_date"""
