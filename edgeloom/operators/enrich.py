@@ -48,12 +48,5 @@ def from_cdn_layout(raw: DataFrame) -> DataFrame:
         "downloadInitiated": "download_initiated", "downloadsCompleted": "downloads_completed",
         "cookie": "cookie", "xForwardedFor": "x_forwarded_for",
     }
-    # The format writes "-" for an absent text value.
-    cols = []
-    for field in raw.schema.fields:
-        if field.name in renames:
-            col = F.col(field.name)
-            if field.dataType.simpleString() == "string":
-                col = F.nullif(col, F.lit("-"))
-            cols.append(col.alias(renames[field.name]))
+    cols = [F.col(old).alias(new) for old, new in renames.items() if old in raw.columns]
     return raw.select(F.timestamp_seconds("reqTimeSec").alias(TS), *cols)
