@@ -38,6 +38,7 @@ def deduplicate_stream(arrivals: DataFrame, checkpoint: str) -> None:
     state = arrivals.groupBy("digest").agg(F.count(F.lit(1)).alias("group_size"), stays.alias("stays"))
     rocks = {
         "spark.sql.streaming.stateStore.providerClass": ROCKS,
+        "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",  # many stores with little each
         "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
         "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
     }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edgeloom.llm import exact_dedup, simhash_neardup
+from edgeloom.llm import embedding_neardup, exact_dedup, language_id, packing, simhash_neardup, warc_zip
 from edgeloom.llm.storage import ship
 
 
@@ -16,6 +16,17 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_file(name: str) -> str:
+    """Where the installed vocabularies keep ``name``."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_neardup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_neardup.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -24,9 +35,29 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicate(_table(spark, sf_dir, "documents")).drop("n")
 
 
+def op5_warc_zip_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_zip.round_trip(spark, _table(spark, sf_dir, "pages"))
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(_table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+    return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op2_simhash_near_dedup, op3_exact_dedup)
+    for f in (
+        op1_embedding_near_dedup,
+        op2_simhash_near_dedup,
+        op3_exact_dedup,
+        op5_warc_zip_round_trip,
+        op6_packing,
+        op7_language_id,
+    )
 }
 
 SQL: dict[str, str] = {}
@@ -38,3 +69,14 @@ WITH texts AS (
 SELECT doc_id, first_value(doc_id) OVER stays AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size,
        row_number() OVER stays = 1 AS kept, text_sha256
 FROM texts WINDOW stays AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id)"""
+
+SQL["op5_warc_zip_round_trip"] = r"""
+WITH payloads AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+digests AS (SELECT page_id, payload, octet_length(payload) AS payload_bytes, unhex(sha1(payload)) AS raw FROM payloads),
+bits AS (SELECT page_id, payload, payload_bytes, [('0x' || substr(hex(raw), 5 * i + 1, 5))::BIGINT FOR i IN range(8)] AS words FROM digests),
+named AS (SELECT page_id, payload, payload_bytes, array_to_string(flatten([[
+            substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((w >> (15 - 5 * k)) & 31)::INT, 1) FOR k IN range(4)] FOR w IN words]), '') AS payload_digest FROM bits)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = min(page_id) OVER same THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = min(page_id) OVER same THEN NULL ELSE min(page_id) OVER same END AS refers_to
+FROM named WINDOW same AS (PARTITION BY payload)"""
