@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edgeloom.llm import embedding_neardup, exact_dedup, language_id, packing, simhash_neardup, warc_zip
+from edgeloom.llm import (
+    embedding_neardup,
+    exact_dedup,
+    language_id,
+    packing,
+    pii_semicrf,
+    quality_pu,
+    secret_scan,
+    sentencepiece_sampling,
+    simhash_neardup,
+    warc_zip,
+)
 from edgeloom.llm.storage import ship
 
 
@@ -35,6 +46,11 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicate(_table(spark, sf_dir, "documents")).drop("n")
 
 
+def op4_sentencepiece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return sentencepiece_sampling.encode_rows(docs, tokenizer_file("piece_bpe_32k.model"), with_ids=False)
+
+
 def op5_warc_zip_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_zip.round_trip(spark, _table(spark, sf_dir, "pages"))
 
@@ -48,15 +64,31 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(_table(spark, sf_dir, "documents"))
 
 
+def op8_quality_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_pu.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(_table(spark, sf_dir, "documents"))
+
+
+def op10_pii_semicrf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_semicrf.scan(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_embedding_near_dedup,
         op2_simhash_near_dedup,
         op3_exact_dedup,
+        op4_sentencepiece_sampling,
         op5_warc_zip_round_trip,
         op6_packing,
         op7_language_id,
+        op8_quality_pu,
+        op9_secret_scan,
+        op10_pii_semicrf,
     )
 }
 
@@ -80,3 +112,39 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN page_id = min(page_id) OVER same THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id = min(page_id) OVER same THEN NULL ELSE min(page_id) OVER same END AS refers_to
 FROM named WINDOW same AS (PARTITION BY payload)"""
+
+_ASSIGN = """([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+_SECRET_KINDS = [
+    ("assign", _ASSIGN, 2, 6),
+    ("access", "AKIA[A-Z0-9]+", 0, 20),
+    ("hex", "[0-9a-f]+", 0, 24),
+    ("pem", r"-----BEGIN [A-Z ]{0,32}PRIVATE KEY-----[A-Za-z0-9+/=\x20\x09-\x0D]{16,}", 0, 0),
+    ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 0),
+    ("prefixed", r"(?:ghp|gho|ghs|xoxb|xoxp|sk_live|rk_live)_?-?[A-Za-z0-9-]{16,}", 0, 0),
+]
+_SECRET_ROWS = "\nUNION ALL\n".join(
+    f"SELECT doc_id, source, lang, {rank} AS rank, '{kind}' AS kind, {least} AS least, string_split_regex(t, '{pattern}') AS gaps, "
+    f"regexp_extract_all(t, '{pattern}', 0) AS hits, regexp_extract_all(t, '{pattern}', {group}) AS vals FROM texts"
+    for rank, (kind, pattern, group, least) in enumerate(_SECRET_KINDS)
+)
+_LISTED = "coalesce(string_agg(kind || ':' || p || ':' || till, ',' ORDER BY p, rank) FILTER (WHERE {}), '')"
+SQL["op9_secret_scan"] = f"""
+WITH texts AS (SELECT doc_id, source, lang, coalesce(text, '') AS t FROM documents),
+matched AS ({_SECRET_ROWS}),
+placed AS (
+  SELECT doc_id, source, lang, rank, kind, hits[i] AS hit, vals[i] AS val, least,
+         list_sum([length(x) FOR x IN gaps[:i]]) + coalesce(list_sum([length(x) FOR x IN hits[:i - 1]]), 0) AS p
+  FROM (SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM matched)),
+candidates AS (SELECT *, p + length(hit) AS till, sha256(val) AS h FROM placed WHERE length(val) >= least),
+owned AS (
+  SELECT h, count(DISTINCT coalesce(source, '~')) <= 2 AND count(DISTINCT (coalesce(source, ''), coalesce(lang, ''))) <= 4 AS live
+  FROM candidates GROUP BY h),
+judged AS (SELECT c.*, live FROM candidates c JOIN owned USING (h)),
+found AS (
+  SELECT doc_id, count(*) FILTER (WHERE kind = 'assign') AS n_assign, count(*) FILTER (WHERE kind = 'access') AS n_access,
+         count(*) FILTER (WHERE kind = 'hex') AS n_hex, {_LISTED.format('rank < 3')} AS base, {_LISTED.format('rank < 3 OR live')} AS spans,
+         count(*) FILTER (WHERE live) AS n_live, count(*) FILTER (WHERE NOT live) AS n_copied
+  FROM judged GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_copied, 0) AS n_copied
+FROM texts LEFT JOIN found USING (doc_id)"""
