@@ -49,9 +49,9 @@ def presentable(df: DataFrame) -> DataFrame:
 
 
 def runnable(query: Query) -> Callable[[SparkSession, str], DataFrame]:
-    def run(spark: SparkSession, directory: str) -> DataFrame:
+    def run(spark: SparkSession, directory: str, as_of=None) -> DataFrame:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-        return presentable(query(LogTables(spark, directory)))
+        return presentable(query(LogTables(spark, directory, as_of)))
 
     run.__name__ = getattr(query, "__name__", "query")
     return run

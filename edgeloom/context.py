@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,12 +14,14 @@ from edgeloom.fixture_logs import (
 from edgeloom.functions.exprs import TS, instant, since
 
 
+LOOK_BACK_DAYS = (1, 32, 1024)
+
+
 class LogTables:
     """Lazily opened tables of one data directory.
 
     ``as_of`` replaces "now" in every relative-time query. Left out, it is the newest
-    request, read by a scalar subquery inside the query's own plan (one column, no
-    driver round trip). Jobs on large tables should pass the literal instant instead.
+    request. Either way queries filter by a literal, which reaches the scan and prunes it.
     """
 
     def __init__(self, spark: SparkSession, directory: str, as_of=None):
@@ -36,9 +39,21 @@ class LogTables:
 
     @property
     def as_of(self) -> Column:
-        if self._as_of is not None:
-            return instant(self._as_of)
-        return self.table("events").agg(F.max("ts").alias(TS)).scalar()
+        return instant(self._newest if self._as_of is None else self._as_of)
+
+    @cached_property
+    def _newest(self) -> str | Column:
+        """Time of the newest request, found once per table set. The search looks back from
+        today over growing spans, and Parquet statistics skip row groups that end before
+        a span, so of a table that is written in order of time only the end is read."""
+        times = self.table("events").select("ts")
+        newest = F.max("ts").cast("timestamp_ntz").cast("string")
+        for days in LOOK_BACK_DAYS:
+            begin = dt.date.today() - dt.timedelta(days=days)
+            found = times.where(F.col("ts") >= F.lit(begin).cast("timestamp_ntz")).agg(newest).first()[0]
+            if found is not None:
+                return found
+        return F.lit(times.agg(newest).first()[0]).cast("timestamp_ntz")
 
     def recent(self, rollup, window: str, start: str = "window_start") -> DataFrame:
         """Roll-up rows whose window began within ``window`` of ``as_of``. The log is cut

@@ -24,7 +24,7 @@ def ip_to_long(ip: Column | str) -> Column:
     valid = ip.rlike(r"^\d{1,3}(\.\d{1,3}){3}$")
     octet = [F.split_part(ip, F.lit("."), F.lit(i)).try_cast("long") for i in (1, 2, 3, 4)]
     number = ((octet[0] * 256 + octet[1]) * 256 + octet[2]) * 256 + octet[3]
-    return F.when(valid, number)
+    return F.when(valid & (F.greatest(*octet) <= 255), number)
 
 
 def ip_range_lookup(logs: DataFrame, ranges: DataFrame, ip: str = "cli_ip", label: str = "geo") -> DataFrame:
@@ -66,9 +66,20 @@ def against_hourly(logs: DataFrame, hourly_country: DataFrame) -> DataFrame:
     return keyed.join(hourly_country.select("hour", "country", "request_count", "avg_ttfb"), ["hour", "country"], "left")
 
 
-def only_new(incoming: DataFrame, loaded: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows whose key is not loaded yet. Loaded keys are reduced to the key columns."""
-    return incoming.join(loaded.select(*keys), keys, "left_anti")
+def only_new(incoming: DataFrame, loaded: DataFrame, keys: list[str], ts: str = TS, tie_break: tuple[str, ...] = ()) -> DataFrame:
+    """First row of each key that is not loaded yet, as ``INSERT IGNORE`` keeps it.
+
+    Repeats within the batch go first: the one that is least in ``ts`` and then in
+    ``tie_break`` stays, and the limit to one row per key is planned in the map tasks
+    too. ``loaded`` is cut to the batch's time range, a literal that prunes its scan,
+    and to the key columns: a key and its ``ts`` come from the same record.
+    """
+    first = Window.partitionBy(*keys).orderBy(ts, *tie_break)
+    batch = incoming.withColumn("_rank", F.row_number().over(first)).filter(F.col("_rank") == 1).drop("_rank")
+    lo, hi = incoming.agg(F.min(ts).cast("string"), F.max(ts).cast("string")).first()
+    kind = dict(loaded.dtypes)[ts]
+    near = F.col(ts).between(F.lit(lo).cast(kind), F.lit(hi).cast(kind))
+    return batch.join(loaded.filter(near).select(*keys), keys, "left_anti")
 
 
 def rate_against_baseline(

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
+from pyspark.sql import types as T
 
 from edgeloom.functions.exprs import TS, epoch_seconds, instant, span
 
@@ -16,13 +17,22 @@ from edgeloom.functions.exprs import TS, epoch_seconds, instant, span
 def dedup_latest(df: DataFrame, keys: list[str], newest_by: str) -> DataFrame:
     """Keep the newest row per key, as ``row_number() = 1`` would.
 
-    Written as a ``max`` over the row: copies collapse in the map tasks, so a group that
-    holds a third of the table leaves each task as one row. Rows equal in ``newest_by``
-    are separated by their remaining columns, left to right.
+    The limit to one row per key is planned in the map tasks too, so a key that holds a
+    third of the table leaves each task as one row. Rows equal in ``newest_by`` are
+    separated by their remaining columns, left to right, as far as these can be ordered
+    (maps cannot).
     """
-    rest = [c for c in df.columns if c not in keys and c != newest_by]
-    newest = F.max(F.struct(newest_by, *rest)).alias("_row")
-    return df.groupBy(*keys).agg(newest).select(*keys, "_row.*").select(*df.columns)
+    ordered = [f.name for f in df.schema.fields if f.name not in keys and f.name != newest_by and _sortable(f.dataType)]
+    newest = Window.partitionBy(*keys).orderBy(F.desc(newest_by), *[F.desc(c) for c in ordered])
+    return df.withColumn("_rank", F.row_number().over(newest)).filter(F.col("_rank") == 1).select(*df.columns)
+
+
+def _sortable(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return all(_sortable(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return _sortable(kind.elementType)
+    return not isinstance(kind, (T.MapType, T.VariantType))
 
 
 def rate_limit_violations(
@@ -32,8 +42,9 @@ def rate_limit_violations(
     """Seconds in which a client exceeded ``limit`` requests per sliding window.
 
     Counts every request, admitted or not (a limiter that forgets refused requests would
-    need each client's history in order). One row per client and second, with the number
-    of requests refused in that second.
+    need each client's history in order). One row per client and second: ``requests`` made
+    in it, ``requests_in_window`` up to its end, and ``refused``, those of the second that
+    came when the window was full.
 
     The log shrinks to counts per (client, second) before it is shuffled. The sliding sum
     runs per (client, time slice); seconds at the end of a slice are repeated in the next
@@ -52,7 +63,13 @@ def rate_limit_violations(
     return (
         sliced.withColumn("requests_in_window", F.sum("n").over(recent))
         .filter((F.col("slice") == F.col("home")) & (F.col("requests_in_window") > limit))
-        .select(by, F.timestamp_seconds("s").alias("second"), F.col("n").alias("requests"), "requests_in_window")
+        .select(
+            by,
+            F.timestamp_seconds("s").alias("second"),
+            F.col("n").alias("requests"),
+            "requests_in_window",
+            F.least("n", F.col("requests_in_window") - limit).alias("refused"),
+        )
     )
 
 

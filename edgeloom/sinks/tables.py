@@ -19,14 +19,9 @@ BATCH = "batch_id"
 
 
 def write_batch(df: DataFrame, batch_id: int, path: str) -> None:
-    """Write one micro-batch; writing it again replaces it."""
-    (
-        df.withColumn(BATCH, F.lit(int(batch_id)).cast("long"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BATCH)
-        .parquet(path)
-    )
+    """Write one micro-batch to the folder of its id; writing it again replaces what the
+    folder held, also when the second try has no rows."""
+    df.drop(BATCH).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/{BATCH}={int(batch_id)}")
 
 
 def read_latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
@@ -74,11 +69,13 @@ def write_quarantine(rejected: DataFrame, path: str) -> None:
 
 
 def write_versions(parsed: DataFrame, batch_id: int, base: str) -> None:
-    """Route parsed lines by version, and keep the union of all."""
-    extended = F.col("schema_version") >= 2
-    write_batch(parsed.filter(~extended), batch_id, f"{base}/v1")
-    write_batch(parsed.filter(extended), batch_id, f"{base}/v2")
+    """Route parsed lines by version, and keep the union of all. Lines are parsed once: the
+    versions are cut from the written union."""
     write_batch(parsed, batch_id, f"{base}/union")
+    spark, extended = parsed.sparkSession, F.col("schema_version") >= 2
+    written = spark.read.schema(parsed.schema).parquet(f"{base}/union/{BATCH}={int(batch_id)}")
+    write_batch(written.filter(~extended), batch_id, f"{base}/v1")
+    write_batch(written.filter(extended), batch_id, f"{base}/v2")
 
 
 LEDGER = (

@@ -5,19 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edgeloom.sources.cdn import MAX_FILE_BYTES
 
-
-def read_bundles(spark: SparkSession, paths: list[str] | str, max_bytes: int = MAX_FILE_BYTES) -> tuple[DataFrame, DataFrame]:
-    """(bundle bodies, files refused for their size). A body is one row, because a JSON
-    list cannot be recognised from a part of it; refused files are never loaded whole."""
-    files = spark.read.format("binaryFile").load(paths).select("path", "length")
-    bodies = (
-        spark.read.text(paths, wholetext=True)
-        .select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("length"), F.col("value").alias("body"))
-        .filter(F.col("length") <= max_bytes)
-    )
-    return bodies, files.filter(F.col("length") > max_bytes)
+def read_bundles(spark: SparkSession, paths: list[str] | str) -> DataFrame:
+    """Bundle bodies (path, length, body) of any size. Log lines come line by line, however long their
+    file; only a JSON list, which cannot be recognised from a part of it, is one row. Which
+    files are lists is read from their first characters."""
+    info = [F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("length")]
+    lines = spark.read.text(paths).select(*info, F.col("_metadata.file_block_start").alias("at"), F.col("value").alias("body"))
+    place = F.monotonically_increasing_id()
+    first = lines.filter((F.col("at") == 0) & (F.trim("body") != "")).groupBy("path").agg(F.min_by(F.substring(F.ltrim("body"), 1, 1), place).alias("first"))
+    lists = [r.path for r in first.filter(F.col("first") == "[").select("path").collect()]  # names that the scan lists as well
+    if not lists:
+        return lines.drop("at")
+    whole = spark.read.text(lists, wholetext=True).select(*info, F.col("value").alias("body"))
+    return lines.drop("at").filter(~F.col("path").isin(lists)).unionByName(whole)
 
 
 def parse_bundles(bodies: DataFrame, body: str = "body") -> DataFrame:

@@ -13,16 +13,13 @@ from pyspark.sql import types as T
 from edgeloom.functions.exprs import TS
 from edgeloom.sources.schemas import CORRUPT, cdn_schema, with_corrupt_column
 
-# Every line is parsed in full: with column pruning on, the reader would skip the check
-# of columns a query does not use, and counts would depend on the query.
+# Lines are read as text and parsed by an expression: the malformed line is then an
+# ordinary column, and which lines count as malformed does not depend on the query.
 READ_OPTIONS = {
     "sep": " ",
-    "header": "false",
-    "encoding": "UTF-8",
     "nullValue": "-",
     "mode": "PERMISSIVE",
     "columnNameOfCorruptRecord": CORRUPT,
-    "columnPruning": "false",
 }
 FILE_INFO = ["file_path", "file_size", "file_modification_time"]
 MAX_FILE_BYTES = 50 * 1024 * 1024
@@ -30,8 +27,14 @@ MAX_FILE_BYTES = 50 * 1024 * 1024
 
 def scan(spark: SparkSession, paths: list[str] | str, schema: T.StructType | None = None) -> DataFrame:
     """All lines of all files through one reader, malformed ones kept in ``_corrupt_record``."""
-    reader = spark.read.schema(with_corrupt_column(schema or cdn_schema())).options(**READ_OPTIONS)
-    return reader.csv(paths)
+    return parse_lines(spark.read.text(paths), schema)
+
+
+def parse_lines(lines: DataFrame, schema: T.StructType | None = None) -> DataFrame:
+    """The text column ``value`` as the columns of a line; other columns are carried along."""
+    layout = with_corrupt_column(schema or cdn_schema()).toDDL()
+    others = [c for c in lines.columns if c != "value"]
+    return lines.select(*others, F.from_csv("value", layout, READ_OPTIONS).alias("_row")).select("_row.*", *others)
 
 
 def scan_stream(
@@ -39,15 +42,14 @@ def scan_stream(
     max_files: int = 10, pattern: str = "*.csv.gz",
 ) -> DataFrame:
     """New files of a directory, at most ``max_files`` per trigger, with their file facts."""
-    return (
-        spark.readStream.schema(with_corrupt_column(schema or cdn_schema()))
-        .options(**READ_OPTIONS)
-        .option("pathGlobFilter", pattern)
+    lines = (
+        spark.readStream.option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", max_files)
-        .csv(directory)
-        .select("*", *[F.col(f"_metadata.{c}").alias(c) for c in FILE_INFO])
+        .text(directory)
+        .select("value", *[F.col(f"_metadata.{c}").alias(c) for c in FILE_INFO])
     )
+    return parse_lines(lines, schema)
 
 
 def split_malformed(lines: DataFrame) -> tuple[DataFrame, DataFrame]:

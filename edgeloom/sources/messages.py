@@ -12,12 +12,15 @@ from pyspark.sql import functions as F
 from edgeloom.sources.schemas import WEBLOG_V0
 
 
-def topic_options(servers: str, topic: str, starting: str = "latest", max_offsets: int = 10_000) -> dict[str, str]:
+def topic_options(
+    servers: str, topic: str, starting: str = "earliest", max_offsets: int = 10_000, fail_on_data_loss: bool = True
+) -> dict[str, str]:
+    """Lost offsets stop the stream and a first start reads the backlog, unless told otherwise."""
     return {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": starting,
-        "failOnDataLoss": "false",
+        "failOnDataLoss": str(fail_on_data_loss).lower(),
         "maxOffsetsPerTrigger": str(max_offsets),
     }
 

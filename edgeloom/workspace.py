@@ -2,26 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 SETTING = "spark.checkpoint.dir"
-_local: list[tempfile.TemporaryDirectory] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, as the session names it. Only a local-mode session
-    without the setting gets a temporary folder of this machine."""
+    """The folder all executors share, as the session names it."""
     named = spark.conf.get(SETTING, None) or spark.sparkContext.getConf().get(SETTING)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {SETTING} to a folder shared by the cluster")
-    if not _local:
-        _local.append(tempfile.TemporaryDirectory(prefix="edgeloom-", ignore_cleanup_errors=True))
-    return _local[0].name
+    if not named:
+        raise RuntimeError(f"set {SETTING} to a folder that driver and executors share")
+    return named.rstrip("/")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

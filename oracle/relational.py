@@ -29,8 +29,8 @@ SQL = {
         ELSE 'high-' || regexp_replace(cli_ip, '\\.\\d+$', '') END AS geo FROM access_logs""",
     "logs_vs_hourly": """SELECT l.country, count(*) AS requests, count(*) FILTER (WHERE ttfb_ms > avg_ttfb) AS slower, max(request_count) AS busiest_hour
         FROM access_logs l JOIN hourly_country h ON h.hour = date_trunc('hour', request_timestamp) AND h.country = l.country GROUP BY 1""",
-    "only_new_rows": """SELECT req_id, created_at FROM replayed_logs WHERE req_id NOT IN
-        (SELECT req_id FROM access_logs WHERE request_timestamp < @asof - INTERVAL 1 DAY)""",
+    "only_new_rows": """SELECT req_id, min(created_at) AS created_at FROM replayed_logs WHERE req_id NOT IN
+        (SELECT req_id FROM access_logs WHERE request_timestamp < @asof - INTERVAL 1 DAY) GROUP BY req_id""",
     "rate_vs_baseline": """WITH r AS (SELECT city, count(*) FILTER (WHERE request_timestamp >= @asof - INTERVAL 24 HOUR) / 24.0 AS c,
         count(*) FILTER (WHERE request_timestamp < @asof - INTERVAL 24 HOUR) / 696.0 AS b
         FROM access_logs WHERE request_timestamp >= @asof - INTERVAL 30 DAY GROUP BY city)
@@ -43,7 +43,7 @@ SQL = {
         (PARTITION BY req_id, request_timestamp ORDER BY created_at DESC) AS rn FROM replayed_logs) WHERE rn = 1""",
     "rate_limit_violations": """WITH s AS (SELECT cli_ip, date_trunc('second', request_timestamp) AS second FROM access_logs),
         w AS (SELECT *, count(*) OVER (PARTITION BY cli_ip ORDER BY second RANGE BETWEEN INTERVAL 21599 SECOND PRECEDING AND CURRENT ROW) AS n FROM s)
-        SELECT cli_ip, second, count(*) AS requests, max(n) AS requests_in_window FROM w WHERE n > 3 GROUP BY 1, 2""",
+        SELECT cli_ip, second, count(*) AS requests, max(n) AS requests_in_window, least(count(*), max(n) - 3) AS refused FROM w WHERE n > 3 GROUP BY 1, 2""",
     "sustained_breaches": f"""WITH b AS (SELECT * FROM {HOURLY_COUNTRY} WHERE error_pct > 10),
         g AS (SELECT *, CASE WHEN hour - lag(hour) OVER w = INTERVAL 1 HOUR THEN 0 ELSE 1 END AS opens FROM b WINDOW w AS (PARTITION BY country ORDER BY hour)),
         r AS (SELECT *, sum(opens) OVER (PARTITION BY country ORDER BY hour) AS run FROM g)
