@@ -31,7 +31,7 @@ def parse_bundles(bodies: DataFrame, body: str = "body") -> DataFrame:
     is_list = F.col(body).rlike(r"^\s*\[")
     elements = F.when(is_list, F.from_json(body, "array<string>"))
     elements = F.when(F.exists(elements, lambda e: e.isNotNull()) | (F.size(elements) == 0), elements)
-    lines = F.filter(F.transform(F.split(F.col(body), "\n"), F.trim), lambda line: line != "")
+    lines = F.filter(F.transform(F.split(F.col(body), "\n"), lambda line: F.trim(line)), lambda line: line != "")
     others = [c for c in bodies.columns if c != body]
     return bodies.select(
         *others,
