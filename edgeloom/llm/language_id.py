@@ -130,7 +130,8 @@ def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", d
                 bundles = _unit(profiler.bundles(part["text"].tolist()))
                 for lang, at in part.reset_index(drop=True).groupby("lang").groups.items():
                     total[lang] = total.get(lang, 0) + bundles[at].sum(0)
-        yield pd.DataFrame({"lang": list(total), "bundle": [v.astype(float) for v in total.values()]})
+        if total:
+            yield pd.DataFrame({"lang": list(total), "bundle": [v.astype(float) for v in total.values()]})
 
     added = rows.mapInPandas(sums, "lang string, bundle array<double>").select("lang", F.posexplode("bundle").alias("d", "x"))
     profile = {}

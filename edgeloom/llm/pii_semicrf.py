@@ -250,7 +250,7 @@ def learn(docs: DataFrame, text_col: str = "text", train_rows: int = 20_000, win
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             near = [t[max(0, lo - 2) : hi + 2] for t in batch["text"] for lo, hi in islands(t) if hi - lo <= 256]
-            yield pd.DataFrame({"window": near})
+            yield pd.DataFrame({"window": pd.Series(near, dtype=object)})
 
     got = rows.mapInPandas(cut, "window string").distinct().orderBy(F.xxhash64("window", F.lit(seed)), "window").limit(windows).collect()
     examples = examples_of([r.window for r in got])
