@@ -77,17 +77,27 @@ def json_rows(t):
 
 
 def mergeable_daily(t):
+    """Daily sums from hourly partials, and whether the sketched count of addresses is
+    within two percent of the exact one."""
     out = rollups.merge_rollup(rollups.mergeable_rollup(t.logs))
-    return out.select(
+    exact = t.logs.groupBy(F.date_trunc("day", TS).alias("window_start")).agg(F.countDistinct("cli_ip").alias("exact"))
+    near = F.abs(F.col("unique_ips") - F.col("exact")) <= F.greatest(F.lit(1), F.col("exact") * 0.02)
+    return out.join(exact, "window_start").select(
         "window_start", "request_count", "total_bytes", "error_count", "cache_hits",
-        "avg_response_time", "unique_ips",
+        "avg_response_time", near.alias("unique_ips_within_2_pct"),
     )
 
 
 def mergeable_monthly_quantile(t):
-    """KLL quantile of a month by country from hourly partials (an estimate)."""
-    out = rollups.merge_rollup(rollups.mergeable_rollup(t.logs), "month", ("country",))
-    return out.select("window_start", "country", "request_count", "p95_response_time")
+    """Sketched p95 of a month by country from hourly partials, and whether its rank among
+    the month's values is within one percent of 0.95."""
+    out = rollups.merge_rollup(rollups.mergeable_rollup(t.logs), "month", ("country",)).select("window_start", "country", "request_count", "p95_response_time")
+    values = enrich(t.logs).where("response_time_ms is not null").select(F.date_trunc("month", TS).alias("window_start"), "country", "response_time_ms")
+    ranked = values.join(out, ["window_start", "country"]).groupBy("window_start", "country", "request_count").agg(
+        (F.avg((F.col("response_time_ms") < F.col("p95_response_time")).cast("int")) <= 0.96).alias("_low"),
+        (F.avg((F.col("response_time_ms") <= F.col("p95_response_time")).cast("int")) >= 0.94).alias("_high"),
+    )
+    return ranked.select("window_start", "country", "request_count", (F.col("_low") & F.col("_high")).alias("p95_rank_within_1_pct"))
 
 
 def salted_endpoint_totals(t):

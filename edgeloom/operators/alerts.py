@@ -93,31 +93,45 @@ def stretched(rules: list[Rule], factor: int) -> list[Rule]:
     ]
 
 
-def evaluate(rule: Rule, table: DataFrame, as_of) -> DataFrame:
-    """One row: the rule, its latest value, and whether it fires."""
-    now = instant(as_of)
-    seconds = rule.window_minutes * 60
-    age = epoch_seconds(now) - epoch_seconds(F.col(rule.ts))
-    rows = table.filter((F.col(rule.ts) > now - span(f"{rule.window_minutes * rule.hold} minutes")) & (F.col(rule.ts) <= now))
-    if rule.where:
-        rows = rows.filter(rule.where)
-    # Window k ends k windows before now.
-    windows = rows.groupBy(F.floor(age / seconds).cast("int").alias("k")).agg(
-        rule.measure(now).cast("double").alias("value")
-    )
-    value = F.col("value")
+def evaluate(rules: list[Rule], table: DataFrame, as_of) -> DataFrame:
+    """All rules of one table in one pass: one row per rule, with its latest value and
+    whether it fires. Rows are cut to the longest span, then filed under each rule whose
+    windows hold them; window k of a rule ends k windows before now."""
+    now, ts = instant(as_of), rules[0].ts
+    age = epoch_seconds(now) - epoch_seconds(F.col(ts))
+    longest = max(r.window_minutes * r.hold for r in rules)
+    rows = table.filter((F.col(ts) > now - span(f"{longest} minutes")) & (F.col(ts) <= now))
+    filed = [
+        F.when(
+            (age < r.window_minutes * 60 * r.hold) & (F.expr(r.where) if r.where else F.lit(True)),
+            F.struct(F.lit(i).alias("no"), F.floor(age / (r.window_minutes * 60)).cast("int").alias("k")),
+        )
+        for i, r in enumerate(rules)
+    ]
+    rows = rows.withColumn("_w", F.explode(F.filter(F.array(*filed), lambda w: w.isNotNull())))
+    measures = [r.measure(now).cast("double").alias(f"_v{i}") for i, r in enumerate(rules)]
+    windows = rows.groupBy("_w.no", "_w.k").agg(*measures)
+    # One row even when no rule has data.
+    judged = windows.agg(*[_judge(r, i).alias(f"_r{i}") for i, r in enumerate(rules)])
+    return judged.select(F.explode(F.array(*[f"_r{i}" for i in range(len(rules))])).alias("r")).select("r.*")
+
+
+def _judge(rule: Rule, i: int) -> Column:
+    mine, value = F.col("no") == i, F.col(f"_v{i}")
     breach = value > rule.threshold if rule.above else value < rule.threshold
-    firing = n_where(breach) >= rule.hold
+    firing = n_where(mine & breach) >= rule.hold
     if rule.silence_fires:
-        firing = firing | (n_where(F.col("k") == 0) == 0)
-    return windows.agg(F.max(F.when(F.col("k") == 0, value)).alias("value"), firing.alias("firing")).select(
-        F.lit(rule.name).alias("rule"), F.lit(rule.severity).alias("severity"),
-        F.lit(rule.window_minutes).alias("window_minutes"), "value",
-        F.lit(float(rule.threshold)).alias("threshold"), "firing",
+        firing = firing | (n_where(mine & (F.col("k") == 0)) == 0)
+    return F.struct(
+        F.lit(rule.name).alias("rule"), F.lit(rule.severity).alias("severity"), F.lit(rule.window_minutes).alias("window_minutes"),
+        F.max(F.when(mine & (F.col("k") == 0), value)).alias("value"), F.lit(float(rule.threshold)).alias("threshold"), firing.alias("firing"),
     )
 
 
 def evaluate_alerts(tables: Callable[[str], DataFrame], as_of, rules: list[Rule] | None = None) -> DataFrame:
     """All rules, one row each. ``tables`` opens a table by name, so a caller can hand in
-    stored roll-ups; every rule prunes its table to its own windows."""
-    return union_files([evaluate(rule, tables(rule.table), as_of) for rule in rules or RULES])
+    stored roll-ups; each table is read once, over the longest span its rules look at."""
+    by_table: dict[tuple[str, str], list[Rule]] = {}
+    for rule in rules or RULES:
+        by_table.setdefault((rule.table, rule.ts), []).append(rule)
+    return union_files([evaluate(own, tables(name), as_of) for (name, _), own in by_table.items()])

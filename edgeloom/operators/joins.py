@@ -1,7 +1,7 @@
 """Joins: dimensions, address ranges, roll-ups, baselines, already-loaded rows.
 
-No broadcast hints: the optimizer broadcasts a side whose measured size is under its
-threshold, and splits skewed partitions of a sort-merge join otherwise.
+The optimizer broadcasts a side whose measured size is under its threshold, and splits
+skewed partitions of a sort-merge join otherwise; joins of raw rows spread hot keys first.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from edgeloom.functions.exprs import TS, hour_floor, instant, n_where, span
+from edgeloom.operators.skew import join_split_hot
 
 
 def enrich_from(df: DataFrame, dimension: DataFrame, on: list[str]) -> DataFrame:
@@ -27,29 +28,36 @@ def ip_to_long(ip: Column | str) -> Column:
     return F.when(valid & (F.greatest(*octet) <= 255), number)
 
 
-def ip_range_lookup(logs: DataFrame, ranges: DataFrame, ip: str = "cli_ip", label: str = "geo") -> DataFrame:
-    """Attach the label of the narrowest range (``first_ip``..``last_ip``) holding the address.
+PREFIX_BITS = (32, 28, 24, 20, 16, 12, 8, 4, 0)
 
-    Ranges and addresses meet on a prefix bucket, not on inequalities. A range up to 2^16
-    wide is filed under its /16 prefixes (two at most), a wider one under its /8 prefixes
-    (256 at most), and an address asks both files. Distinct addresses are looked up, not
-    requests, so a busy address costs one probe; the label is joined back by address.
-    """
-    wide = F.col("last_ip") - F.col("first_ip") >= 2**16
-    shift = F.when(wide, F.lit(24)).otherwise(F.lit(16))
 
-    def prefix(number: Column, bits: Column) -> Column:
-        return F.when(bits == 24, F.shiftright(number, 24)).otherwise(F.shiftright(number, 16))
+def ip_range_lookup(logs: DataFrame, ranges: DataFrame, ip: str = "cli_ip", label: str = "geo", row_id: str = "req_id") -> DataFrame:
+    """Attach the label of the narrowest range (``first_ip``..``last_ip``) holding the address.
 
-    filed = ranges.withColumn("bits", shift).withColumn(
-        "bucket", F.explode(F.sequence(prefix(F.col("first_ip"), F.col("bits")), prefix(F.col("last_ip"), F.col("bits"))))
-    )
+    Ranges and addresses meet on a prefix, not on inequalities. A range is filed under the
+    longest prefix length whose block is at least as wide, so under two prefixes at most, and a
+    block meets only ranges of about its own width; an address asks every length. Distinct addresses
+    are looked up, not requests, and the label is joined back with hot addresses spread out.
+    """
+    width = F.col("last_ip") - F.col("first_ip") + 1
+    needed = F.when(width <= 1, F.lit(0)).otherwise(F.length(F.bin(width - 1)))
+    bits = (F.lit(32) - F.ceil(needed / 4) * 4).cast("int")
+    size = F.shiftleft(F.lit(1).cast("long"), 32)
+    block = (size / F.pow(F.lit(2), F.col("bits"))).cast("long")
+
+    def prefix(number: str) -> Column:
+        return F.floor(F.col(number) / F.col("block"))
+
+    filed = ranges.withColumn("bits", bits).withColumn("block", block).withColumn(
+        "bucket", F.explode(F.sequence(prefix("first_ip"), prefix("last_ip")))
+    ).drop("block")
+    asked = F.array(*[F.struct(F.lit(b).alias("bits"), F.lit(2 ** (32 - b)).cast("long").alias("block")) for b in PREFIX_BITS])
     probes = (
         logs.select(ip).distinct()
         .withColumn("n", ip_to_long(ip))
         .filter(F.col("n").isNotNull())
-        .withColumn("bits", F.explode(F.array(F.lit(16), F.lit(24))))
-        .withColumn("bucket", prefix(F.col("n"), F.col("bits")))
+        .withColumn("p", F.explode(asked))
+        .select(ip, "n", F.col("p.bits").alias("bits"), F.floor(F.col("n") / F.col("p.block")).alias("bucket"))
     )
     inside = F.col("n").between(F.col("first_ip"), F.col("last_ip"))
     found = (
@@ -57,13 +65,14 @@ def ip_range_lookup(logs: DataFrame, ranges: DataFrame, ip: str = "cli_ip", labe
         .groupBy(ip)
         .agg(F.min_by(label, F.struct(F.col("last_ip") - F.col("first_ip"), "first_ip")).alias(label))
     )
-    return logs.join(found, ip, "left")
+    return join_split_hot(logs, found, [ip], row_id)
 
 
-def against_hourly(logs: DataFrame, hourly_country: DataFrame) -> DataFrame:
-    """Each request next to the roll-up row of its hour and country."""
+def against_hourly(logs: DataFrame, hourly_country: DataFrame, row_id: str = "req_id") -> DataFrame:
+    """Each request next to the roll-up row of its hour and country; busy hours are spread out."""
     keyed = logs.withColumn("hour", hour_floor(TS))
-    return keyed.join(hourly_country.select("hour", "country", "request_count", "avg_ttfb"), ["hour", "country"], "left")
+    side = hourly_country.select("hour", "country", "request_count", "avg_ttfb")
+    return join_split_hot(keyed, side, ["hour", "country"], row_id)
 
 
 def only_new(incoming: DataFrame, loaded: DataFrame, keys: list[str], ts: str = TS, tie_break: tuple[str, ...] = ()) -> DataFrame:

@@ -44,19 +44,7 @@ def quality_metrics(
     two parts meet in a union, which needs no NULL-safe join.
     """
     sample_cols = sample_cols or [row_id]
-    totals = flagged.groupBy(*job_keys).agg(
-        F.max(seen_at).alias("timestamp"),
-        F.count(F.lit(1)).alias("total_count"),
-        *[F.sum(c).alias(c) for c in CHECKS],
-        n_where(F.col("quality_score") < 100).alias("quality_score"),
-        F.avg("quality_score").alias("_score"),
-    )
-    names = [*CHECKS, "quality_score"]
-    pairs = ", ".join(f"'{n}', {n}" for n in names)
-    long = totals.select(
-        *job_keys, "timestamp", "total_count", "_score",
-        F.expr(f"stack({len(names)}, {pairs}) AS (metric_name, failed_count)"),
-    )
+    long = quality_totals(flagged, job_keys, seen_at)
     failed_checks = F.filter(
         F.array(*[F.when(F.col(c) == 1, F.lit(c)) for c in CHECKS]), lambda c: c.isNotNull()
     )
@@ -72,23 +60,38 @@ def quality_metrics(
         long.unionByName(sample, allowMissingColumns=True)
         .groupBy(*job_keys, "metric_name")
         .agg(
-            F.max("timestamp").alias("timestamp"),
-            F.max("total_count").alias("total_count"),
-            F.max("failed_count").alias("failed_count"),
-            F.max("_score").alias("_score"),
+            *[F.max(c).alias(c) for c in ("timestamp", "total_count", "failed_count", "failure_rate")],
             F.array_sort(F.collect_list(F.when(F.col("rn").isNotNull(), F.struct("rn", "_row")))).alias("_sample"),
         )
     )
-    rate = F.when(
-        F.col("metric_name") == "quality_score", F.round(F.lit(100) - F.col("_score"), 2).cast("decimal(5,2)")
-    ).otherwise(_rate(F.col("failed_count"), F.col("total_count")))
     return merged.select(
-        *job_keys, "timestamp", "metric_name", "failed_count", "total_count",
-        rate.alias("failure_rate"),
+        *job_keys, "timestamp", "metric_name", "failed_count", "total_count", "failure_rate",
         F.to_json(F.transform("_sample", lambda s: s["_row"])).alias("sample_failed_records"),
     )
 
 
+def quality_totals(flagged: DataFrame, job_keys: list[str], seen_at: str) -> DataFrame:
+    """The counts and rates of ``quality_metrics`` alone, from one aggregation: what the
+    trend reports read."""
+    totals = flagged.groupBy(*job_keys).agg(
+        F.max(seen_at).alias("timestamp"),
+        F.count(F.lit(1)).alias("total_count"),
+        *[F.sum(c).alias(c) for c in CHECKS],
+        n_where(F.col("quality_score") < 100).alias("quality_score"),
+        F.avg("quality_score").alias("_score"),
+    )
+    names = [*CHECKS, "quality_score"]
+    pairs = ", ".join(f"'{n}', {n}" for n in names)
+    long = totals.select(
+        *job_keys, "timestamp", "total_count", "_score",
+        F.expr(f"stack({len(names)}, {pairs}) AS (metric_name, failed_count)"),
+    )
+    rate = F.when(
+        F.col("metric_name") == "quality_score", F.round(F.lit(100) - F.col("_score"), 2).cast("decimal(5,2)")
+    ).otherwise(_rate(F.col("failed_count"), F.col("total_count")))
+    return long.select(*job_keys, "timestamp", "metric_name", "failed_count", "total_count", rate.alias("failure_rate"))
+
+
 # -- trends over stored quality metrics --------------------------------------------------
 
 

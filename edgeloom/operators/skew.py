@@ -18,3 +18,23 @@ def salted_totals(
     salt = F.pmod(F.xxhash64(salt_on), F.lit(salts)).alias("_salt")
     first = df.groupBy(*keys, salt).agg(*[F.sum(col).alias(name) for name, col in sums.items()])
     return first.groupBy(*keys).agg(*[F.sum(name).alias(name) for name in sums])
+
+
+HOT_SHARE = 1000
+
+
+def join_split_hot(rows: DataFrame, side: DataFrame, keys: list[str], spread_by: str, salts: int = 32) -> DataFrame:
+    """Left join of raw rows to one row per key, with hot keys spread over ``salts`` tasks.
+
+    Hot are keys with over a thousandth of the rows: under a thousand of them, whatever the
+    table, so their list may be broadcast. Only their rows get a salt and only their side rows are repeated.
+    Counting the keys combines before its shuffle and reads the key columns alone.
+    """
+    total = rows.agg(F.count(F.lit(1))).scalar()
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    hot = F.broadcast(counts.filter(F.col("_n") > total / HOT_SHARE).select(*keys, F.lit(True).alias("_hot")))
+    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(spread_by), F.lit(salts))).otherwise(F.lit(0))
+    copies = F.when(F.col("_hot"), F.sequence(*(F.lit(i).cast("long") for i in (0, salts - 1)))).otherwise(F.array(F.lit(0).cast("long")))
+    left = rows.join(hot, keys, "left").withColumn("_salt", salt).drop("_hot")
+    right = side.join(hot, keys, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
+    return left.join(right, [*keys, "_salt"], "left").drop("_salt")

@@ -121,10 +121,9 @@ def monthly_growth(logs: DataFrame, as_of) -> DataFrame:
 
 
 def growth_projection(logs: DataFrame, as_of, history="3 months", ahead=12, factor=MONTHLY_GROWTH) -> DataFrame:
-    """Mean volume compounded by a fixed monthly factor."""
-    base = logs.filter(F.col(TS) >= day_start(as_of) - span(history)).agg(
-        F.date_trunc("month", F.max(TS)).alias("base_month"), F.avg("bytes").alias("mean_bytes")
-    )
+    """Mean volume of a day, compounded by a fixed monthly factor."""
+    daily = logs.filter(F.col(TS) >= day_start(as_of) - span(history)).groupBy(F.to_date(TS).alias("date")).agg(F.sum("bytes").alias("bytes"))
+    base = daily.agg(F.date_trunc("month", F.max("date")).alias("base_month"), F.avg("bytes").alias("mean_bytes"))
     step = F.col("step")
     return base.withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(ahead)))).select(
         F.add_months("base_month", step).alias("forecast_month"),

@@ -92,9 +92,10 @@ def business_daily(logs: DataFrame, as_of, days=90) -> DataFrame:
 
 
 def hourly_cost_pattern(logs: DataFrame, as_of, window="7 days") -> DataFrame:
+    """Mean traffic of a whole hour, by hour of day: requests are summed per hour first."""
+    hours = since(logs, as_of, window, inclusive=True).groupBy(F.date_trunc("hour", TS).alias("hour")).agg(F.sum("bytes").alias("bytes"))
     return (
-        since(logs, as_of, window, inclusive=True)
-        .groupBy(F.hour(TS).alias("hour_of_day"))
+        hours.groupBy(F.hour("hour").alias("hour_of_day"))
         .agg(
             gib(F.avg("bytes")).alias("avg_traffic_gb"),
             (gib(F.avg("bytes")) * CDN_USD_PER_GIB).alias("avg_cost_usd"),

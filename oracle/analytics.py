@@ -84,8 +84,8 @@ SQL = {
     "business_daily": f"""SELECT CAST(request_timestamp AS DATE) AS date, round(sum(bytes) / {GIB}, 6) AS traffic_gb,
         round(sum(bytes) / {GIB} * 0.085::DOUBLE, 6) AS cdn_cost_usd, {share('cache_status = 1')} AS cache_hit_rate,
         round(sum(bytes) FILTER (WHERE cache_status = 1) / {GIB} * 0.15::DOUBLE, 6) AS bandwidth_saved_usd FROM {days(90)} GROUP BY 1""",
-    "hourly_cost_pattern": f"""SELECT CAST(hour(request_timestamp) AS INT) AS hour_of_day, round(avg(bytes) / {GIB}, 6) AS avg_traffic_gb,
-        round(avg(bytes) / {GIB} * 0.085::DOUBLE, 6) AS avg_cost_usd FROM {within('7 DAY', op='>=')} GROUP BY 1""",
+    "hourly_cost_pattern": f"""SELECT CAST(hour(h) AS INT) AS hour_of_day, round(avg(b) / {GIB}, 6) AS avg_traffic_gb, round(avg(b) / {GIB} * 0.085::DOUBLE, 6) AS avg_cost_usd
+        FROM (SELECT date_trunc('hour', request_timestamp) AS h, CAST(sum(bytes) AS BIGINT) AS b FROM {within('7 DAY', op='>=')} GROUP BY 1) GROUP BY 1""",
     "cache_opportunity": f"""SELECT {PATTERN} AS endpoint_pattern, {share('cache_status = 1')} AS cache_hit_rate,
         round(sum(bytes) FILTER (WHERE cache_status <> 1) / {GIB} * 0.15::DOUBLE * 0.95::DOUBLE, 6) AS potential_savings_usd,
         round(sum(bytes) / {GIB}, 6) AS traffic_gb, count(*) AS requests FROM {days(30)} GROUP BY 1 HAVING count(*) > 100""",
@@ -165,8 +165,9 @@ SQL = {
         SELECT CAST(period AS TIMESTAMP) AS period, round(gb, 6) AS traffic_gb, round(lag(gb) OVER w, 6) AS prev_traffic_gb,
         round((gb - lag(gb) OVER w) * 100.0 / lag(gb) OVER w, 6) AS growth_rate FROM m WINDOW w AS (ORDER BY period)""",
     "growth_projection": f"""SELECT CAST(date_trunc('month', m) + to_months(CAST(n AS INT)) AS DATE) AS forecast_month,
-        round(b * pow(1.234, n) / {GIB}, 6) AS projected_traffic_gb FROM (SELECT max(request_timestamp) AS m, avg(bytes) AS b FROM access_logs
-        WHERE request_timestamp >= CAST(@asof AS DATE) - INTERVAL 3 MONTH), range(0, 13) r(n)""",
+        round(b * pow(1.234, n) / {GIB}, 6) AS projected_traffic_gb FROM (SELECT max(d) AS m, avg(b) AS b FROM
+        (SELECT CAST(request_timestamp AS DATE) AS d, CAST(sum(bytes) AS BIGINT) AS b FROM access_logs
+        WHERE request_timestamp >= CAST(@asof AS DATE) - INTERVAL 3 MONTH GROUP BY 1)), range(0, 13) r(n)""",
     "growth_trend": f"""WITH d AS (SELECT CAST(request_timestamp AS DATE) AS date, CAST(sum(bytes) AS BIGINT) AS b FROM access_logs
         WHERE request_timestamp >= CAST(@asof AS DATE) - INTERVAL 30 DAY GROUP BY 1),
         x AS (SELECT b, date_diff('day', CAST(@asof AS DATE), date) AS x FROM d)

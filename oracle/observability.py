@@ -9,9 +9,12 @@ JOB_QUALITY = """(SELECT job_id, max(timestamp) AS timestamp, 100 - sum(failed_c
     FROM data_quality_metrics GROUP BY job_id)"""
 
 
+STRETCH = 288
+
+
 def rule(name, severity, minutes, threshold, measure, op, table, ts="timestamp", where="true", hold=1, silence=False) -> str:
     """One alert: the measure over each of the latest ``hold`` windows."""
-    minutes *= 288
+    minutes *= STRETCH
     parts = [
         f"""SELECT {measure} AS v FROM {table} WHERE ({where}) AND {ts} > @asof - INTERVAL {minutes * (k + 1)} MINUTE
             AND {ts} <= @asof - INTERVAL {minutes * k} MINUTE HAVING count(*) > 0"""
@@ -28,7 +31,7 @@ def rule(name, severity, minutes, threshold, measure, op, table, ts="timestamp",
 AGE = "(epoch_us(@asof) - epoch_us(max({}))) / 60000000.0"
 ERRORS = "sum(error_count) * 100.0 / sum(request_count)"
 
-ALERTS = [
+ALERTS = lambda: [
     rule("IngestionServiceDown", "P1", 60, 5, AGE.format("timestamp"), ">", "ingestion_metrics", where="metric_name = 'health_check'", silence=True),
     rule("HighErrorRate", "P1", 10, 10, ERRORS, ">", "endpoint_summary", "window_start"),
     rule("KafkaLagCritical", "P1", 5, 100000, "max(metric_value)", ">", "kafka_metrics"),
@@ -97,5 +100,8 @@ SQL = {
         max(metric_value) FILTER (WHERE metric_name = 'disk_usage_pct') AS disk_usage_pct,
         max(metric_value) FILTER (WHERE metric_name = 'health_check') AS health_check FROM ingestion_metrics GROUP BY 1""",
     "eav_series": f"SELECT timestamp AS time, metric_value AS lag_messages FROM {recent('24 HOUR', 'kafka_metrics')}",
-    "evaluate_alerts": "\nUNION ALL\n".join(ALERTS),
+    "evaluate_alerts": "\nUNION ALL\n".join(ALERTS()),
 }
+
+STRETCH = 1
+SQL["evaluate_alerts_dense"] = "--compressed\n" + "\nUNION ALL\n".join(ALERTS())

