@@ -12,8 +12,8 @@ def read_bundles(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     files are lists is read from their first characters."""
     info = [F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("length")]
     lines = spark.read.text(paths).select(*info, F.col("_metadata.file_block_start").alias("at"), F.col("value").alias("body"))
-    place = F.monotonically_increasing_id()
-    first = lines.filter((F.col("at") == 0) & (F.trim("body") != "")).groupBy("path").agg(F.min_by(F.substring(F.ltrim("body"), 1, 1), place).alias("first"))
+    heads = lines.filter((F.col("at") == 0) & (F.trim("body") != "")).select("path", F.substring(F.ltrim("body"), 1, 1).alias("c"), F.monotonically_increasing_id().alias("place"))
+    first = heads.groupBy("path").agg(F.min_by("c", "place").alias("first"))
     lists = [r.path for r in first.filter(F.col("first") == "[").select("path").collect()]  # names that the scan lists as well
     if not lists:
         return lines.drop("at")
