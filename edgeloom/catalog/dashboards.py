@@ -48,6 +48,7 @@ def requests():
     return F.sum("request_count")
 
 
+# --- fixed values: panels with their labels, measures, ranges and limits ----------------
 QUERIES = {
     # business insight
     "biz_total_requests": over(_hourly, D.figure, total=requests),
@@ -123,3 +124,4 @@ QUERIES = {
     "ops_spark_processing_metrics": over(_metrics("spark_processing_metrics"), D.latest_jobs),
     "ops_spark_failed_records": over(_metrics("spark_failed_records"), D.latest_failures, "job_id", 150, 15),
 }
+# --------------------------------------------------------------------------------------

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from edgeloom.context import LogTables
+from edgeloom.functions.exprs import span
 from edgeloom.operators import alerts, jobs, quality, rollups
 
 
@@ -65,8 +66,10 @@ def consumer_lag_series(t):
     )
 
 
-def _alert_tables(t):
-    def open_table(name):
+def _alert_tables(whole):
+    def open_table(name, minutes):
+        # Roll-ups are by hour or day, so whole days are kept.
+        t = whole.after(F.date_trunc("day", whole.as_of - span(f"{minutes} minutes")))
         if name == "access_logs":
             return t.logs
         if name == "endpoint_summary":
@@ -91,8 +94,8 @@ class _Compressed(LogTables):
     """The same tables with time before the newest request run 288 times as fast: a month
     of sparse traffic fills windows of minutes."""
 
-    def table(self, name):
-        rows = super().table(name)
+    def _read(self, name):
+        rows = super()._read(name)
         if name != "events":
             return rows
         end = F.unix_micros(rows.agg(F.max(F.col("ts").cast("timestamp"))).scalar())

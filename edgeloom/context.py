@@ -14,7 +14,7 @@ from edgeloom.fixture_logs import (
 from edgeloom.functions.exprs import TS, instant, since
 
 
-LOOK_BACK_DAYS = (1, 32, 1024)
+LOOK_BACK_DAYS = (1, 32, 1024, 16384)
 
 
 class LogTables:
@@ -24,14 +24,23 @@ class LogTables:
     request. Either way queries filter by a literal, which reaches the scan and prunes it.
     """
 
-    def __init__(self, spark: SparkSession, directory: str, as_of=None):
+    def __init__(self, spark: SparkSession, directory: str, as_of=None, first: Column | None = None):
         self.spark = spark
         self.directory = directory.rstrip("/")
         self._as_of = as_of
+        self._first = first
 
-    def table(self, name: str) -> DataFrame:
+    def _read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.directory}/{name}.parquet")
 
+    def table(self, name: str) -> DataFrame:
+        rows = self._read(name)
+        return rows if name != "events" or self._first is None else rows.where(F.col("ts") >= self._first)
+
+    def after(self, first: Column) -> LogTables:
+        """The same tables without events before ``first``: what is derived from them reads no more."""
+        return type(self)(self.spark, self.directory, self.as_of, first)
+
     @cached_property
     def logs(self) -> DataFrame:
         """Canonical access log, derived from the ``events`` table."""
@@ -39,10 +48,12 @@ class LogTables:
 
     @property
     def as_of(self) -> Column:
-        return instant(self._newest if self._as_of is None else self._as_of)
+        if self._as_of is not None:
+            return instant(self._as_of)
+        return F.lit(self._newest).cast("timestamp_ntz")
 
     @cached_property
-    def _newest(self) -> str | Column:
+    def _newest(self) -> str | None:
         """Time of the newest request, found once per table set. The search looks back from
         today over growing spans, and Parquet statistics skip row groups that end before
         a span, so of a table that is written in order of time only the end is read."""
@@ -53,7 +64,7 @@ class LogTables:
             found = times.where(F.col("ts") >= F.lit(begin).cast("timestamp_ntz")).agg(newest).first()[0]
             if found is not None:
                 return found
-        return F.lit(times.agg(newest).first()[0]).cast("timestamp_ntz")
+        return times.agg(newest).first()[0]
 
     def recent(self, rollup, window: str, start: str = "window_start") -> DataFrame:
         """Roll-up rows whose window began within ``window`` of ``as_of``. The log is cut

@@ -22,6 +22,7 @@ PAIR_PATTERN = r"(\w+)=([\w\-]+)"
 TIME_FORMAT = "dd/MMM/yyyy:HH:mm:ss Z"
 BASE_FIELDS = ["ip", "timestamp", "method", "endpoint", "status", "size", "referer", "user_agent", "response_time"]
 V1_TOKENS = 9
+REJECTED = "Invalid log format"
 # --------------------------------------------------------------------------------------
 
 _SEP = "\u0001"
@@ -74,7 +75,7 @@ def parse_access_log(lines: DataFrame, line: str = "line") -> tuple[DataFrame, D
     ).isNotNull()
     # NULL lines are rejected, not lost.
     ok = F.coalesce(ok, F.lit(False))
-    rejected = staged.filter(~ok).select(*lines.columns, F.lit("Invalid log format").alias("error"))
+    rejected = staged.filter(~ok).select(*lines.columns, F.lit(REJECTED).alias("error"))
     kept = staged.filter(ok).withColumn("_kv", pairs_map(F.col("_rest")))
     promoted = {name: F.try_element_at("_kv", F.lit(name)) for name in PROMOTED_FIELDS}
     parsed = kept.withColumns(

@@ -128,10 +128,12 @@ def _judge(rule: Rule, i: int) -> Column:
     )
 
 
-def evaluate_alerts(tables: Callable[[str], DataFrame], as_of, rules: list[Rule] | None = None) -> DataFrame:
-    """All rules, one row each. ``tables`` opens a table by name, so a caller can hand in
-    stored roll-ups; each table is read once, over the longest span its rules look at."""
+def evaluate_alerts(tables: Callable[[str, int], DataFrame], as_of, rules: list[Rule] | None = None) -> DataFrame:
+    """All rules, one row each. ``tables`` opens a table by name, with at least the rows of
+    the given number of minutes before ``as_of``, so a caller can hand in stored roll-ups;
+    each table is read once, over the longest span its rules look at."""
     by_table: dict[tuple[str, str], list[Rule]] = {}
     for rule in rules or RULES:
         by_table.setdefault((rule.table, rule.ts), []).append(rule)
-    return union_files([evaluate(own, tables(name), as_of) for (name, _), own in by_table.items()])
+    longest = {key: max(r.window_minutes * r.hold for r in own) for key, own in by_table.items()}
+    return union_files([evaluate(own, tables(key[0], longest[key]), as_of) for key, own in by_table.items()])

@@ -91,13 +91,13 @@ def security_events(logs: DataFrame, max_ips: int = 100) -> DataFrame:
         .groupBy(*keys, "cli_ip")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    # Rows without an address go after the ranking: a filter before it would make the two
-    # branches differ, and the log would be read and shuffled twice.
+    # Rows without an address go after the ranking, and the count stays in use: else the two
+    # branches would differ, and the log would be read and shuffled twice.
     first_ips = Window.partitionBy(*keys).orderBy(F.asc_nulls_last("cli_ip"))
     listed = (
         per_ip.withColumn("rn", F.row_number().over(first_ips))
         .filter((F.col("rn") <= max_ips) & F.col("cli_ip").isNotNull())
-        .select(*keys, F.lit(0).cast("long").alias("n"), F.lit(0).alias("is_ip"), "cli_ip")
+        .select(*keys, F.least("n", F.lit(0)).alias("n"), F.lit(0).alias("is_ip"), "cli_ip")
     )
     counted = per_ip.select(
         *keys, "n", F.when(F.col("cli_ip").isNotNull(), 1).otherwise(0).alias("is_ip"),

@@ -56,8 +56,7 @@ def schema_from_spec(spec: str | dict) -> T.StructType:
 
 
 def cdn_schema() -> T.StructType:
-    pairs = (item.split() for item in CDN_FIELDS.split(","))
-    return schema_from_spec({"fields": [{"name": name, "type": kind} for name, kind in pairs]})
+    return T.StructType.fromDDL(CDN_FIELDS)
 
 
 def with_corrupt_column(schema: T.StructType) -> T.StructType:
