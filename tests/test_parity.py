@@ -22,4 +22,7 @@ def test_every_entry_has_a_check():
 
 @pytest.mark.parametrize("name", sorted(ENTRIES))
 def test_same_as_sql(spark, small, con, name):
-    assert difference(catalog.runnable(ENTRIES[name])(spark, small), con, SQL[name]) is None
+    df = catalog.runnable(ENTRIES[name])(spark, small)
+    assert difference(df, con, SQL[name]) is None
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not any(word in plan for word in ("CartesianProduct", "EvalPython", "InPandas", "InArrow"))

@@ -29,12 +29,6 @@ def test_newest_request_is_found_by_looking_back(spark, small):
     assert LogTables(spark, small).after(tables.as_of).table("events").count() == 1
 
 
-@pytest.mark.parametrize("name", sorted(ENTRIES))
-def test_no_python_and_no_cross_join(spark, small, name):
-    text = plan(catalog.runnable(ENTRIES[name])(spark, small))
-    assert not any(word in text for word in ("CartesianProduct", "EvalPython", "InPandas", "BatchEvalPython"))
-
-
 def test_alerts_read_each_table_once(spark, small):
     assert plan(catalog.runnable(ENTRIES["evaluate_alerts"])(spark, small)).split("== Initial Plan ==")[0].count("FileScan") <= 16
 
