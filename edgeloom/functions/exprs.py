@@ -51,7 +51,8 @@ def day_start(as_of) -> Column:
 
 
 def hour_floor(col: Column | str) -> Column:
-    return F.date_trunc("hour", col)
+    """Start of the hour as zone-free wall clock; zone-free input never meets the session's zone."""
+    return F.to_date(col).cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.hour(col))
 
 
 def n_where(cond: Column) -> Column:
@@ -96,6 +97,20 @@ def distinct_next_to_sketch(col: str) -> Column:
     return F.expr(f"count(DISTINCT {col}) FILTER (WHERE {col} IS NOT NULL)")
 
 
+EPOCH = "1970-01-01 00:00:00"
+
+
+def utc_seconds(seconds: Column) -> Column:
+    """Epoch seconds as zone-free UTC wall clock."""
+    none = F.lit(0)
+    return F.lit(EPOCH).cast("timestamp_ntz") + F.make_dt_interval(none, none, none, seconds.cast("decimal(18,6)"))
+
+
+def seconds_of_utc(wall: Column) -> Column:
+    """Epoch seconds of zone-free UTC wall clock."""
+    return F.timestamp_diff("SECOND", F.lit(EPOCH).cast("timestamp_ntz"), wall.cast("timestamp_ntz"))
+
+
 def epoch_seconds(col: Column) -> Column:
     """Seconds since 1970 as DOUBLE, keeping fractions."""
     return F.unix_micros(col.cast("timestamp")) / F.lit(1_000_000.0)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from edgeloom.functions.exprs import TS, hour_floor
+from edgeloom.functions.exprs import TS, hour_floor, utc_seconds
 
 
 def flag(cond):
@@ -33,8 +33,8 @@ def enrich(logs: DataFrame, ts: str = TS) -> DataFrame:
 
 
 def from_cdn_layout(raw: DataFrame) -> DataFrame:
-    """Rename the delivery-log layout to the canonical names; epoch seconds become a
-    UTC timestamp. Absent columns are simply not mapped."""
+    """Rename the delivery-log layout to the canonical names; epoch seconds become UTC wall
+    clock, whatever the session's zone. Absent columns are simply not mapped."""
     renames = {
         "reqId": "req_id", "cliIP": "cli_ip", "statusCode": "status_code", "proto": "proto",
         "reqHost": "req_host", "reqMethod": "req_method", "reqPath": "req_path", "UA": "user_agent",
@@ -49,4 +49,4 @@ def from_cdn_layout(raw: DataFrame) -> DataFrame:
         "cookie": "cookie", "xForwardedFor": "x_forwarded_for",
     }
     cols = [F.col(old).alias(new) for old, new in renames.items() if old in raw.columns]
-    return raw.select(F.timestamp_seconds("reqTimeSec").alias(TS), *cols)
+    return raw.select(utc_seconds(F.col("reqTimeSec")).alias(TS), *cols)

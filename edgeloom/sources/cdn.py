@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from edgeloom.functions.exprs import TS
+from edgeloom.functions.exprs import TS, seconds_of_utc
 from edgeloom.sources.schemas import CORRUPT, cdn_schema, with_corrupt_column
 
 # Lines are read as text and parsed by an expression: the malformed line is then an
@@ -81,7 +81,7 @@ def to_cdn_layout(logs: DataFrame) -> DataFrame:
     """Canonical rows in the published layout; fields the log does not carry are NULL."""
     known = {
         "version": F.lit("1"), "cp": F.lit(123456), "reqId": F.col("req_id").cast("string"),
-        "reqTimeSec": F.unix_seconds(F.col(TS).cast("timestamp")), "bytes": F.col("bytes"),
+        "reqTimeSec": seconds_of_utc(F.col(TS)), "bytes": F.col("bytes"),
         "cliIP": F.col("cli_ip"), "statusCode": F.col("status_code"), "proto": F.col("proto"),
         "reqHost": F.col("req_host"), "reqMethod": F.col("req_method"), "reqPath": F.col("req_path"),
         "reqPort": F.lit(443), "rspContentType": F.col("rsp_content_type"), "UA": F.col("user_agent"),

@@ -101,3 +101,15 @@ def test_default_least_requests_of_slow_paths(spark):
 
 def test_default_least_requests_of_bots(spark):
     assert security.bot_traffic(_requests(spark, 50), NOW).count() == 0
+
+
+def test_hours_are_utc_in_any_session_zone(spark):
+    from edgeloom.operators.enrich import enrich, from_cdn_layout
+
+    raw = spark.createDataFrame([(1704076200, 200, 1, 5, 5, "Mobile")], "reqTimeSec long, statusCode int, cacheStatus int, turnAroundTimeMSec long, transferTimeMSec long, UA string")
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        row = enrich(from_cdn_layout(raw)).select("request_timestamp", "hour", "date").first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert (row.request_timestamp, row.hour, row.date) == (dt.datetime(2024, 1, 1, 2, 30), dt.datetime(2024, 1, 1, 2), dt.date(2024, 1, 1))
