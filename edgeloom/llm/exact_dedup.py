@@ -40,7 +40,7 @@ def deduplicate_stream(arrivals: DataFrame, checkpoint: str) -> None:
         "spark.sql.streaming.stateStore.providerClass": ROCKS,
         "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",  # many stores with little each
         "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-        "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+        "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "64",
     }
     with settings(spark, **rocks):
         query = (

@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 
 SPACE = 0
 CHUNK = 1 << 18
+GRAMS_AT_ONCE = 8192
 DENSE_CODES = 1 << 22
 UNKNOWN = "und"
+TEXTS_AT_ONCE = 256
 
 
 def letter_vector(code: int, dims: int, seed: int) -> np.ndarray:
@@ -86,13 +88,17 @@ class Profiler:
             found, which = np.unique(code, return_inverse=True)
         if not len(found):
             return out
-        grams = self._gram_vectors(alphabet, found, k)
         starts = np.searchsorted(text_of, np.arange(len(parts) + 1))
+        held = []
         for lo in range(0, len(parts), 64):
             hi = min(lo + 64, len(parts))
             own = slice(starts[lo], starts[hi])
             counts = np.bincount((text_of[own] - lo) * len(found) + which[own], minlength=(hi - lo) * len(found))
-            np.add.at(out, rows[lo:hi], counts.reshape(hi - lo, len(found)).astype(np.float32) @ grams)
+            held.append(counts.reshape(hi - lo, len(found)).astype(np.float32))
+        counts = np.concatenate(held)
+        for lo in range(0, len(found), GRAMS_AT_ONCE):
+            some = slice(lo, lo + GRAMS_AT_ONCE)
+            np.add.at(out, rows, counts[:, some] @ self._gram_vectors(alphabet, found[some], k))
         return out
 
     def _gram_vectors(self, alphabet: np.ndarray, found: np.ndarray, k: int) -> np.ndarray:
@@ -125,8 +131,8 @@ def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", d
     def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         profiler, total = Profiler(dims, gram, seed), {}
         for batch in batches:
-            for lo in range(0, len(batch), 512):
-                part = batch.iloc[lo : lo + 512]
+            for lo in range(0, len(batch), TEXTS_AT_ONCE):
+                part = batch.iloc[lo : lo + TEXTS_AT_ONCE]
                 bundles = _unit(profiler.bundles(part["text"].tolist()))
                 for lang, at in part.reset_index(drop=True).groupby("lang").groups.items():
                     total[lang] = total.get(lang, 0) + bundles[at].sum(0)
@@ -152,8 +158,8 @@ def guess(text: F.Column, prototypes: dict[str, np.ndarray], dims: int = 1024, g
         profiler = Profiler(dims, gram, seed)
         for texts in batches:
             out = []
-            for lo in range(0, len(texts), 256):
-                some = texts.iloc[lo : lo + 256].tolist()
+            for lo in range(0, len(texts), TEXTS_AT_ONCE):
+                some = texts.iloc[lo : lo + TEXTS_AT_ONCE].tolist()
                 if not names:
                     out += [(UNKNOWN, 0.0)] * len(some)
                     continue

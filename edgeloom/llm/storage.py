@@ -64,12 +64,18 @@ def keep_marked(docs: DataFrame, key: Column, marked: DataFrame, order: Column)
 _shipped: set[str] = set()
 
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, once per application, as ``--py-files`` would."""
+    """Send this package to the executors, once per application, as ``--py-files`` would, and
+    keep batches of texts small: unless the session has its own setting, 1,000 rows."""
     import shutil
     import tempfile
     from pathlib import Path
 
+    if spark.conf.get(BATCH_ROWS) == "10000":
+        spark.conf.set(BATCH_ROWS, "1000")
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return
