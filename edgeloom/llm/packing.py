@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+import re
+import sys
+from array import array
+from collections.abc import Callable, Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -12,33 +16,97 @@ from pyspark.sql import functions as F
 
 from edgeloom.llm.storage import staged
 
-CACHE_WORDS, CACHE_CHARS, ENCODE_AT_ONCE = 300_000, 40, 20_000
+CACHE_WORDS, CACHE_TOKENS, CACHE_CHARS = 200_000, 300_000, 48
 BIN_BITS = 24
+LITTLE = sys.byteorder == "little" and array("I").itemsize == 4
+#: The vocabulary's word pattern for Latin-1 text, and characters of that
+#: range on which notions of white space differ.
+LETTERS, NUMBERS = "a-zA-Zªµº\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff", "0-9²³¹¼½¾"
+LATIN_WORD = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^\\s{LETTERS}{NUMBERS}]+")
+ODD = re.compile("[\x1c-\x1f\x85\xa0]")
+
+
+class Remembered:
+    """What a function gave for short texts. Those not met since ``most`` new ones are forgotten."""
+
+    def __init__(self, make: Callable[[str], bytes], most: int):
+        self.make, self.most, self.known, self.older = make, most, {}, {}
+
+    def of(self, texts: list[str]) -> list[bytes]:
+        found = list(map(self.known.get, texts))
+        if None in found:
+            for i, text in enumerate(texts):
+                if found[i] is None:
+                    found[i] = self.known.get(text) or self._new(text)
+        return found
+
+    def _new(self, text: str) -> bytes:
+        value = self.older.get(text)
+        if value is None:
+            value = self.make(text)
+        if len(text) <= CACHE_CHARS:
+            if len(self.known) >= self.most:
+                self.known, self.older = {}, self.known
+            self.known[text] = value
+        return value
 
 
 class WordTokenizer:
-    """Ids of whole texts as little-endian unsigned 32-bit bytes. The vocabulary drops white
-    space and never joins tokens across it, so words are encoded once and remembered."""
+    """Ids of whole texts as little-endian unsigned 32-bit bytes.
+
+    The vocabulary drops white space and joins no tokens across the words that its pattern
+    cuts a lower-cased text into. So texts are split at white space, what lies between is
+    cut into words, words are encoded, and both are remembered. Texts beyond Latin-1, and those with
+    special tokens or characters whose class is in doubt, are cut at spaces only and go through
+    the whole tokenizer. Either way the ids are the tokenizer's own for the whole text."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {"": b""}
+        self.tokenizer = Tokenizer.from_file(path)
+        self.bytes_as = {c: "".join(_byte_letters()[b] for b in chr(c).encode()) for c in range(256)}
+        self.words = Remembered(self._word, CACHE_WORDS)
+        self.tokens = Remembered(lambda text: b"".join(self.words.of(LATIN_WORD.findall(text))), CACHE_TOKENS)
+        self.others = Remembered(lambda text: _packed(self.tokenizer.encode(text, add_special_tokens=False).ids), CACHE_WORDS)
+
+    def _word(self, word: str) -> bytes:
+        return _packed([t.id for t in self.tokenizer.model.tokenize(word.translate(self.bytes_as))])
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         for text in texts:
-            words = (text or "").replace("\n", " ").split(" ")
-            new = list(set(words).difference(self.known))
-            own = {}
-            for lo in range(0, len(new), ENCODE_AT_ONCE):
-                part = new[lo : lo + ENCODE_AT_ONCE]
-                for word, got in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False)):
-                    (self.known if len(word) <= CACHE_CHARS else own)[word] = np.array(got.ids, dtype="<u4").tobytes()
-            known = {**self.known, **own}.__getitem__ if own else self.known.__getitem__
-            yield b"".join(map(known, words))
-            if len(self.known) > CACHE_WORDS:
-                self.known = {"": b""}
+            text = text or ""
+            if _plain(text):
+                yield b"".join(self.tokens.of(text.lower().split()))
+            else:
+                yield b"".join(self.others.of(text.replace("\n", " ").split(" ")))
+
+
+def _packed(ids: list[int]) -> bytes:
+    return array("I", ids).tobytes() if LITTLE else np.array(ids, dtype="<u4").tobytes()
+
+
+def _plain(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return "<|" not in text and not ODD.search(text)
+
+
+@cache
+def _byte_letters() -> list[str]:
+    """The printable letter that stands for each byte: itself where it prints, else the next from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    letter = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+    return [letter[b] for b in range(256)]
+
+
+@cache
+def tokenizer_of(path: str) -> WordTokenizer:
+    """One per worker process: its words serve the next task too."""
+    return WordTokenizer(path)
 
 
 class Tournament:
@@ -99,7 +167,7 @@ def pieces_of(docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str,
     length, ids, doc_tokens."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tokenizer, end = WordTokenizer(tokenizer_path), np.array([end_id], dtype="<u4").tobytes()
+        tokenizer, end = tokenizer_of(tokenizer_path), np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
             rows, held = [], 0
             for ident, ids in zip(batch["id"], tokenizer.encode(batch["text"].tolist())):

@@ -1,3 +1,4 @@
+import random
 import zlib
 from collections import defaultdict
 
@@ -21,9 +22,14 @@ def expected(texts):
 def test_words_give_the_whole_texts_ids(monkeypatch):
     import edgeloom.llm.packing as M
 
+    rng = random.Random(3)
+    latin = [chr(c) for c in range(256)] + list("aAbB'’sStTrevVmldD  \n<|>é²") * 6
     texts = [t[1] if isinstance(t, tuple) else t for t in TEXTS]
+    texts += ["".join(rng.choice(latin) for _ in range(rng.randint(0, 40))) for _ in range(3000)]
+    texts += ["".join(rng.choice(latin + list("́ſΣσẞİ中🙂") * 9) for _ in range(rng.randint(0, 40))) for _ in range(1000)]
     for kept in (300_000, 1):
         monkeypatch.setattr(M, "CACHE_WORDS", kept)
+        monkeypatch.setattr(M, "CACHE_TOKENS", kept)
         got = [np.frombuffer(b, "<u4").tolist() for b in WordTokenizer(PATH).encode(texts)]
         assert got == expected(texts)
 
