@@ -19,13 +19,15 @@ def enrich_from(df: DataFrame, dimension: DataFrame, on: list[str]) -> DataFrame
     return df.join(dimension, on, "left")
 
 
+OCTET = r"(25[0-5]|2[0-4]\d|[01]?\d?\d)"
+
+
 def ip_to_long(ip: Column | str) -> Column:
     """Dotted IPv4 as a number; NULL for anything else."""
     ip = F.col(ip) if isinstance(ip, str) else ip
-    valid = ip.rlike(r"^\d{1,3}(\.\d{1,3}){3}$")
-    octet = [F.split_part(ip, F.lit("."), F.lit(i)).try_cast("long") for i in (1, 2, 3, 4)]
-    number = ((octet[0] * 256 + octet[1]) * 256 + octet[2]) * 256 + octet[3]
-    return F.when(valid & (F.greatest(*octet) <= 255), number)
+    valid = ip.rlike(rf"^{OCTET}(\.{OCTET}){{3}}$")
+    number = F.aggregate(F.split(ip, r"\."), F.lit(0).cast("long"), lambda n, octet: n * 256 + octet.try_cast("long"))
+    return F.when(valid, number)
 
 
 PREFIX_BITS = (32, 28, 24, 20, 16, 12, 8, 4, 0)
