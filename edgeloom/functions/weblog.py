@@ -65,7 +65,8 @@ def parse_access_log(lines: DataFrame, line: str = "line") -> tuple[DataFrame, D
     """(parsed rows, rejected lines). Known trailing keys become columns, the rest stay in
     ``custom_fields``. Other input columns are carried along."""
     groups = len(BASE_FIELDS)
-    staged = lines.withColumn("_p", _pieces(F.col(line), BASE_PATTERN, groups))
+    # A generator keeps filters above it: pushed below, they would match each line again per field.
+    staged = lines.withColumn("_p", F.explode(F.array(_pieces(F.col(line), BASE_PATTERN, groups))))
     fields = {
         name: F.get("_p", F.lit(i)).try_cast(_FIELD_TYPES.get(name, "string")) for i, name in enumerate(BASE_FIELDS)
     }
