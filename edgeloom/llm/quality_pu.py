@@ -109,29 +109,35 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int =
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", train_rows: int = 20_000, seed: int = 11) -> Model | None:
-    """A model from a bounded sample of about ``train_rows`` documents, chosen by hash. Those
-    labelled 1 are the trusted positives; all of them, labels unseen, are the unlabelled text. The class prior is
-    estimated as the share of 1 among the sample's labelled rows. None without positives."""
-    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text")).where("id is not null")
-    share = min(1.0, train_rows / max(1, docs.count()))
-    if share < 1:
-        rows = rows.where(F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1 << 20)) < int(share * (1 << 20)))
+    """A model from two bounded samples, each of about ``train_rows`` documents chosen by hash: the
+    trusted positives from all documents labelled 1, and the unlabelled text from all documents, labels unseen.
+    The class prior is the share of 1 among all labelled documents. None without positives."""
+    rows = docs.select(F.col(f"`{id_col}`").cast("string").alias("key"), F.col(f"`{text_col}`").cast("string").alias("text")).where("key is not null")
+
+    def drawn(table: DataFrame, n: int, salt: int) -> DataFrame:
+        share = min(1.0, train_rows / max(1, n))
+        return table if share == 1 else table.where(F.pmod(F.xxhash64("key", F.lit(salt)), F.lit(1 << 40)) < int(share * (1 << 40)))
 
     def described(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         features = Features()
         for batch in batches:
             yield pd.DataFrame({"key": batch["key"], "x": [features.of(t).astype("<f4").tobytes() for t in batch["text"]]})
 
+    def collected(sample: DataFrame) -> np.ndarray:
+        got = sample.mapInPandas(described, "key string, x binary").orderBy("key", "x").select("x").collect()
+        return np.stack([np.frombuffer(r.x, dtype="<f4") for r in got]).astype(float) if got else np.zeros((0, CLASSES + SHAPES + 9))
+
     marked = labels.select(F.col(f"`{id_col}`").cast("string").alias("key"), F.col(f"`{label_col}`").alias("y")).where("y is not null")
-    marked = marked.groupBy("key").agg(F.max("y").alias("y"))
-    sample = rows.select(F.col("id").cast("string").alias("key"), "text").mapInPandas(described, "key string, x binary")
-    got = sample.join(marked, "key", "left").orderBy("key").select("x", "y").collect()
-    if not any(r.y == 1 for r in got):
+    marked = rows.select("key").join(marked.groupBy("key").agg(F.max("y").alias("y")), "key")
+    n_marked, n_positive = marked.agg(F.count_if(F.col("y") >= 0), F.count_if(F.col("y") == 1)).first()
+    if not n_positive:
+        return None
+    trusted = drawn(marked.where("y = 1").select("key").distinct(), n_positive, seed + 1)
+    positive = collected(rows.join(F.broadcast(trusted), "key", "left_semi"))
+    unlabelled = collected(drawn(rows, docs.count(), seed))
+    if not len(positive) or not len(unlabelled):
         return None
-    x = np.stack([np.frombuffer(r.x, dtype="<f4") for r in got]).astype(float)
-    y = np.array([-1 if r.y is None else int(r.y) for r in got])
-    prior = ((y == 1).sum() + 1) / ((y >= 0).sum() + 2)
-    return fit(x[y == 1], x, float(prior))
+    return fit(positive, unlabelled, (n_positive + 1) / (n_marked + 2))
 
 
 def scores(text: Column, model: Model | None) -> Column:

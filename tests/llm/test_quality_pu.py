@@ -48,3 +48,18 @@ def test_defined_cases(spark):
     assert len(got) == len(TEXTS) + 2 and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in got)
     assert {r.score for r in Q.classify(df, labels.limit(0)).collect()} == {0.5}
     assert Q.classify(df.limit(0), labels).collect() == []
+
+
+def test_few_labels_all_teach(spark, monkeypatch):
+    texts = [f"Sentence {i} has plain words, and it ends." if i % 2 else f"*** $$ {i} &&& ^^ ||" for i in range(4000)]
+    df, n = docs(spark, texts), 120
+    labels = spark.createDataFrame([(i, i % 2) for i in range(n)], "doc_id long, quality int")
+    seen, fit = [], Q.fit
+    monkeypatch.setattr(Q, "fit", lambda p, u, prior: seen.append((len(p), len(u), prior)) or fit(p, u, prior))
+    model = Q.learn(df, labels, train_rows=400)
+    (positive, unlabelled, prior), x = seen[0], Q.Features()
+    assert positive == n // 2 and 300 < unlabelled < 500 and prior == (n // 2 + 1) / (n + 2)
+    assert model.score(np.stack([x.of(t) for t in texts[1000:1002]])).round().tolist() == [0, 1]
+    many = spark.createDataFrame([(i, i % 2) for i in range(4000)], "doc_id long, quality int")
+    Q.learn(df, many, train_rows=400)
+    assert 300 < seen[1][0] < 500 and seen[1][2] == 2001 / 4002
