@@ -124,7 +124,7 @@ def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", d
     and the sums are added by language and dimension, so what reaches the driver is languages x dims numbers."""
     rows = labelled.where(F.col(f"`{lang_col}`").isNotNull() & F.col(f"`{text_col}`").isNotNull())
     rows = rows.select(F.col(f"`{lang_col}`").cast("string").alias("lang"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    share = min(1.0, train_rows / max(1, labelled.count()))
+    share = min(1.0, train_rows / max(1, rows.count()))
     if share < 1:
         rows = rows.where(F.pmod(F.xxhash64("text", F.lit(seed)), F.lit(1 << 20)) < int(share * (1 << 20)))
 
@@ -191,10 +191,23 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     return answer.select(F.col("id").alias(id_col), "held_out", "guess.lang_pred", "guess.score")
 
 
+def lettered(text: F.Column) -> F.Column:
+    """Whether a text has a letter; null texts have none."""
+
+    @F.pandas_udf("boolean")
+    def found(texts: pd.Series) -> pd.Series:
+        return pd.Series([any(map(str.isalpha, t or "")) for t in texts], dtype=bool)
+
+    return found(text.cast("string"))
+
+
 def drop_unidentified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", min_score: float = 0.0, **options) -> DataFrame:
     """``docs`` without the rows that are rejected: those predicted ``und`` or with a score
-    below ``min_score``. Prototypes come from the rows that ``identify`` learns from."""
+    below ``min_score``. Prototypes come from the rows that ``identify`` learns from. Where these
+    teach no language, only null texts and texts without a letter are rejected."""
     prototypes = learn(docs.where(fold(id_col) != 2), text_col, lang_col, **options)
+    if not prototypes:
+        return docs.where(lettered(F.col(f"`{text_col}`")))
     own = {k: v for k, v in options.items() if k != "train_rows"}
     name = f"guess_{uuid.uuid4().hex[:8]}"
     guessed = docs.withColumn(name, guess(F.col(f"`{text_col}`"), prototypes, **own))

@@ -72,3 +72,14 @@ def test_defined_cases(spark):
     nolang = df.withColumn("lang", F.lit(None).cast("string"))
     assert {r.lang_pred for r in L.identify(nolang).collect()} == {"und"}
     assert L.identify(df.limit(0)).collect() == [] and L.drop_unidentified(df.limit(0)).collect() == []
+
+
+def test_rows_without_language_take_no_share(spark):
+    texts = [f"the cat and the dog number {i}" if i % 2 else f"der hund und die katze nummer {i}" for i in range(40)] + [f"text {i}" for i in range(4000)]
+    df = docs(spark, texts).withColumn("lang", F.when(F.col("doc_id") < 40, F.when(F.col("doc_id") % 2 == 1, "en").otherwise("de")))
+    assert set(L.learn(df, dims=64, train_rows=40)) == {"de", "en"}
+
+
+def test_stage_keeps_lettered_texts_without_a_language(spark):
+    df = docs(spark, ["Hello world", None, "12 !!", "", "中文"]).withColumn("lang", F.lit(None).cast("string"))
+    assert sorted(r.doc_id for r in L.drop_unidentified(df).collect()) == [0, 4]
