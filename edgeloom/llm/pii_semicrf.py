@@ -32,6 +32,8 @@ NUMERIC = re.compile(r"\+?[0-9 ().-]*[0-9]")
 GROUPED_PHONE = re.compile(r"(?:\+?[0-9]{1,3}[ .-])?\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}")
 GROUPED_CARD = re.compile(r"[0-9]{4}([ .-])[0-9]{4}\1[0-9]{4}\1[0-9]{4}")
 N_FEATURES = 24
+#: The least weight of windows with one set of kinds; and how many tasks merge the windows of all.
+LEAST, MERGES = 0.1, 16
 
 
 def _digits(s: str) -> str:
@@ -175,21 +177,22 @@ def best_path(lattice: Lattice, weights: np.ndarray) -> list[tuple[int, int, int
     return out[::-1]
 
 
-def train(examples: list[tuple[Lattice, dict[tuple[int, int], int]]], steps: int = 60, rate: float = 0.5, decay: float = 1e-3) -> np.ndarray:
+def train(examples: list[tuple[Lattice, dict[tuple[int, int], int]]], steps: int = 60, rate: float = 0.5, decay: float = 1e-3, shares: list[float] | None = None) -> np.ndarray:
     """Weights (kind x feature) that maximise the likelihood of the true segmentations. The
     sum over all segmentations runs forward over each lattice and its derivative backward;
-    the gradient is true features less expected ones."""
+    the gradient is true features less expected ones. An example counts ``shares`` times, or once."""
+    shares = shares or [1.0] * len(examples)
     weights = np.zeros((len(KINDS), N_FEATURES))
     weights[:, 0] = -2.0
     true = np.zeros_like(weights)
-    for lattice, gold in examples:
+    for (lattice, gold), share in zip(examples, shares):
         for k, span in enumerate(lattice.segments):
             if span in gold:
-                true[gold[span]] += lattice.x[k]
+                true[gold[span]] += share * lattice.x[k]
     moment = np.zeros_like(weights)
     for _ in range(steps):
         expected = np.zeros_like(weights)
-        for lattice, _gold in examples:
+        for (lattice, _gold), share in zip(examples, shares):
             score = lattice.x @ weights.T
             total = np.logaddexp.reduce(score, axis=1)
             ahead = [0.0]
@@ -202,8 +205,8 @@ def train(examples: list[tuple[Lattice, dict[tuple[int, int], int]]], steps: int
                 chance[k] = take = grow[k + 1] * np.exp(ahead[before] + total[k] - ahead[k + 1])
                 grow[k] += grow[k + 1] - take
                 grow[before] += take
-            expected += (np.exp(score - total[:, None]) * chance[:, None]).T @ lattice.x
-        gradient = (true - expected) / len(examples) - decay * weights
+            expected += share * (np.exp(score - total[:, None]) * chance[:, None]).T @ lattice.x
+        gradient = (true - expected) / sum(shares) - decay * weights
         moment += gradient**2
         weights += rate * gradient / (np.sqrt(moment) + 1e-6)
     return weights
@@ -239,22 +242,108 @@ def examples_of(windows: list[str]) -> list[tuple[Lattice, dict[tuple[int, int],
     return out
 
 
-def learn(docs: DataFrame, text_col: str = "text", train_rows: int = 20_000, windows: int = 1_500, seed: int = 5) -> np.ndarray | None:
-    """Weights from windows of a bounded sample: about ``train_rows`` documents and at most
-    ``windows`` windows, both chosen by hash. None if no window holds an entity."""
-    share = min(1.0, train_rows / max(1, docs.count()))
+def stratum(window: str) -> int:
+    """The set of kinds that the patterns find in a window, as bits."""
+    return sum(1 << k for k in {k for _, k, _ in base_spans(window)})
+
+
+def teaches(window: str) -> bool:
+    """Whether a window has a candidate segment; others change no likelihood."""
+    enough = "@" in window or "at" in window or window.count(".") > 2 or len(_digits(window)) >= 7
+    return enough and bool(candidates(window, 0, len(window)))
+
+
+def quotas(sizes: dict[int, int], total: int) -> dict[int, int]:
+    """Small strata whole, and what is left of ``total`` in equal parts to the others."""
+    out, left = {}, total
+    for i, (key, size) in enumerate(sorted(sizes.items(), key=lambda x: x[1])):
+        out[key] = min(size, left // (len(sizes) - i))
+        left -= out[key]
+    return out
+
+
+def raised(sizes: dict[int, float]) -> dict[int, float]:
+    """Weights of the strata that sum to 1: their shares of all windows, but at least ``LEAST`` for windows
+    with entities of any set of kinds."""
+    low: set[int] = set()
+    least = min(LEAST, 0.5 / len(sizes))
+    while True:
+        rest = sum(v for k, v in sizes.items() if k not in low)
+        out = {k: least if k in low else (1 - least * len(low)) * v / rest for k, v in sizes.items()}
+        more = {k for k, v in out.items() if k and k not in low and v < least}
+        if not more:
+            return out
+        low |= more
+
+
+def learn(docs: DataFrame, text_col: str = "text", windows: int = 1_500, seed: int = 5) -> np.ndarray | None:
+    """Weights from at most ``windows`` distinct windows out of all documents. Windows are parted by the
+    set of kinds that the patterns find in them, none included (if they have candidates); of each part those with the smallest
+    hashes are taken, so a rare kind teaches however rare it is. Parts count by their shares of all
+    windows, rare ones by ``LEAST``. None if no window of any document holds an entity."""
     rows = docs.select(F.col(f"`{text_col}`").cast("string").alias("text")).where("text is not null")
-    if share < 1:
-        rows = rows.where(F.pmod(F.xxhash64("text", F.lit(seed)), F.lit(1 << 20)) < int(share * (1 << 20)))
+    bound = max(1, windows // 2)
+
+    def rank(window: str) -> int:
+        return int.from_bytes(hashlib.blake2b(window.encode("utf-8", "surrogatepass"), digest_size=8, salt=str(seed).encode()).digest()) >> 1
+
+    def fewest(kept: dict[int, dict[str, int]]) -> None:
+        for kind, own in kept.items():
+            if len(own) > bound:
+                kept[kind] = dict(sorted(own.items(), key=lambda x: (x[1], x[0]))[:bound])
+
+    def frame(kept: dict[int, dict[str, int]], seen: dict[int, int]) -> pd.DataFrame:
+        fewest(kept)
+        found = [(kind, at, window, 0) for kind, own in kept.items() for window, at in own.items()]
+        found += [(kind, -1, "", n) for kind, n in seen.items()]
+        return pd.DataFrame(found, columns=["stratum", "rank", "window", "n"])
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        kept, seen = {}, {}
         for batch in batches:
-            near = [t[max(0, lo - 2) : hi + 2] for t in batch["text"] for lo, hi in islands(t) if hi - lo <= 256]
-            yield pd.DataFrame({"window": pd.Series(near, dtype=object)})
-
-    got = rows.mapInPandas(cut, "window string").distinct().orderBy(F.xxhash64("window", F.lit(seed)), "window").limit(windows).collect()
-    examples = examples_of([r.window for r in got])
-    return train(examples) if any(gold for _, gold in examples) else None
+            for text in batch["text"]:
+                for lo, hi in islands(text):
+                    if hi - lo <= 256:
+                        window = text[max(0, lo - 2) : hi + 2]
+                        kind = stratum(window)
+                        if not kind and not teaches(window):
+                            continue
+                        seen[kind] = seen.get(kind, 0) + 1
+                        own = kept.setdefault(kind, {})
+                        if window not in own:
+                            own[window] = rank(window)
+                            if len(own) >= 4 * bound:
+                                fewest(kept)
+        yield frame(kept, seen)
+
+    def merged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        kept, seen = {}, {}
+        for batch in batches:
+            for kind, at, window, n in batch.itertuples(index=False):
+                if at < 0:
+                    seen[kind] = seen.get(kind, 0) + n
+                else:
+                    kept.setdefault(kind, {})[window] = at
+            fewest(kept)
+        yield frame(kept, seen)
+
+    schema = "stratum long, rank long, window string, n long"
+    best = rows.mapInPandas(cut, schema).repartition(MERGES, "window").mapInPandas(merged, schema)
+    parts, sizes = {}, {}
+    for r in best.collect():
+        if r.rank < 0:
+            sizes[r.stratum] = sizes.get(r.stratum, 0) + r.n
+        else:
+            parts.setdefault(r.stratum, []).append((r.rank, r.window))
+    if not any(parts):
+        return None
+    taken = quotas({kind: min(len(own), bound) for kind, own in parts.items()}, windows)
+    examples, shares, weight = [], [], raised(sizes)
+    for kind, own in sorted(parts.items()):
+        some = examples_of([w for _, w in sorted(own)[: taken[kind]]])
+        examples += some
+        shares += [weight[kind] / len(some)] * len(some) if some else []
+    return train(examples, shares=shares) if any(gold for _, gold in examples) else None
 
 
 def find_spans(text: str, weights: np.ndarray | None) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:

@@ -100,3 +100,20 @@ def test_redaction(spark):
     assert (got[0].text, got[0].n_chars) == ("to [email], [ip]", 16) and got[1].text is None and got[2].text == "clean"
     assert got[3].text == "[email]"
     assert P.redact(df.limit(0)).collect() == []
+
+
+def test_rare_entities_teach(spark):
+    rare = ["mail a.b@c.de now", "call +1 (504) 555-2652 now", "on 10.0.0.1 now", "card 4539148803436467 now"]
+    texts = [f"in {1500 + i % 500} there were {i} items\nand {20240000 + i} more" for i in range(20_000)] + rare
+    learned = P.learn(docs(spark, texts))
+    found = lambda t: [(P.KINDS[k], t[s:e]) for s, k, e in P.find_spans(t, learned)[1]]
+    assert found("mail bob (at) example.com ok") == [("email", "bob (at) example.com")]
+    assert found("call (504) 555-2652 ok") == [("phone", "(504) 555-2652")]
+    assert found("in 1999 there were 12345678 items") == []
+    assert P.learn(docs(spark, texts[:50])) is None
+
+
+def test_weights_of_strata():
+    assert P.quotas({0: 900, 1: 10, 2: 800}, 1000) == {1: 10, 2: 495, 0: 495}
+    got = P.raised({0: 10**9, 1: 1, 2: 10**9})
+    assert got[1] == pytest.approx(0.1) and got[0] == got[2] == pytest.approx(0.45)
