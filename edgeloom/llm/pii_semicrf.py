@@ -25,6 +25,9 @@ MAX_TOKENS, MAX_CHARS = 6, 64
 OPENING, CLOSING = "([{<\"'", ")]}>\"'.,;:!?"
 ANCHOR = re.compile(r"[0-9@]+|[(\[]at[)\]]")
 TOKEN = re.compile(r"[^ \t\r\n]+")
+#: Runs inside tokens, and what may lie between runs of one entity.
+RUN = re.compile(r"""[^\s:=,;<>/|&?#*`\\"'{}()\[\]]+""")
+WITHIN = re.compile(r"[ \t\r\n()\[\]]*")
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 SPELT_AT = re.compile(r"[A-Za-z0-9._%+-]+ ?[(\[]at[)\]] ?[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+){3}")
@@ -98,26 +101,39 @@ def islands(text: str) -> list[tuple[int, int]]:
 
 def candidates(text: str, lo: int, hi: int) -> list[tuple[int, int]]:
     """Segments of up to ``MAX_TOKENS`` tokens, with and without brackets and punctuation at
-    either end, that hold enough digits or an @ to be an entity; by end, then start."""
+    either end, and of as many runs between the delimiters inside tokens, that hold enough
+    digits or an @ to be an entity; by end, then start."""
     tokens = [m.span() for m in TOKEN.finditer(text, lo, hi)]
     out = set()
     for i, (first, stop) in enumerate(tokens):
         bare = first
         while bare < stop and text[bare] in OPENING:
             bare += 1
-        for _, last in tokens[i : i + MAX_TOKENS]:
-            if last - bare > 2 * MAX_CHARS:
+        _segments(text, {first, bare}, first, tokens[i : i + MAX_TOKENS], out)
+    runs = [m.span() for m in RUN.finditer(text, lo, hi)]
+    for i, (first, _) in enumerate(runs):
+        joined = runs[i : i + 1]
+        for following in runs[i + 1 : i + MAX_TOKENS]:
+            if following[0] - first > MAX_CHARS or not WITHIN.fullmatch(text, joined[-1][1], following[0]):
                 break
-            trimmed = last
-            while trimmed > first and text[trimmed - 1] in CLOSING:
-                trimmed -= 1
-            for s in {first, bare}:
-                for e in {last, trimmed}:
-                    if s < e <= s + MAX_CHARS and _may_be_entity(text[s:e]):
-                        out.add((s, e))
+            joined.append(following)
+        _segments(text, {first, first - (first > lo and text[first - 1] in "([")}, first, joined, out)
     return sorted(out, key=lambda x: (x[1], x[0]))
 
 
+def _segments(text: str, starts: set[int], first: int, parts: list[tuple[int, int]], out: set[tuple[int, int]]) -> None:
+    for _, last in parts:
+        if last - max(starts) > 2 * MAX_CHARS:
+            break
+        trimmed = last
+        while trimmed > first and text[trimmed - 1] in CLOSING:
+            trimmed -= 1
+        for s in starts:
+            for e in {last, trimmed}:
+                if s < e <= s + MAX_CHARS and _may_be_entity(text[s:e]):
+                    out.add((s, e))
+
+
 def _may_be_entity(piece: str) -> bool:
     return "@" in piece or "(at)" in piece or "[at]" in piece or len(_digits(piece)) >= 7 or piece.count(".") == 3
 

@@ -117,3 +117,20 @@ def test_weights_of_strata():
     assert P.quotas({0: 900, 1: 10, 2: 800}, 1000) == {1: 10, 2: 495, 0: 495}
     got = P.raised({0: 10**9, 1: 1, 2: 10**9})
     assert got[1] == pytest.approx(0.1) and got[0] == got[2] == pytest.approx(0.45)
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["tel:{}", "phone=({a}) {b}", "name,{},city", "x|{}|y", "<p>{}</p>", "call;{};", '{{"name":"x","phone":"{}","n":1}}', '<a href="tel:{}">', "id," + "abc," * 30 + "{},1", "[{}]"],
+)
+def test_entities_inside_tokens(weights, text):
+    phone = "(504) 555-2652" if "{a}" in text else "555-123-4567"
+    text = text.format(phone, a="504", b="555-2652")
+    assert [(P.KINDS[k], text[s:e]) for s, k, e in P.find_spans(text, weights)[1]] == [("phone", phone)]
+
+
+def test_spelt_email_inside_tokens(weights):
+    for text in ("mailto:bob(at)example.com", "a,bob(at)example.com,b", '{"mail":"bob (at) example.com","n":1}'):
+        (s, k, e) = P.find_spans(text, weights)[1][0]
+        assert (P.KINDS[k], text[s:e].replace(" ", "")) == ("email", "bob(at)example.com")
+    assert P.find_spans("2024-01-02T10:20:30,17,1234567,19", weights)[1] == []
