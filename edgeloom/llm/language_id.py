@@ -16,6 +16,8 @@ GRAMS_AT_ONCE = 8192
 DENSE_CODES = 1 << 22
 UNKNOWN = "und"
 TEXTS_AT_ONCE = 256
+#: Texts that teach a language at least, if it has them.
+LEAST_ROWS = 64
 
 
 def letter_vector(code: int, dims: int, seed: int) -> np.ndarray:
@@ -118,15 +120,32 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.where(norm > 0, norm, 1)[:, None]
 
 
+def shares(sizes: dict[str, int], total: int, least: int = LEAST_ROWS) -> dict[str, float]:
+    """The part of each language's texts that teaches: small languages whole, the others in equal
+    numbers of what is left of ``total``, but of ``least`` texts at least."""
+    out, left = {}, total
+    for i, (lang, size) in enumerate(sorted(sizes.items(), key=lambda x: (x[1], x[0]))):
+        own = min(size, max(least, left // (len(sizes) - i)))
+        out[lang] = own / size
+        left -= min(own, left)
+    return out
+
+
 def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", dims: int = 1024, gram: int = 3, seed: int = 7, train_rows: int = 20_000) -> dict[str, np.ndarray]:
     """A prototype per language: the sum of the unit bundles of its texts, made a unit vector, from a
-    bounded sample of about ``train_rows`` labelled rows, chosen by hash. Tasks send one sum per language,
+    bounded sample of about ``train_rows`` labelled texts, chosen by hash. Rare languages give all texts,
+    the others equal numbers, at least ``LEAST_ROWS``; equal texts of a language teach once. Tasks send one sum per language,
     and the sums are added by language and dimension, so what reaches the driver is languages x dims numbers."""
     rows = labelled.where(F.col(f"`{lang_col}`").isNotNull() & F.col(f"`{text_col}`").isNotNull())
     rows = rows.select(F.col(f"`{lang_col}`").cast("string").alias("lang"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    share = min(1.0, train_rows / max(1, rows.count()))
-    if share < 1:
-        rows = rows.where(F.pmod(F.xxhash64("text", F.lit(seed)), F.lit(1 << 20)) < int(share * (1 << 20)))
+    counted = rows.groupBy("lang").agg(F.approx_count_distinct(F.xxhash64("text"), 0.02).alias("n"))
+    share = shares({r.lang: max(1, r.n) for r in counted.collect()}, train_rows)
+    cut = [(lang, int(x * (1 << 40))) for lang, x in share.items() if x < 1]
+    if cut:
+        below = labelled.sparkSession.createDataFrame(cut, "lang string, below long")
+        drawn = F.pmod(F.xxhash64("text", F.lit(seed)), F.lit(1 << 40)) < F.coalesce("below", F.lit(1 << 40))
+        rows = rows.join(F.broadcast(below), "lang", "left").where(drawn).select("lang", "text")
+    rows = rows.distinct()
 
     def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         profiler, total = Profiler(dims, gram, seed), {}

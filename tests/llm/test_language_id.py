@@ -83,3 +83,20 @@ def test_rows_without_language_take_no_share(spark):
 def test_stage_keeps_lettered_texts_without_a_language(spark):
     df = docs(spark, ["Hello world", None, "12 !!", "", "中文"]).withColumn("lang", F.lit(None).cast("string"))
     assert sorted(r.doc_id for r in L.drop_unidentified(df).collect()) == [0, 4]
+
+
+def test_rare_languages_and_copies(spark):
+    common = [f"the cat and the dog number {'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}{i}" for i in range(3000)]
+    rare = ["der hund und die katze", "le chien et le chat"]
+    langs = F.when(F.col("doc_id") == 6000, "de").when(F.col("doc_id") == 6001, "fr").otherwise("en")
+    plain = docs(spark, common + [(6000, rare[0]), (6001, rare[1])]).withColumn("lang", langs)
+    copies = docs(spark, common + [(6000, rare[0]), (6001, rare[1])] + [(7000 + i, common[0]) for i in range(3000)]).withColumn("lang", langs)
+    a, b = (L.learn(x, dims=64, train_rows=300) for x in (plain, copies))
+    assert set(a) == {"de", "en", "fr"} and all(np.allclose(a[k], b[k]) for k in a)
+    assert np.allclose(a["de"], L._unit(L.Profiler(64, 3, 7).bundles(rare[:1]))[0])
+
+
+def test_shares():
+    got = L.shares({"a": 10, "b": 10**6, "c": 10**9}, 1010)
+    assert got["a"] == 1 and got["b"] * 10**6 == pytest.approx(500) and got["c"] * 10**9 == pytest.approx(500)
+    assert min(n * 1000 for n in L.shares({str(i): 1000 for i in range(100)}, 100).values()) == L.LEAST_ROWS
