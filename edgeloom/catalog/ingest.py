@@ -62,10 +62,18 @@ def queue_split(t):
     return good.withColumn("part", F.lit("decoded")).unionByName(bad.withColumn("part", F.lit("rejected")))
 
 
+#: Requests in one bundle, about.
+BUNDLE = 10_000
+
+
 def bundle_logs(t):
-    """Bundles of one visitor and day: JSON lists for odd visitors, lines for even ones."""
+    """Bundles of one visitor and day, several for a visitor with over ``BUNDLE`` requests: JSON lists for odd visitors, lines for even ones."""
     log = F.struct("req_id", "req_path")
-    own = t.logs.groupBy("user_id", F.to_date(TS).alias("day")).agg(F.sort_array(F.collect_list(log)).alias("logs"))
+    rows = t.logs.select("user_id", F.to_date(TS).alias("day"), "req_id", "req_path")
+    busy = rows.groupBy(F.col("user_id").alias("visitor"), F.col("day").alias("date")).agg(F.ceil(F.count(F.lit(1)) / BUNDLE).alias("n")).where("n > 1")
+    dealt = rows.join(busy, F.col("user_id").eqNullSafe(F.col("visitor")) & F.col("day").eqNullSafe(F.col("date")), "left")
+    slot = F.pmod(F.xxhash64("req_id", "req_path"), F.coalesce("n", F.lit(1)))
+    own = dealt.groupBy("user_id", "day", slot.alias("slot")).agg(F.sort_array(F.collect_list(log)).alias("logs"))
     lists = F.to_json("logs")
     lines = F.array_join(F.transform("logs", lambda x: F.concat(x["req_id"].cast("string"), F.lit(" "), x["req_path"])), "\n\n")
     bodies = own.select("user_id", F.when(F.col("user_id") % 2 == 1, lists).otherwise(lines).alias("body"))

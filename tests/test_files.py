@@ -7,6 +7,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from edgeloom.catalog import ingest
 from edgeloom.context import LogTables
 from edgeloom.operators import retention
 from edgeloom.operators.windows import dedup_latest
@@ -137,3 +138,16 @@ def test_retention_moves_partitions_and_masks_in_place(spark, small, tmp_path):
     expect = retention.anonymize_older_than(logs, as_of, 10)
     assert got.count() == n
     assert got.where("cli_ip = 'ANONYMIZED'").count() == expect.where("cli_ip = 'ANONYMIZED'").count() > 0
+
+
+def test_busy_visitors_upload_several_bundles(spark, small, monkeypatch):
+    t = LogTables(spark, small)
+    hot = t.logs.withColumn(ingest.TS, F.lit(dt.datetime(2024, 1, 2))).withColumn("user_id", F.when(F.col("req_id") % 3 == 0, 7).otherwise(F.col("user_id")))
+    busy = type("Tables", (), {"logs": hot})
+    whole = sorted(map(tuple, ingest.bundle_logs(busy).collect()))
+    parse, seen = bundles.parse_bundles, []
+    monkeypatch.setattr(ingest, "BUNDLE", 5, raising=False)
+    monkeypatch.setattr(bundles, "parse_bundles", lambda bodies: seen.append(bodies) or parse(bodies))
+    assert sorted(map(tuple, ingest.bundle_logs(busy).collect())) == whole
+    most = seen[0].where("user_id = 7").select(F.max(F.size(F.split("body", "req_id")) - 1)).first()[0]
+    assert hot.where("user_id = 7").count() > 100 and most < 4 * 5
