@@ -48,7 +48,7 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_sentencepiece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    return sentencepiece_sampling.encode_rows(docs, tokenizer_file("piece_bpe_32k.model"), with_ids=False)
+    return sentencepiece_sampling.encode_rows(docs, tokenizer_file("piece_bpe_32k.model"))
 
 
 def op5_warc_zip_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,10 +1,11 @@
 import math
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from brute import docs, rows
-from edgeloom.llm.queries import tokenizer_file
+from edgeloom.llm.queries import QUERIES, tokenizer_file
 from edgeloom.llm.sentencepiece_sampling import Pieces, Sampler, decode, encode_rows, forward
 
 PATH = tokenizer_file("piece_bpe_32k.model")
@@ -71,3 +72,9 @@ def test_rows(spark):
     assert len(first) == 2 and first[0] == first[1]
     assert rows(encode_rows(df, PATH), "doc_id")[9].n_pieces == 0
     assert encode_rows(df.limit(0), PATH).collect() == []
+
+
+def test_query_returns_the_segmentation(spark, small, pieces):
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
+    for r in QUERIES["op4_sentencepiece_sampling"](spark, small).collect():
+        assert len(r.ids) == r.n_pieces and decode(np.array(r.ids), pieces) == texts[r.doc_id]
