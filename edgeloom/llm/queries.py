@@ -17,6 +17,7 @@ from edgeloom.llm import (
     secret_scan,
     sentencepiece_sampling,
     simhash_neardup,
+    url_filters,
     warc_zip,
 )
 from edgeloom.llm.storage import ship
@@ -76,6 +77,10 @@ def op10_pii_semicrf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_semicrf.scan(_table(spark, sf_dir, "documents"))
 
 
+def op12_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filters.filter_urls(_table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -89,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality_pu,
         op9_secret_scan,
         op10_pii_semicrf,
+        op12_url_filters,
     )
 }
 
@@ -148,3 +154,24 @@ found AS (
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
        sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_copied, 0) AS n_copied
 FROM texts LEFT JOIN found USING (doc_id)"""
+
+
+SQL["op12_url_filters"] = r"""
+WITH rests AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+parts AS (
+  SELECT row_number() OVER () AS number, page_id, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
+         translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host FROM rests),
+rules AS (
+  SELECT * FROM (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+                        ('net', '/es/', 'block'), ('net', '/fr/', 'block')) AS t(h, p, verdict)),
+ruled AS (
+  SELECT number, arg_max(h || p, length(h || p)) AS rule, arg_max(verdict, length(h || p)) AS verdict
+  FROM parts JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY number),
+globs AS (
+  SELECT * FROM (VALUES ('**cheap-pills**', '[\s\S]*cheap-pills[\s\S]*'), ('**casino**', '[\s\S]*casino[\s\S]*'), ('*.xxx/**', '[^/]*\.xxx/[\s\S]*'),
+                        ('**/wp-login.php', '[\s\S]*/wp-login\.php'), ('**/cgi-bin/**', '[\s\S]*/cgi-bin/[\s\S]*'),
+                        ('*/search/??/**', '[^/]*/search/[^/]{2}/[\s\S]*')) AS t(pattern, regex)),
+globbed AS (SELECT number, arg_min(pattern, (-length(pattern), pattern)) AS pattern FROM parts JOIN globs ON regexp_full_match(host || path, regex) GROUP BY number)
+SELECT page_id, host, path, rule, CASE WHEN rule IS NULL THEN pattern END AS pattern,
+       coalesce(verdict, CASE WHEN pattern IS NULL THEN 'allow' ELSE 'block' END) AS verdict
+FROM parts LEFT JOIN ruled USING (number) LEFT JOIN globbed USING (number)"""
