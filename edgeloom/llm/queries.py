@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from edgeloom.llm import (
+    collocations,
     embedding_neardup,
     exact_dedup,
     language_id,
@@ -81,6 +82,10 @@ def op12_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.filter_urls(_table(spark, sf_dir, "pages"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -95,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_secret_scan,
         op10_pii_semicrf,
         op12_url_filters,
+        op13_collocations,
     )
 }
 
@@ -175,3 +181,30 @@ globbed AS (SELECT number, arg_min(pattern, (-length(pattern), pattern)) AS patt
 SELECT page_id, host, path, rule, CASE WHEN rule IS NULL THEN pattern END AS pattern,
        coalesce(verdict, CASE WHEN pattern IS NULL THEN 'allow' ELSE 'block' END) AS verdict
 FROM parts LEFT JOIN ruled USING (number) LEFT JOIN globbed USING (number)"""
+
+
+SQL["op13_collocations"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+grams AS (
+  SELECT lang, k, phrase, count(*) AS f
+  FROM (SELECT lang, k, unnest([array_to_string(w[i:i + k - 1], ' ') FOR i IN range(1, len(w) - k + 2)]) AS phrase
+        FROM words, (VALUES (1), (2), (3), (4), (5)) AS sizes(k) WHERE len(w) >= k)
+  GROUP BY ALL),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM grams WHERE k = 1 GROUP BY lang),
+candidates AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM grams WHERE k > 1 AND f >= 100),
+cuts AS (SELECT lang, phrase, a, cut, array_to_string(w[:cut], ' ') AS lead, array_to_string(w[cut + 1:], ' ') AS rest
+         FROM (SELECT *, unnest(range(1, k)) AS cut FROM candidates)),
+rated AS (
+  SELECT c.lang, c.phrase, a, cut, x.f AS l, y.f AS r, n, ((1000::HUGEINT * a * n) // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM cuts c JOIN grams x ON x.lang = c.lang AND x.phrase = lead JOIN grams y ON y.lang = c.lang AND y.phrase = rest JOIN totals t ON t.lang = c.lang),
+best AS (SELECT * FROM rated QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+parts AS (
+  SELECT lang, a, unnest([array_to_string(w[i:i + size - 1], ' ') FOR i IN range(1, k - size + 2)]) AS phrase
+  FROM (SELECT *, unnest(range(2, k)) AS size FROM candidates)),
+longer AS (SELECT lang, phrase, max(a) AS longest FROM parts GROUP BY ALL),
+kept AS (SELECT b.* FROM best b LEFT JOIN longer USING (lang, phrase) WHERE longest IS NULL OR 100 * longest < 100 * a)
+SELECT lang, rank, phrase, a, l, r, n, score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept) WHERE rank <= 2000"""
