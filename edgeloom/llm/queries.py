@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from edgeloom.llm import (
     collocations,
+    conversation_repair,
     embedding_neardup,
     exact_dedup,
     language_id,
@@ -78,6 +79,11 @@ def op10_pii_semicrf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_semicrf.scan(_table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    damaged = conversation_repair.damage(_table(spark, sf_dir, "conversations"))
+    return conversation_repair.report(damaged, copies_col="copies")
+
+
 def op12_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.filter_urls(_table(spark, sf_dir, "pages"))
 
@@ -99,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality_pu,
         op9_secret_scan,
         op10_pii_semicrf,
+        op11_conversation_repair,
         op12_url_filters,
         op13_collocations,
     )
