@@ -21,6 +21,7 @@ SECTIONS = [
     "observability",
     "ingest",
     "streams",
+    "stored",
 ]
 
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from edgeloom.functions.exprs import since, since_day
 from edgeloom.operators import rollups
 from edgeloom.plans import dashboards as D
 
@@ -18,7 +17,7 @@ def _business(t):
 
 
 def _daily(t):
-    return rollups.daily_metrics(since_day(t.logs, t.as_of, 30))
+    return t.daily(30)
 
 
 def _status(t):
@@ -66,14 +65,12 @@ QUERIES = {
     ),
     "biz_traffic_by_device_type": over(_business, D.breakdown, "device_type", requests),
     "biz_traffic_by_browser": over(_business, D.breakdown, "browser", requests, 10),
-    "biz_security_events": over(
-        lambda t: since(t.logs, t.as_of, "24 hours", inclusive=True), D.latest_security_events
-    ),
+    "biz_security_events": over(lambda t: t.errors("24 hours"), D.latest_security_events),
     "biz_daily_traffic_trend": over(_daily, D.series, "date", {"Total Requests": lambda: F.sum("total_requests")}),
     "biz_daily_traffic_trend_2": over(_daily, D.series, "date", {"Unique Visitors": lambda: F.sum("unique_visitors")}),
     "biz_estimated_cdn_cost_savings": over(_daily, D.cost_savings),
     "biz_performance_score": over(_hourly, D.performance_score),
-    "biz_data_freshness": lambda t: D.minutes_since_update(t.logs, t.as_of),
+    "biz_data_freshness": lambda t: D.minutes_since_update(t.arrivals(), t.as_of),
     # customer analytics
     "cust_total_requests": over(_status, D.figure, value=requests),
     "cust_error_rate_pct": over(_status, D.figure, value=D.error_pct),

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from edgeloom.fixture_logs import (
     ACCESS_LOGS_SELECT, DIRTY_LOGS_SELECT, PIPELINE_TABLES, REPLAYED_LOGS_SELECT,
 )
-from edgeloom.functions.exprs import TS, instant, since
+from edgeloom.functions.exprs import TS, instant, since, since_day
+from edgeloom.operators.rollups import daily_metrics
 
 
 LOOK_BACK_DAYS = (1, 32, 1024, 16384)
@@ -72,6 +73,18 @@ class LogTables:
         cut = since(self.logs, self.as_of, window, inclusive=True)
         return since(rollup(cut), self.as_of, window, ts=start, inclusive=True)
 
+    def daily(self, days: int) -> DataFrame:
+        """The daily roll-up of so many days before today, and today."""
+        return daily_metrics(since_day(self.logs, self.as_of, days))
+
+    def errors(self, window: str) -> DataFrame:
+        """Requests of the recent past, of which a panel lists the failed ones."""
+        return since(self.logs, self.as_of, window, inclusive=True)
+
+    def arrivals(self) -> DataFrame:
+        """Rows whose newest time says how fresh the log is."""
+        return self.logs
+
     def pipeline(self, name: str) -> DataFrame:
         """A pipeline-metric table (see ``fixture_logs.PIPELINE_TABLES``)."""
         select, tail = PIPELINE_TABLES[name]

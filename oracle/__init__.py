@@ -42,7 +42,7 @@ def build(sql: str) -> str:
     return f"WITH {head}\n{body}"
 
 
-SECTIONS = ["tables", "analytics", "dashboards", "relational", "observability", "ingest", "streams"]
+SECTIONS = ["tables", "analytics", "dashboards", "relational", "observability", "ingest", "streams", "stored"]
 
 
 def texts() -> dict[str, str]:
