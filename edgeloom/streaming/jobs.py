@@ -9,6 +9,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from edgeloom.functions import weblog
 from edgeloom.sinks import tables
+from edgeloom.sinks.keyed import KeyedTable, SeenKeys
+from edgeloom.sinks.rollup_store import RollupStore
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -39,6 +41,29 @@ def dual_sink(metrics: Callable[[DataFrame], DataFrame], metrics_path: str, arch
     return each(roll_up, batch_sink(archive_path))
 
 
+def rollup_sink(store: RollupStore) -> Sink:
+    """A micro-batch of requests goes into the hours that it is about, also into hours long past: files that come
+    late, or in any order, end in the same roll-ups. A batch that runs again counts once."""
+    return lambda rows, batch_id: store.merge(rows, batch_id)
+
+
+def keyed_sink(table: KeyedTable) -> Sink:
+    """A micro-batch takes the place of older rows with its keys."""
+    return lambda rows, batch_id: table.upsert(rows, batch_id)
+
+
+def insert_ignore_sink(seen: SeenKeys, order: list[str], sink: Sink) -> Sink:
+    """``sink`` for rows whose key was not loaded before. Keys are noted after the rows are written: a
+    batch that is lost between the two writes the same rows again."""
+
+    def write(rows: DataFrame, batch_id: int) -> None:
+        new = seen.unseen(rows, batch_id, order)
+        sink(new, batch_id)
+        seen.record(new, batch_id)
+
+    return write
+
+
 def version_sink(base: str, line: str = "value") -> Sink:
     """Lines are parsed and filed by schema version; unparsed ones go to ``rejected``."""
 
