@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from collections.abc import Callable, Iterator
+from functools import reduce
 from itertools import count
 
 import numpy as np
@@ -107,9 +108,10 @@ def holds(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return ((bits[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
 
 
-def over_blocks(texts: DataFrame, longest: int, emit: Emit, schema: str) -> DataFrame:
+def over_blocks(texts: DataFrame, longest: int, emit: Emit, schema: str, blocks: int = 1) -> DataFrame:
     """``emit`` over all words of ``texts`` (language, text), in blocks of bounded size. A text that goes on over blocks
-    hands its last words on, so each phrase is counted once, in the block that holds its last word."""
+    hands its last words on, so each phrase is counted once, in the block that holds its last word. ``blocks`` is how
+    many of the usual size make one."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         block = Block([])
@@ -123,7 +125,7 @@ def over_blocks(texts: DataFrame, longest: int, emit: Emit, schema: str) -> Data
                     # the delimiter goes with the slice; a space that is lost there ends a word all the same
                     block.add(lang, data[begin:end])
                     begin = end
-                    if block.size >= BLOCK:
+                    if block.size >= blocks * BLOCK:
                         block.close()
                         yield from filter(len, emit(block))
                         block = Block(block.tail(longest - 1))
@@ -168,35 +170,66 @@ def word_counts(texts: DataFrame) -> DataFrame:
         at = np.flatnonzero(n)
         yield pd.DataFrame({LANG: [block.langs[i] for i in at], "phrase": [block.words[i].decode() for i in at], "n": n[at]})
 
-    each = over_blocks(texts, 1, emit, f"{LANG} string, phrase string, n long")
+    each = over_blocks(texts, 1, emit, f"{LANG} string, phrase string, n long", blocks=4)
     return each.groupBy(LANG, "phrase").agg(F.sum("n").alias("f"))
 
 
 # -- step 2: phrases that may be frequent ---------------------------------------------------
 
 
+def part_of(hashes: np.ndarray, partitions: int) -> np.ndarray:
+    """Which of the partitions, equal ranges of hashes in order, each hash is in."""
+    return ((hashes >> np.uint64(32)) * np.uint64(partitions) >> np.uint64(32)).astype(np.int64)
+
+
+def packed(hashes: np.ndarray) -> bytes:
+    """The leading 48 bits of each hash, all first bytes, then all second ones and so on: in order, the first compress well."""
+    return hashes.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :6].T.tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(data, np.uint8).reshape(6, -1).T
+    return out.reshape(-1).view(">u8").astype(np.uint64)
+
+
+def _runs(*columns: np.ndarray) -> list[tuple[int, int]]:
+    """Begin and end of each run of places where no column changes."""
+    if not len(columns[0]):
+        return []
+    new = np.zeros(len(columns[0]), bool)
+    new[0] = True
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1]
+    starts = np.flatnonzero(new).tolist()
+    return list(zip(starts, [*starts[1:], len(new)]))
+
+
+SUMMARY = "partition long, mass long, hashes binary, counts binary"
+
+
 def summaries(texts: DataFrame, lengths: range, partitions: int, words: Broadcast, filters: dict[int, Broadcast]) -> DataFrame:
-    """Hashes and counts of each block's phrases, one row per partition of the hashes and
-    block: (partition, mass, hashes, counts). A block's distinct phrases are few enough to be all kept."""
+    """Hashes and counts of each block's phrases, a row per partition of the hashes and block, and as many rows with the mass
+    alone. A block's distinct phrases are few enough to be all kept. Of the hashes 48 bits count: where two phrases
+    share them, one more may survive."""
 
     def emit(block: Block) -> Iterator[pd.DataFrame]:
         found = [(h[n > 0], n[n > 0]) for k, _, _, h, n in block.grams(lengths[-1], words.value, {k: f.value for k, f in filters.items()}) if k in lengths]
         hashes, counts = (np.concatenate([f[i] for f in found]) for i in (0, 1))
-        order = np.argsort(hashes % np.uint64(partitions), kind="stable")
+        order = np.argsort(hashes)
         hashes, counts = hashes[order], counts[order].astype(np.uint32)
-        partition = (hashes % np.uint64(partitions)).astype(np.int64)
-        starts = np.flatnonzero(np.diff(partition, prepend=-1))
-        ends = [*starts[1:], len(partition)]
+        partition = part_of(hashes, partitions)
+        runs = _runs(partition)
+        mass = [int(counts[a:b].sum(dtype=np.int64)) for a, b in runs]
+        yield pd.DataFrame({"partition": [partition[a] for a, _ in runs], "mass": mass, "hashes": None, "counts": None})
         yield pd.DataFrame(
             {
-                "partition": partition[starts],
-                "mass": [int(counts[a:b].sum(dtype=np.int64)) for a, b in zip(starts, ends)],
-                "hashes": [hashes[a:b].tobytes() for a, b in zip(starts, ends)],
-                "counts": [counts[a:b].tobytes() for a, b in zip(starts, ends)],
+                "partition": [partition[a] for a, _ in runs], "mass": 0,
+                "hashes": [packed(hashes[a:b]) for a, b in runs], "counts": [counts[a:b].tobytes() for a, b in runs],
             }
         )
 
-    return over_blocks(texts, lengths[-1], emit, "partition long, mass long, hashes binary, counts binary")
+    return over_blocks(texts, lengths[-1], emit, SUMMARY)
 
 
 def merge(keys: np.ndarray, counts: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, int]:
@@ -218,66 +251,137 @@ def merge(keys: np.ndarray, counts: np.ndarray, capacity: int) -> tuple[np.ndarr
     return keys[left], counts[left] - taken, taken
 
 
-def frequent_hashes(rows: DataFrame, partitions: int, least: int) -> DataFrame:
-    """Hashes that may occur ``least`` times: each partition's summaries merged, with more counters than the
+class Survivors:
+    """One partition's summary while its rows come in: the mass first, then the summaries to merge."""
+
+    def __init__(self, partition: int, least: int) -> None:
+        self.partition, self.least, self.mass, self.taken, self.waiting = partition, least, 0, 0, 0
+        self.keys, self.counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+
+    def add(self, hashes: bytes, counts: bytes) -> None:
+        self.keys.append(unpacked(hashes))
+        self.counts.append(np.frombuffer(counts, np.uint32).astype(np.int64))
+        self.waiting += len(self.keys[-1])
+        if self.waiting > max(COUNTERS, 2 * self.capacity):
+            self._settle()
+
+    @property
+    def capacity(self) -> int:
+        return self.mass // self.least + 1
+
+    def _settle(self) -> None:
+        keys, counts, off = merge(np.concatenate(self.keys), np.concatenate(self.counts), self.capacity)
+        self.keys, self.counts, self.taken, self.waiting = [keys], [counts], self.taken + off, 0
+
+    def rows(self, partitions: int, bits: int) -> pd.DataFrame:
+        """The hashes that may occur often enough, and their bits of the filter from byte ``first`` on."""
+        self._settle()
+        hashes = self.keys[0][self.counts[0] + self.taken >= self.least]
+        if not len(hashes):
+            return pd.DataFrame()
+        slot = hashes >> np.uint64(64 - bits)
+        first = int(slot[0]) // 8
+        part = np.zeros(int(slot[-1]) // 8 - first + 1, np.uint8)
+        np.bitwise_or.at(part, (slot >> np.uint64(3)).astype(np.int64) - first, np.uint8(1) << (slot & np.uint64(7)).astype(np.uint8))
+        return pd.DataFrame({"partition": [self.partition], "hashes": [packed(hashes)], "first": [first], "bits": [part.tobytes()]})
+
+
+def frequent_hashes(rows: DataFrame, partitions: int, least: int, bits: int) -> DataFrame:
+    """Hashes that may occur ``least`` times, a row per partition: its summaries merged, with more counters than the
     partition's mass divided by ``least``, so that less than ``least`` is taken from any."""
-    mass = rows.groupBy("partition").agg(F.sum("mass").alias("mass"))
-    none = F.lit(None).cast("binary")
-    both = mass.select("partition", "mass", none.alias("hashes"), none.alias("counts")).unionByName(rows)
     # a partition's mass comes before its summaries
-    both = both.repartition(partitions, "partition").sortWithinPartitions("partition", F.col("hashes").isNotNull())
+    rows = rows.repartition(partitions, "partition").sortWithinPartitions("partition", F.col("hashes").isNotNull())
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        capacity, taken, waiting = 0, 0, 0
-        keys, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        one = None
+        for batch in batches:
+            for partition, mass, hashes, counts in zip(batch["partition"], batch["mass"], batch["hashes"], batch["counts"]):
+                if one is None or one.partition != partition:
+                    if one:
+                        yield from filter(len, [one.rows(partitions, bits)])
+                    one = Survivors(int(partition), least)
+                if hashes is None:
+                    one.mass += int(mass)
+                else:
+                    one.add(hashes, counts)
+        if one:
+            yield from filter(len, [one.rows(partitions, bits)])
 
-        def settle() -> None:
-            nonlocal keys, counts, taken, waiting
-            k, c, off = merge(np.concatenate(keys), np.concatenate(counts), capacity)
-            keys, counts, taken, waiting = [k], [c], taken + off, 0
+    return rows.mapInPandas(run, "partition long, hashes binary, first long, bits binary")
 
-        def survivors() -> pd.DataFrame:
-            settle()
-            return pd.DataFrame({"hash": keys[0][counts[0] + taken >= least].view(np.int64)})
 
-        for batch in batches:
-            for total, h, c in zip(batch["mass"], batch["hashes"], batch["counts"]):
-                if h is None:
-                    yield from filter(len, [survivors()])
-                    capacity, taken, keys, counts = int(total) // least + 1, 0, [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-                    continue
-                keys.append(np.frombuffer(h, np.uint64))
-                counts.append(np.frombuffer(c, np.uint32).astype(np.int64))
-                waiting += len(keys[-1])
-                if waiting > max(COUNTERS, 2 * capacity):
-                    settle()
-        yield from filter(len, [survivors()])
-
-    return both.mapInPandas(run, "hash long")
+def _filter_of(spark: SparkSession, survivors: DataFrame, bits: int) -> Broadcast:
+    """The filter of all partitions: each has its own range of it, so as many bytes come together as it has, and one more of each."""
+    whole = np.zeros((1 << bits) // 8, np.uint8)
+    for first, part in survivors.select("first", "bits").collect():
+        whole[first : first + len(part)] |= np.frombuffer(part, np.uint8)
+    return spark.sparkContext.broadcast(whole)
 
 
 # -- step 3: exact counts -------------------------------------------------------------------
 
 
-def phrase_counts(texts: DataFrame, longest: int, least: int, words: Broadcast, filters: dict[int, Broadcast]) -> DataFrame:
+def phrase_counts(
+    texts: DataFrame, longest: int, least: int, partitions: int, survivors: DataFrame, words: Broadcast, filters: dict[int, Broadcast]
+) -> DataFrame:
     """(language, phrase, number of words, occurrences) of all phrases of 2 to ``longest`` words that occur ``least`` times.
-    What the filters let through is counted by its words, so equal hashes of different phrases do no harm."""
+
+    Blocks count what the filters let through, by partition of the hashes as before. There it meets the
+    hashes that survived, which are as few as the counters, and is added up by its words: equal hashes of
+    different phrases do no harm."""
 
     def emit(block: Block) -> Iterator[pd.DataFrame]:
-        steps = []
-        for k, previous, last, _, n in block.grams(longest, words.value, {k: f.value for k, f in filters.items()}):
+        steps, rows, hashes, counts = [], [], [], []
+        for k, previous, last, h, n in block.grams(longest, words.value, {k: f.value for k, f in filters.items()}):
             steps.append((previous, last))
-            at = np.flatnonzero(n)
-            parts, place = [], at
+            place = at = np.flatnonzero(n)
+            parts = []
             for before, end in reversed(steps):
                 parts.append(end[place])
                 place = before[place]
-            rows = np.stack([place, *reversed(parts)], axis=1).tolist() if len(at) else []
-            text = [b" ".join([block.words[i] for i in row]).decode() for row in rows]
-            yield pd.DataFrame({LANG: [block.langs[row[0]] for row in rows], "phrase": text, "k": k, "n": n[at]})
+            rows += np.stack([place, *reversed(parts)], axis=1).tolist() if len(at) else []
+            hashes.append(h[at])
+            counts.append(n[at])
+        hashes, counts = np.concatenate(hashes), np.concatenate(counts).astype(np.uint32)
+        numbers: dict[str, int] = defaultdict(count().__next__)
+        lang = np.array([numbers[block.langs[row[0]]] for row in rows], np.int64)
+        names, partition = list(numbers), part_of(hashes, partitions)
+        order = np.lexsort((hashes, lang, partition))
+        lang, partition, hashes, counts = lang[order], partition[order], hashes[order], counts[order]
+        out = []
+        for a, b in _runs(partition, lang):
+            text = b"\n".join(b" ".join([block.words[i] for i in rows[j]]) for j in order[a:b])
+            out.append((partition[a], names[lang[a]], packed(hashes[a:b]), counts[a:b].tobytes(), text))
+        if out:
+            yield pd.DataFrame(out, columns=["partition", LANG, "hashes", "counts", "phrases"])
+
+    each = over_blocks(texts, longest, emit, f"partition long, {LANG} string, hashes binary, counts binary, phrases binary")
+    both = each.unionByName(survivors.select("partition", "hashes"), allowMissingColumns=True)
+    both = both.repartition(partitions, "partition").sortWithinPartitions("partition", F.col("phrases").isNotNull())
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last, known, totals = None, [], defaultdict(int)
+
+        def found() -> pd.DataFrame:
+            rows = [(lang, phrase.decode(), phrase.count(b" ") + 1, n) for (lang, phrase), n in totals.items() if n >= least]
+            return pd.DataFrame(rows, columns=[LANG, "phrase", "k", "f"])
+
+        for batch in batches:
+            for partition, lang, hashes, counts, phrases in zip(*(batch[c] for c in ("partition", LANG, "hashes", "counts", "phrases"))):
+                if partition != last:
+                    yield from filter(len, [found()])
+                    last, known, totals = partition, [], defaultdict(int)
+                if phrases is None:
+                    known.append(unpacked(hashes))
+                    continue
+                kept = np.isin(unpacked(hashes), np.concatenate(known)) if known else np.zeros(len(hashes) // 6, bool)
+                numbers = np.frombuffer(counts, np.uint32)
+                words_of = phrases.split(b"\n")
+                for i in np.flatnonzero(kept).tolist():
+                    totals[lang, words_of[i]] += int(numbers[i])
+        yield from filter(len, [found()])
 
-    each = over_blocks(texts, longest, emit, f"{LANG} string, phrase string, k int, n long")
-    return each.groupBy(LANG, "phrase", "k").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
+    return both.mapInPandas(run, f"{LANG} string, phrase string, k int, f long")
 
 
 # -- the operator ---------------------------------------------------------------------------
@@ -346,12 +450,14 @@ def collocations(
     word_bits = _filter(spark, words.select(word_hash), filter_bits)
 
     filters: dict[int, Broadcast] = {}
+    survivors = []
     for lengths in (range(2, 3), range(3, longest + 1)):
         if lengths:
-            rows = staged(summaries(texts, lengths, partitions, word_bits, dict(filters)), "summaries")
-            bits = _filter(spark, frequent_hashes(rows, partitions, least), filter_bits)
+            rows = summaries(texts, lengths, partitions, word_bits, dict(filters))
+            survivors.append(staged(frequent_hashes(rows, partitions, least, filter_bits), "survivors"))
+            bits = _filter_of(spark, survivors[-1], filter_bits)
             filters |= {k: bits for k in lengths}
-    phrases = staged(phrase_counts(texts, longest, least, word_bits, filters), "phrases")
+    phrases = staged(phrase_counts(texts, longest, least, partitions, reduce(DataFrame.unionByName, survivors), word_bits, filters), "phrases")
 
     rows = scored(phrases, words, totals).join(inside_longer(phrases), [LANG, "phrase"], "left")
     rows = rows.where(F.col("longer").isNull() | (F.lit(100) * F.col("longer") < F.lit(percent) * F.col("a")))
