@@ -29,7 +29,7 @@ _TABLE = bytes.maketrans(
 )
 _CUT = re.compile(rb"[ \n]")
 #: Word occurrences that a task counts together, bytes of a text that it splits at once.
-BLOCK, SLICE = 2_000_000, 1 << 20
+BLOCK, SLICE = 1_000_000, 1 << 19
 #: Counters of one summary, about, when the partitions of the hashes are numbered.
 COUNTERS = 1_000_000
 #: The filters' bits are put together in so many parts.
@@ -45,20 +45,21 @@ class Block:
     def __init__(self, carry: list[tuple[str, bytes] | None]) -> None:
         number = count(1)
         self._known: dict[str, dict[bytes, int]] = defaultdict(lambda: defaultdict(number.__next__))
-        self._rows = [np.array([0 if w is None else self._known[w[0]][w[1]] for w in carry], np.int64)]
+        self._rows = [np.array([0 if w is None else self._known[w[0]][w[1]] for w in carry], np.int32)]
         self.fresh, self.size = len(carry), 0
 
     def add(self, lang: str, data: bytes) -> None:
         known = self._known[lang]
         known[b"\n"] = 0
         words = data.replace(b"\n", b" \n ").split(b" ")
-        ids = np.fromiter((known[w] for w in words if w), np.int64)
+        ids = np.fromiter((known[w] for w in words if w), np.int32)
         self._rows.append(ids)
         self.size += len(ids)
 
     def close(self) -> None:
         """Numbers of all places, and the language, text and hash of each word."""
         self.ids = np.concatenate(self._rows)
+        self._rows.clear()
         n = 1 + max((i for known in self._known.values() for i in known.values()), default=0)
         self.langs, self.words, self.hashes = [""] * n, [b""] * n, np.zeros(n, np.uint64)
         for lang, known in self._known.items():
@@ -82,15 +83,16 @@ class Block:
             both[:-1] = alive[:-1] & alive[1:]
             at = np.flatnonzero(both)
             at = at[at + k <= len(self.ids)]
-            key, place = np.unique(number[at] * width + self.ids[at + k - 1], return_inverse=True)
+            key, place = np.unique(number[at].astype(np.int64) * width + self.ids[at + k - 1], return_inverse=True)
             previous, last = key // width, key % width
             hashes = mixed(hashes[previous], self.hashes[last])
             n = np.bincount(place[at + k - 1 >= self.fresh], minlength=len(key))
             keep = holds(filters[k], hashes) if k in filters else np.ones(len(key), bool)
             alive = np.zeros(len(self.ids), bool)
             alive[at] = keep[place]
-            number = np.zeros(len(self.ids), np.int64)
+            number = np.zeros(len(self.ids), np.int32)
             number[at] = place
+            del place, key, at, both
             yield k, previous, last, hashes, np.where(keep, n, 0)
 
 
@@ -419,7 +421,7 @@ def inside_longer(phrases: DataFrame) -> DataFrame:
 
 def collocations(
     docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = 100, longest: int = 5, top: int = 2000,
-    percent: int = 100, filter_bits: int = 27,
+    percent: int = 100, filter_bits: int = 26,
 ) -> DataFrame:
     """The first ``top`` phrases of each language by score, then occurrences (both descending), then the phrase (in
     the order of its bytes): ``lang``, ``rank``, ``phrase``, ``a``, ``l``, ``r``, ``n``, ``score``.
