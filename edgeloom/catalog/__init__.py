@@ -22,6 +22,7 @@ SECTIONS = [
     "ingest",
     "streams",
     "stored",
+    "loads",
 ]
 
 

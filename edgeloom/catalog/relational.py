@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from edgeloom.functions.exprs import TS, instant, since, span
-from edgeloom.operators import joins, quality, retention, rollups, sets, windows
+from edgeloom.operators import joins, limits, quality, retention, rollups, sets, windows
 from edgeloom.operators.enrich import enrich
 
 
@@ -124,8 +124,13 @@ def slower_than_hour(t):
 
 
 def only_new(t):
-    loaded = t.logs.filter(F.col(TS) < instant(t.as_of) - span("1 day"))
-    return joins.only_new(t.replayed_logs, loaded, ["req_id"], tie_break=("created_at",)).select("req_id", "created_at")
+    """The last day is new. What was loaded in the nine days before is sent again, under other times."""
+    now = instant(t.as_of)
+    loaded = t.logs.filter(F.col(TS) < now - span("1 day"))
+    new = t.logs.filter(F.col(TS) >= now - span("1 day"))
+    again = t.logs.filter(F.col(TS) >= now - span("10 days")).withColumn(TS, F.col(TS) + span("9 days"))
+    sent = new.unionByName(again)
+    return joins.only_new(sent, loaded, ["req_id"]).select("req_id", F.col(TS).alias("created_at"))
 
 
 # -- windows -----------------------------------------------------------------------------
@@ -221,6 +226,7 @@ QUERIES = {
     "latency_vs_baseline": lambda t: joins.latency_against_baseline(t.logs, t.as_of, "city", factor=1.02),
     "dedup_latest": dedup_latest,
     "rate_limit_violations": lambda t: windows.rate_limit_violations(t.logs, limit=3, window_seconds=21600),
+    "admitted_requests": lambda t: limits.admitted(t.logs, limit=3, window_seconds=21600),
     "sustained_breaches": sustained_errors,
     "trailing_baseline": trailing_spikes,
     "latency_trend_anomalies": latency_anomalies,

@@ -6,9 +6,12 @@ from pyspark.sql import functions as F
 
 from edgeloom import workspace
 from edgeloom.catalog import analytics, dashboards
+from edgeloom.functions.exprs import TS, hour_floor, instant, span
 from edgeloom.plans import stored
+from edgeloom.sinks.keyed import KeyedTable
 from edgeloom.sinks.rollup_store import RollupStore
 from edgeloom.stored_tables import StoredTables
+from edgeloom.streaming import windows
 
 #: The batches that build the store: the log in four parts, out of order, one of them twice.
 ORDER = (2, 0, 3, 0, 1)
@@ -37,6 +40,17 @@ def on_hourly(figure, days: int | None = None):
     return from_store(lambda t: figure(t.hourly(days)))
 
 
+def live_baseline(t):
+    """Hours of the last day with over 1.2 times a country's mean of the thirty days before, which a nightly job stored."""
+    tables, hour = StoredTables(t, store_of(t)), hour_floor(instant(t.as_of))
+    renewed = KeyedTable(t.spark, workspace.fresh_path(t.spark, "baseline"), "country STRING, baseline DOUBLE", ["country"], buckets=4)
+    first, last = (tables.first_hour(hour - span(f"{h} hours")) for h in (744, 25))
+    renewed.upsert(stored.hourly_baseline(tables.store, ["country"], first, last, 720), 0)
+    now = windows.hourly_country_window(t.logs.where(F.col(TS) >= hour - span("24 hours")))
+    alerts = windows.above_baseline(now, renewed.read(), ["country"], factor=1.2)
+    return alerts.select("window_start", "country", "request_count", "baseline")
+
+
 PANELS = [name for name in dashboards.QUERIES if name.startswith(("biz_", "cust_"))]
 SERIES = [
     "requests_per_second", "error_rate_series", "p95_series", "top_endpoints", "busiest_windows", "slow_endpoints", "error_rate_spike",
@@ -50,4 +64,4 @@ FIGURES = {
     "traffic_7d_by_country": on_hourly(stored.traffic_by_country, days=7),
 }
 BY_NAME = {n: from_store(dashboards.QUERIES[n]) for n in PANELS} | {n: from_store(analytics.QUERIES[n]) for n in SERIES} | FIGURES
-QUERIES = {f"stored_{name}": query for name, query in BY_NAME.items()}
+QUERIES = {f"stored_{name}": query for name, query in BY_NAME.items()} | {"live_baseline": live_baseline}

@@ -36,5 +36,6 @@ QUERIES = {
     "stream_sessions": lambda t: windows.sessions(t.logs, gap="6 hours"),
     "stream_dedup": deduplicated,
     "stream_version_routes": routed,
+    "stream_sustained_alerts": lambda t: windows.sustained_alerts(t.logs, ["country"]),
     "stream_alerts": lambda t: windows.window_alerts(windows.endpoint_window(t.logs, "1 hour")),
 }

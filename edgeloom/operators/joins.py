@@ -77,20 +77,24 @@ def against_hourly(logs: DataFrame, hourly_country: DataFrame, row_id: str = "re
     return join_split_hot(keyed, side, ["hour", "country"], row_id)
 
 
-def only_new(incoming: DataFrame, loaded: DataFrame, keys: list[str], ts: str = TS, tie_break: tuple[str, ...] = ()) -> DataFrame:
-    """First row of each key that is not loaded yet, as ``INSERT IGNORE`` keeps it.
+def only_new(
+    incoming: DataFrame, loaded: DataFrame, keys: list[str], ts: str = TS, tie_break: tuple[str, ...] = (), same_time: bool = False
+) -> DataFrame:
+    """First row of each key that is not loaded yet, as ``INSERT IGNORE`` keeps it: the key alone decides.
 
     Repeats within the batch go first: the one that is least in ``ts`` and then in
     ``tie_break`` stays, and the limit to one row per key is planned in the map tasks
-    too. ``loaded`` is cut to the batch's time range, a literal that prunes its scan,
-    and to the key columns: a key and its ``ts`` come from the same record.
+    too. Of ``loaded`` the keys alone are read, of all its rows: a key may be sent again with another time. Only a caller who
+    knows that it never is (``same_time``) has ``loaded`` cut to the batch's time range, a literal that prunes its
+    scan. Where batches come often, ``sinks.keyed.SeenKeys`` meets the history without shuffling it.
     """
     first = Window.partitionBy(*keys).orderBy(ts, *tie_break)
     batch = incoming.withColumn("_rank", F.row_number().over(first)).filter(F.col("_rank") == 1).drop("_rank")
-    lo, hi = incoming.agg(F.min(ts).cast("string"), F.max(ts).cast("string")).first()
-    kind = dict(loaded.dtypes)[ts]
-    near = F.col(ts).between(F.lit(lo).cast(kind), F.lit(hi).cast(kind))
-    return batch.join(loaded.filter(near).select(*keys), keys, "left_anti")
+    if same_time:
+        lo, hi = incoming.agg(F.min(ts).cast("string"), F.max(ts).cast("string")).first()
+        kind = dict(loaded.dtypes)[ts]
+        loaded = loaded.filter(F.col(ts).between(F.lit(lo).cast(kind), F.lit(hi).cast(kind)))
+    return batch.join(loaded.select(*keys), keys, "left_anti")
 
 
 def rate_against_baseline(

@@ -136,3 +136,9 @@ def newest_hours(store) -> DataFrame:
     """The newest stored hour in the place of the newest request."""
     hours = [h for h in store.hours() if h.isdigit()]
     return store.rows("clients", hours[-1] if hours else None).select(F.col("hour").alias(TS))
+
+
+def hourly_baseline(store, keys: list[str], first: str, last: str, hours: int) -> DataFrame:
+    """Mean requests an hour of each key in the ``hours`` hours from ``first`` to ``last`` (folder names), as alerts compare with."""
+    rows = store.rows("hourly", first, last).groupBy(*keys)
+    return rows.agg((F.sum("request_count") / F.lit(float(hours))).alias("baseline"))

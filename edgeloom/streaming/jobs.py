@@ -11,6 +11,7 @@ from edgeloom.functions import weblog
 from edgeloom.sinks import tables
 from edgeloom.sinks.keyed import KeyedTable, SeenKeys
 from edgeloom.sinks.rollup_store import RollupStore
+from edgeloom.streaming.windows import above_baseline
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -52,6 +53,12 @@ def keyed_sink(table: KeyedTable) -> Sink:
     return lambda rows, batch_id: table.upsert(rows, batch_id)
 
 
+def baseline_sink(baseline: Callable[[], DataFrame], keys: list[str], sink: Sink, value: str = "request_count", factor: float = 10.0) -> Sink:
+    """``sink`` for windows far above the baseline. It is read anew for each micro-batch: once a later
+    job has renewed it, the next micro-batch is held against the new one, and a batch sees one version whole."""
+    return lambda rows, batch_id: sink(above_baseline(rows, baseline(), keys, value, factor), batch_id)
+
+
 def insert_ignore_sink(seen: SeenKeys, order: list[str], sink: Sink) -> Sink:
     """``sink`` for rows whose key was not loaded before. Keys are noted after the rows are written: a
     batch that is lost between the two writes the same rows again."""

@@ -89,3 +89,25 @@ def window_alerts(windows: DataFrame, max_error_pct: float = 5.0, min_requests:
     return windows.filter((F.col("request_count") >= min_requests) & (pct > max_error_pct)).select(
         F.lit("error_rate").alias("alert"), "window_start", "endpoint", "method", "request_count", pct.alias("value"), F.lit(max_error_pct).alias("threshold")
     )
+
+
+def sustained_alerts(
+    logs: DataFrame, keys: list[str], window: str = "1 hour", periods: int = 2, max_error_pct: float = 10.0, delay: str = DELAY
+) -> DataFrame:
+    """Runs of at least ``periods`` windows next to each other with too large a share of errors, as ``sustained_breaches``
+    finds them, on a stream as well: breached windows go on to sessions that a window without a breach, or without data, ends. A stream needs
+    append mode; a run comes out once the watermark is past the window that could have prolonged it."""
+    counted = enrich(timed(logs, delay=delay)).groupBy(F.window(TS, window).alias("w"), *keys).agg(
+        F.count(F.lit(1)).alias("request_count"), F.sum("is_error").alias("error_count")
+    )
+    pct = F.col("error_count") * 100.0 / F.col("request_count")
+    breached = counted.filter(pct > max_error_pct).select(*keys, F.window_time("w").alias("at"), F.col("w.start").alias("start"), pct.alias("pct"))
+    runs = breached.groupBy(*keys, F.session_window("at", window).alias("run")).agg(
+        F.min("start").alias("breach_start"), F.max("start").alias("breach_end"), F.count(F.lit(1)).alias("periods"), F.max("pct").alias("worst_pct")
+    )
+    return runs.filter(F.col("periods") >= periods).drop("run")
+
+
+def above_baseline(windows: DataFrame, baseline: DataFrame, keys: list[str], value: str = "request_count", factor: float = 10.0) -> DataFrame:
+    """Windows whose ``value`` is more than ``factor`` times their key's ``baseline``. A key without one is new and has no alert."""
+    return windows.join(baseline, keys).filter(F.col(value) > F.col("baseline") * factor)

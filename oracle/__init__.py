@@ -37,12 +37,13 @@ def build(sql: str) -> str:
         if name in found
     ]
     head = ",\n".join(ctes)
-    if body[:5].upper() == "WITH ":
-        return f"WITH {head},\n{body[5:]}"
+    for opening in ("WITH RECURSIVE ", "WITH "):
+        if body.upper().startswith(opening):
+            return f"{opening}{head},\n{body[len(opening):]}"
     return f"WITH {head}\n{body}"
 
 
-SECTIONS = ["tables", "analytics", "dashboards", "relational", "observability", "ingest", "streams", "stored"]
+SECTIONS = ["tables", "analytics", "dashboards", "relational", "observability", "ingest", "streams", "stored", "loads"]
 
 
 def texts() -> dict[str, str]:

@@ -29,7 +29,9 @@ SQL = {
         ELSE 'high-' || regexp_replace(cli_ip, '\\.\\d+$', '') END AS geo FROM access_logs""",
     "logs_vs_hourly": """SELECT l.country, count(*) AS requests, count(*) FILTER (WHERE ttfb_ms > avg_ttfb) AS slower, max(request_count) AS busiest_hour
         FROM access_logs l JOIN hourly_country h ON h.hour = date_trunc('hour', request_timestamp) AND h.country = l.country GROUP BY 1""",
-    "only_new_rows": """SELECT req_id, min(created_at) AS created_at FROM replayed_logs WHERE req_id NOT IN
+    "only_new_rows": """WITH sent AS (SELECT req_id, request_timestamp AS created_at FROM access_logs WHERE request_timestamp >= @asof - INTERVAL 1 DAY
+        UNION ALL SELECT req_id, request_timestamp + INTERVAL 9 DAY FROM access_logs WHERE request_timestamp >= @asof - INTERVAL 10 DAY)
+        SELECT req_id, min(created_at) AS created_at FROM sent WHERE req_id NOT IN
         (SELECT req_id FROM access_logs WHERE request_timestamp < @asof - INTERVAL 1 DAY) GROUP BY req_id""",
     "rate_vs_baseline": """WITH r AS (SELECT city, count(*) FILTER (WHERE request_timestamp >= @asof - INTERVAL 24 HOUR) / 24.0 AS c,
         count(*) FILTER (WHERE request_timestamp < @asof - INTERVAL 24 HOUR) / 696.0 AS b
@@ -44,6 +46,14 @@ SQL = {
     "rate_limit_violations": """WITH s AS (SELECT cli_ip, date_trunc('second', request_timestamp) AS second FROM access_logs),
         w AS (SELECT *, count(*) OVER (PARTITION BY cli_ip ORDER BY second RANGE BETWEEN INTERVAL 21599 SECOND PRECEDING AND CURRENT ROW) AS n FROM s)
         SELECT cli_ip, second, count(*) AS requests, max(n) AS requests_in_window, least(count(*), max(n) - 3) AS refused FROM w WHERE n > 3 GROUP BY 1, 2""",
+    "admitted_requests": """WITH RECURSIVE counts AS (SELECT cli_ip, date_trunc('second', request_timestamp) AS second, count(*) AS n FROM access_logs GROUP BY ALL),
+        ordered AS (SELECT *, epoch(second)::BIGINT AS s, row_number() OVER (PARTITION BY cli_ip ORDER BY second) AS i FROM counts),
+        fold AS (SELECT cli_ip, second, i, n, least(n, 3) AS a, [{'s': s, 'a': least(n, 3)}] AS kept FROM ordered WHERE i = 1
+        UNION ALL SELECT cli_ip, second, i, n, a, list_append(inside, {'s': s, 'a': a}) FROM (
+            SELECT *, greatest(0, least(n, 3 - coalesce(list_sum([x.a FOR x IN inside]), 0)))::BIGINT AS a FROM (
+                SELECT o.cli_ip, o.second, o.i, o.n, o.s, list_filter(f.kept, lambda x: x.s > o.s - 21600) AS inside
+                FROM fold f JOIN ordered o ON o.cli_ip = f.cli_ip AND o.i = f.i + 1)))
+        SELECT cli_ip, second, n AS requests, a AS admitted, n - a AS refused FROM fold""",
     "sustained_breaches": f"""WITH b AS (SELECT * FROM {HOURLY_COUNTRY} WHERE error_pct > 10),
         g AS (SELECT *, CASE WHEN hour - lag(hour) OVER w = INTERVAL 1 HOUR THEN 0 ELSE 1 END AS opens FROM b WINDOW w AS (PARTITION BY country ORDER BY hour)),
         r AS (SELECT *, sum(opens) OVER (PARTITION BY country ORDER BY hour) AS run FROM g)

@@ -25,6 +25,11 @@ SQL = {
         FROM sessions_6h GROUP BY user_id, no""",
     "stream_dedup": "SELECT DISTINCT req_id, request_timestamp FROM replayed_logs",
     "stream_version_routes": """SELECT if(user_id % 3 = 0, 'v2', 'v1') AS route, count(*) AS lines FROM access_logs GROUP BY 1""",
+    "stream_sustained_alerts": """WITH b AS (SELECT country, hour, sum(is_error) * 100.0 / count(*) AS pct FROM enriched GROUP BY ALL HAVING pct > 10),
+        g AS (SELECT *, CASE WHEN hour - lag(hour) OVER w = INTERVAL 1 HOUR THEN 0 ELSE 1 END AS opens FROM b WINDOW w AS (PARTITION BY country ORDER BY hour)),
+        r AS (SELECT *, sum(opens) OVER (PARTITION BY country ORDER BY hour) AS run FROM g)
+        SELECT country, min(hour) AS breach_start, max(hour) AS breach_end, count(*) AS periods, round(max(pct), 6) AS worst_pct
+        FROM r GROUP BY country, run HAVING count(*) >= 2""",
     "stream_alerts": f"""SELECT 'error_rate' AS alert, window_start, endpoint, method, request_count,
         round(error_count * 100.0 / request_count, 6) AS value, 5.0::DOUBLE AS threshold
         FROM ({_window('1 hour', _ENDPOINT)}) WHERE error_count * 100.0 / request_count > 5""",

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from edgeloom.functions import weblog
-from edgeloom.operators import joins, windows
+from edgeloom.operators import joins, limits, windows
 from edgeloom.plans import performance, security
 from edgeloom.sources import messages
 from edgeloom.streaming.windows import endpoint_window
@@ -71,6 +71,10 @@ def test_insert_ignore_keeps_the_first(spark):
     got = joins.only_new(batch, rows((3, NOW, "loaded")), ["req_id"])
     assert sorted((r.req_id, r.v) for r in got.collect()) == [(1, "a"), (2, "c")]
     assert joins.only_new(batch.limit(0), rows((3, NOW, "loaded")), ["req_id"]).collect() == []
+    later = rows((3, NOW + dt.timedelta(days=4), "again"), (4, NOW + dt.timedelta(days=4), "e"))
+    loaded = rows((3, NOW, "loaded"))
+    assert [r.v for r in joins.only_new(later, loaded, ["req_id"]).collect()] == ["e"]
+    assert joins.only_new(later, loaded, ["req_id"], same_time=True).count() == 2  # on the caller's word
 
 
 def test_limiter_at_its_own_limit(spark):
@@ -113,3 +117,32 @@ def test_hours_are_utc_in_any_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert (row.request_timestamp, row.hour, row.date) == (dt.datetime(2024, 1, 1, 2, 30), dt.datetime(2024, 1, 1, 2), dt.date(2024, 1, 1))
+
+
+def plain_limiter(times, limit, window):
+    """The admitting limiter, request by request."""
+    kept, out = [], {}
+    for t in sorted(times):
+        kept = [k for k in kept if t - k < window]
+        ok = len(kept) < limit
+        kept += [t] * ok
+        n, a = out.get(t, (0, 0))
+        out[t] = (n + 1, a + ok)
+    return out
+
+
+def test_limiter_that_counts_what_it_let_in(spark):
+    import random
+
+    rng = random.Random(2)
+    clients = {"hot": [rng.randrange(4000) for _ in range(20_000)], "calm": [rng.randrange(4000) for _ in range(60)], None: [5] * 120 + [64, 65, 66], "pauses": [0] * 101 + [60, 200, 200] + [900] * 150}
+    rows = [(c, NOW + dt.timedelta(seconds=t)) for c, times in clients.items() for t in times]
+    logs = spark.createDataFrame([*rows, ("calm", None)], "cli_ip string, request_timestamp timestamp_ntz").repartition(5)
+    for limit, window in ((100, 60), (7, 300)):
+        got = {}
+        for r in limits.admitted(logs, limit=limit, window_seconds=window).collect():
+            got.setdefault(r.cli_ip, {})[int((r.second - NOW).total_seconds())] = (r.requests, r.admitted)
+            assert r.refused == r.requests - r.admitted
+        assert got == {c: plain_limiter(times, limit, window) for c, times in clients.items()}
+    trusted = limits.admitted(logs, limit=F.when(F.col("cli_ip") == "hot", 1000).otherwise(100)).where("cli_ip = 'hot'").agg(F.sum("refused")).first()[0]
+    assert trusted == 0

