@@ -32,9 +32,9 @@ def enrich(logs: DataFrame, ts: str = TS) -> DataFrame:
     )
 
 
-def from_cdn_layout(raw: DataFrame) -> DataFrame:
+def from_cdn_layout(raw: DataFrame, *others: str) -> DataFrame:
     """Rename the delivery-log layout to the canonical names; epoch seconds become UTC wall
-    clock, whatever the session's zone. Absent columns are simply not mapped."""
+    clock, whatever the session's zone. Absent columns are simply not mapped; ``others`` are carried along."""
     renames = {
         "reqId": "req_id", "cliIP": "cli_ip", "statusCode": "status_code", "proto": "proto",
         "reqHost": "req_host", "reqMethod": "req_method", "reqPath": "req_path", "UA": "user_agent",
@@ -49,4 +49,4 @@ def from_cdn_layout(raw: DataFrame) -> DataFrame:
         "cookie": "cookie", "xForwardedFor": "x_forwarded_for",
     }
     cols = [F.col(old).alias(new) for old, new in renames.items() if old in raw.columns]
-    return raw.select(utc_seconds(F.col("reqTimeSec")).alias(TS), *cols)
+    return raw.select(utc_seconds(F.col("reqTimeSec")).alias(TS), *cols, *others)

@@ -13,17 +13,17 @@ MS = "response_time_ms"
 
 def histogram() -> Column:
     """(value, number) of a key's milliseconds in order. A key has as many entries as different milliseconds."""
-    return F.array_sort(F.collect_list(F.when(F.col(MS).isNotNull(), F.struct(F.col(MS).alias("at"), F.col("request_count").alias("n")))))
+    return F.array_sort(F.collect_list(F.when(F.col(MS).isNotNull(), F.struct(F.col(MS).cast("long").alias("at"), F.col("request_count").alias("n")))))
 
 
 def quantile(bins: str, share: float) -> Column:
     """The least value that at least ``share`` of a histogram's entries do not exceed; NULL without entries."""
     total = F.aggregate(bins, F.lit(0).cast("long"), lambda n, b: n + b["n"])
     rank = F.greatest(F.lit(1).cast("long"), total - F.floor(total - F.lit(share) * total))
-    begin = F.struct(F.lit(0).cast("long").alias("seen"), F.lit(None).cast("int").alias("at"))
+    begin = F.struct(rank.alias("left"), F.lit(None).cast("long").alias("at"))
 
     def step(done: Column, b: Column) -> Column:
-        return F.struct((done["seen"] + b["n"]).alias("seen"), F.when(done["seen"] >= rank, done["at"]).otherwise(b["at"]).alias("at"))
+        return F.struct((done["left"] - b["n"]).alias("left"), F.when(done["left"] <= 0, done["at"]).otherwise(b["at"]).alias("at"))
 
     return F.aggregate(bins, begin, step, lambda done: done["at"])
 

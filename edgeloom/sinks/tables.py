@@ -8,8 +8,10 @@ half-way therefore costs a retry, never earlier rows.
 from __future__ import annotations
 
 import datetime as dt
+import socket
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from edgeloom.functions.exprs import TS, day_start, span
@@ -18,10 +20,11 @@ from edgeloom.operators.windows import dedup_latest
 BATCH = "batch_id"
 
 
-def write_batch(df: DataFrame, batch_id: int, path: str) -> None:
-    """Write one micro-batch to the folder of its id; writing it again replaces what the
+def write_batch(df: DataFrame, batch_id: int, path: str, by: tuple[str, ...] = ()) -> None:
+    """Write one micro-batch to the folder of its id, in folders ``by`` column inside; writing it again replaces what the
     folder held, also when the second try has no rows."""
-    df.drop(BATCH).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/{BATCH}={int(batch_id)}")
+    out = df.drop(BATCH).write.mode("overwrite").option("partitionOverwriteMode", "static")
+    out.partitionBy(*by).parquet(f"{path}/{BATCH}={int(batch_id)}")
 
 
 def read_latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
@@ -64,8 +67,14 @@ def write_archive(df: DataFrame, path: str, ts: str = TS, files_per_day: int | N
     out.write.mode("append").option("compression", "snappy").partitionBy("year", "month", "day").parquet(path)
 
 
-def write_quarantine(rejected: DataFrame, path: str) -> None:
-    rejected.withColumn("rejected_at", F.current_timestamp()).write.mode("append").parquet(path)
+def write_quarantine(rejected: DataFrame, path: str, batch_id: int | None = None) -> None:
+    """Rejected lines with the time of rejection: of a batch that may run again in its own folder, which a retry replaces;
+    without a batch they are appended."""
+    stamped = rejected.withColumn("rejected_at", F.current_timestamp())
+    if batch_id is None:
+        stamped.write.mode("append").parquet(path)
+    else:
+        write_batch(stamped, batch_id, path)
 
 
 def write_versions(parsed: DataFrame, batch_id: int, base: str) -> None:
@@ -80,20 +89,50 @@ def write_versions(parsed: DataFrame, batch_id: int, base: str) -> None:
 
 LEDGER = (
     "job_name STRING, run_id STRING, hostname STRING, status STRING, files_processed LONG, rows_processed LONG, "
-    "duration_seconds LONG, error_message STRING, started_at TIMESTAMP, completed_at TIMESTAMP"
+    "duration_seconds LONG, error_message STRING, started_at TIMESTAMP, completed_at TIMESTAMP, rows_read LONG, rows_rejected LONG"
 )
 
 
 def ledger_row(
     spark: SparkSession, job_name: str, run_id: str, hostname: str, started_at: dt.datetime,
-    completed_at: dt.datetime, files: int, rows: int, error: str | None = None,
+    completed_at: dt.datetime, files: int, rows: int, error: str | None = None, read: int | None = None, rejected: int | None = None,
 ) -> DataFrame:
     status = "failed" if error else "success"
     seconds = int((completed_at - started_at).total_seconds())
-    row = (job_name, run_id, hostname, status, files, rows, seconds, error, started_at, completed_at)
+    row = (job_name, run_id, hostname, status, files, rows, seconds, error, started_at, completed_at, read, rejected)
     return spark.createDataFrame([row], LEDGER)
 
 
+class Run:
+    """One run of a job, with counts that the job's own writing pass makes. ``with Run(...) as run: ...`` writes a row to the
+    ledger at the end, also where the job fails; the counts are those of the passes that came through."""
+
+    def __init__(self, spark: SparkSession, ledger: str, job_name: str, run_id: str, files: int = 0) -> None:
+        self.spark, self.ledger, self.job_name, self.run_id, self.files = spark, ledger, job_name, run_id, files
+        self.counts = {"read": 0, "rejected": 0}
+        self._observed: Observation | None = None
+
+    def counting(self, rows: DataFrame, rejected: Column) -> DataFrame:
+        """``rows``, counted as they are written: all that pass, and those that ``rejected`` holds for. No scan of its own."""
+        self._observed = Observation(f"{self.job_name}-{uuid.uuid4().hex}")
+        return rows.observe(self._observed, F.count(F.lit(1)).alias("read"), F.count_if(rejected).alias("rejected"))
+
+    def counted(self) -> None:
+        """To be called once the counted rows are written."""
+        self.counts = self._observed.get
+
+    def __enter__(self) -> Run:
+        self.started = dt.datetime.now(dt.timezone.utc)
+        return self
+
+    def __exit__(self, kind, error, trace) -> None:
+        read, rejected = self.counts["read"], self.counts["rejected"]
+        message = None if error is None else f"{kind.__name__}: {error}"[:1000]
+        done = dt.datetime.now(dt.timezone.utc)
+        row = ledger_row(self.spark, self.job_name, self.run_id, socket.gethostname(), self.started, done, self.files, read - rejected, message, read, rejected)
+        row.coalesce(1).write.mode("append").parquet(self.ledger)
+
+
 def export_yesterday(rollup: DataFrame, path: str, as_of, ts: str = "window_start") -> None:
     """The day before ``as_of`` as gzip CSV."""
     end = day_start(as_of)

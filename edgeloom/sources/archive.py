@@ -25,10 +25,33 @@ def partition_day() -> Column:
 
 
 def hour_folders(base: str, start: dt.datetime, end: dt.datetime) -> str:
-    """One glob over the YYYY/MM/DD/HH folders of [start, end); absent hours match nothing."""
-    hour = start.replace(minute=0, second=0, microsecond=0)
-    names = []
+    """One glob over the YYYY/MM/DD/HH folders of [start, end); absent hours match nothing. Years, months and days that
+    are whole are one name each, hours are named at both ends only: a year is a handful of names."""
+    hour, names = start.replace(minute=0, second=0, microsecond=0), []
     while hour < end:
-        names.append(hour.strftime("%Y/%m/%d/%H"))
-        hour += dt.timedelta(hours=1)
+        for first, after, form in _SPANS:
+            if hour == first(hour) and (after(hour) <= end or form.endswith("%H")):
+                names.append(hour.strftime(form))
+                hour = after(hour)
+                break
     return f"{base.rstrip('/')}/{{{','.join(names)}}}"
+
+
+def _year(t: dt.datetime) -> dt.datetime:
+    return t.replace(month=1, day=1, hour=0)
+
+
+def _month(t: dt.datetime) -> dt.datetime:
+    return t.replace(day=1, hour=0)
+
+
+def _day(t: dt.datetime) -> dt.datetime:
+    return t.replace(hour=0)
+
+
+_SPANS = (
+    (_year, lambda t: t.replace(year=t.year + 1), "%Y/*/*/*"),
+    (_month, lambda t: _month(t + dt.timedelta(days=31)), "%Y/%m/*/*"),
+    (_day, lambda t: t + dt.timedelta(days=1), "%Y/%m/%d/*"),
+    (lambda t: t, lambda t: t + dt.timedelta(hours=1), "%Y/%m/%d/%H"),
+)

@@ -31,10 +31,12 @@ def scan(spark: SparkSession, paths: list[str] | str, schema: T.StructType | Non
 
 
 def parse_lines(lines: DataFrame, schema: T.StructType | None = None) -> DataFrame:
-    """The text column ``value`` as the columns of a line; other columns are carried along."""
+    """The text column ``value`` as the columns of a line; other columns are carried along. A
+    generator keeps filters on the columns above it, so each line is parsed once."""
     layout = with_corrupt_column(schema or cdn_schema()).toDDL()
     others = [c for c in lines.columns if c != "value"]
-    return lines.select(*others, F.from_csv("value", layout, READ_OPTIONS).alias("_row")).select("_row.*", *others)
+    row = F.explode(F.array(F.from_csv("value", layout, READ_OPTIONS))).alias("_row")
+    return lines.select(*others, row).select("_row.*", *others)
 
 
 def scan_stream(

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import threading
+from collections import defaultdict
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from edgeloom.functions import weblog
 from edgeloom.sinks import tables
@@ -101,5 +103,34 @@ def run(stream: DataFrame, sink: Sink, checkpoint: str, mode: str = "update") ->
 
 
 def late_rows(query: StreamingQuery) -> int:
-    """Rows that came after the watermark had passed them and were dropped."""
+    """Rows that came after the watermark had passed them and were dropped, in the batches that Spark still reports
+    (the newest hundred, by default). ``LateRows`` adds up all."""
     return sum(s.numRowsDroppedByWatermark for p in query.recentProgress for s in p.stateOperators)
+
+
+class LateRows(StreamingQueryListener):
+    """Adds up the rows that the watermark dropped, batch by batch, for queries of any length. Register it with
+    ``spark.streams.addListener`` before the query starts."""
+
+    def __init__(self) -> None:
+        self._dropped: dict[str, dict[int, int]] = {}
+        self._ended: dict[str, threading.Event] = defaultdict(threading.Event)
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802 - the listener's interface
+        self._dropped.setdefault(str(event.id), {})
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        dropped = sum(s.numRowsDroppedByWatermark for s in event.progress.stateOperators)
+        self._dropped.setdefault(str(event.progress.id), {})[event.progress.batchId] = dropped
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        self._ended[str(event.runId)].set()
+
+    def of(self, query: StreamingQuery, wait: float = 30.0) -> int:
+        """Rows dropped so far over all runs of the query that this listener saw; of a run that ended, all its batches."""
+        if not query.isActive:
+            self._ended[str(query.runId)].wait(wait)
+        return sum(self._dropped.get(str(query.id), {}).values())

@@ -44,14 +44,65 @@ def test_new_files_of_a_directory_as_a_stream(spark, landed, tmp_path):
     assert out.count() == n and out.select("file_path").distinct().count() == 2 and len(query.recentProgress) >= 3
 
 
+def outputs(tmp_path):
+    return daily.DailyOutputs(*[f"{tmp_path}/{x}" for x in ("rollups", "archive", "quarantine", "quality", "ledger")])
+
+
 def test_daily_batch_can_be_repeated(spark, landed, tmp_path):
     base, n = landed
-    out = daily.DailyOutputs(*[f"{tmp_path}/{x}" for x in ("hourly", "daily", "archive", "quarantine", "quality")])
+    out = outputs(tmp_path)
     for _ in range(2):
         daily.daily_batch(spark, [str(base)], dt.date(2024, 1, 15), out)
-    assert spark.read.parquet(out.archive).count() == n and spark.read.parquet(out.quarantine).count() == 2
-    assert spark.read.parquet(out.hourly).agg(F.sum("request_count")).first()[0] == n
+    assert daily.archived(spark, out).count() == n and spark.read.parquet(out.quarantine).count() == 2
+    assert daily.hourly(spark, out).agg(F.sum("request_count")).first()[0] == n
     assert spark.read.parquet(out.quality).count() == 1
+    runs = spark.read.parquet(out.ledger).collect()
+    assert [(r.status, r.rows_read, r.rows_processed, r.rows_rejected, r.files_processed) for r in runs] == [("success", n + 2, n, 2, 3)] * 2
+
+
+def rollups_of(spark, out):
+    hours = daily.hourly(spark, out)
+    assert hours.count() == hours.select("window_start", "country", "status_code", "cache_status").distinct().count()
+    return sorted(map(str, hours.collect())), sorted(map(str, daily.daily(spark, out).collect()))
+
+
+def test_any_order_of_files_and_runs_ends_the_same(spark, landed, tmp_path):
+    """Two runs whose files hold rows of the same days, in both orders, one with other files first."""
+    base, n = landed
+    first, second, broken = ([str(base / f"f{i}.csv.gz")] for i in (0, 1, 2))
+    one, two = dt.date(2024, 1, 15), dt.date(2024, 1, 16)
+    ends = []
+    for i, order in enumerate(([(first, one), (second, two)], [(second, two), (second, one), (first, one), (second, two)], [(first + second, one), (broken, one), (first, one), (second, two)])):
+        out = outputs(tmp_path / str(i))
+        for files, day in order:
+            daily.daily_batch(spark, files, day, out)
+        ends.append(rollups_of(spark, out))
+        assert daily.archived(spark, out).count() == n
+    assert ends[0] == ends[1] == ends[2]
+    days = daily.archived(spark, out).select(F.to_date("request_timestamp").alias("d"), F.make_date("year", "month", "day").alias("p"))
+    assert days.where("d != p").count() == 0
+    a_day = days.first().d
+    pruned = daily.archived(spark, out, [a_day])
+    assert pruned.count() == days.where(F.col("d") == a_day).count() < n
+    assert "isnotnull(year" in pruned._jdf.queryExecution().executedPlan().toString().split("PartitionFilters")[1].split("PushedFilters")[0]
+
+
+def test_a_run_that_fails_is_in_the_ledger(spark, landed, tmp_path, monkeypatch):
+    base, n = landed
+    out = outputs(tmp_path)
+    monkeypatch.setattr(daily, "_roll_up", lambda *a: (_ for _ in ()).throw(RuntimeError("no room")))
+    with pytest.raises(RuntimeError, match="no room"):
+        daily.daily_batch(spark, [str(base)], dt.date(2024, 1, 15), out)
+    monkeypatch.undo()
+    daily.daily_batch(spark, [str(base)], dt.date(2024, 1, 15), out)
+    runs = spark.read.parquet(out.ledger).orderBy("started_at").collect()
+    assert [(r.status, r.rows_read) for r in runs] == [("failed", n + 2), ("success", n + 2)] and "no room" in runs[0].error_message
+    assert daily.hourly(spark, out).agg(F.sum("request_count")).first()[0] == n
+
+
+def test_a_line_is_parsed_once(spark, landed):
+    for half in cdn.read_cdn_logs(spark, [str(landed[0])]):
+        assert half._jdf.queryExecution().executedPlan().toString().count("from_csv") == 1
 
 
 def test_an_empty_retry_leaves_nothing(spark, tmp_path):
@@ -79,6 +130,9 @@ def test_versions_and_quarantine(spark, tmp_path):
     tables.write_versions(parsed, 3, f"{tmp_path}/v")
     counts = [spark.read.parquet(f"{tmp_path}/v/{p}").count() for p in ("v1", "v2", "union")]
     assert counts == [1, 1, 2]
+    for _ in range(2):
+        tables.write_quarantine(parsed.select("ip"), f"{tmp_path}/once", 7)
+    assert spark.read.parquet(f"{tmp_path}/once").count() == 2
     tables.write_quarantine(parsed.select("ip"), f"{tmp_path}/q")
     tables.write_quarantine(parsed.select("ip"), f"{tmp_path}/q")
     assert spark.read.parquet(f"{tmp_path}/q").where("rejected_at is not null").count() == 4
@@ -93,6 +147,8 @@ def test_archive_prunes_days_and_dated_folders(spark, small, tmp_path):
     assert "PartitionFilters: [isnotnull" in one._jdf.queryExecution().executedPlan().toString()
     pattern = archive.hour_folders("/base", dt.datetime(2024, 1, 1, 23), dt.datetime(2024, 1, 2, 1))
     assert pattern == "/base/{2024/01/01/23,2024/01/02/00}"
+    long = archive.hour_folders("/b/", dt.datetime(2022, 11, 29, 22, 30), dt.datetime(2024, 2, 2, 1, 30))
+    assert long == "/b/{2022/11/29/22,2022/11/29/23,2022/11/30/*,2022/12/*/*,2023/*/*/*,2024/01/*/*,2024/02/01/*,2024/02/02/00,2024/02/02/01}"
 
 
 def test_export_ledger_and_empty_database_append(spark, small, tmp_path):

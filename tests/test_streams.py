@@ -142,3 +142,21 @@ def test_a_renewed_baseline_is_seen_by_the_next_batch(spark, arrived, tmp_path):
     counted = source.groupBy("country", F.to_date("request_timestamp").alias("day")).agg(F.count(F.lit(1)).alias("request_count"))
     jobs.run(counted, sink, f"{tmp_path}/c")
     assert len(seen) >= 3 and got[1] and {r.baseline for r in got[1]} == {0.0} and 0.0 not in {r.baseline for r in got[0]}
+
+
+def test_late_rows_of_more_batches_than_are_reported(spark, tmp_path):
+    schema, start = "request_timestamp timestamp_ntz, v int", dt.datetime(2024, 1, 1)
+    for i in range(8):  # after the first, every file is late
+        minutes = 90 if i == 0 else i
+        spark.createDataFrame([(start + dt.timedelta(minutes=minutes), i)], schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    listener = jobs.LateRows()
+    spark.streams.addListener(listener)
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        source = lambda: spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+        query = jobs.run(windows.timed(source()).groupBy(F.window("request_timestamp", "30 seconds")).count(), jobs.batch_sink(f"{tmp_path}/out"), f"{tmp_path}/c")
+        kept = spark.read.parquet(f"{tmp_path}/out").agg(F.sum("count")).first()[0]
+        assert jobs.late_rows(query) < listener.of(query) == 8 - kept > 2
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+        spark.streams.removeListener(listener)
