@@ -3,6 +3,8 @@ where a month of sparse traffic would leave nothing to report."""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from edgeloom.operators import rollups
 from edgeloom.plans import capacity, compliance, content, cost, performance, security, series, users
 
@@ -25,6 +27,14 @@ def on_recent(plan, rollup, window, **options):
     return lambda t: plan(t.recent(rollup, window), **options)
 
 
+def support_desk(t):
+    """Open tickets and the last recommendation score of the visitors who gave one, made up from their number."""
+    user = F.col("user_id")
+    return t.logs.select("user_id").distinct().where(user % 3 != 2).select(
+        "user_id", F.when(user % 6 == 0, user % 5).otherwise(0).alias("support_tickets_count"), F.when(user % 4 != 3, user % 11).alias("last_nps_score")
+    )
+
+
 QUERIES = {
     # performance
     "slowest_paths": on_logs(performance.slowest_paths, window="7 days", min_requests=5),
@@ -95,6 +105,7 @@ QUERIES = {
         seen_within="7 days",
     ),
     "user_personas": on_logs(users.user_personas, gap="6 hours"),
+    "churn_risk_support": lambda t: users.churn_risk(t.logs, t.as_of, support=support_desk(t), min_score=22),
     "churn_risk": on_logs(users.churn_risk, gap="6 hours", min_score=3),
     "tier_conversion": lambda t: users.tier_conversion(t.table("customer"), t.table("orders")),
     "regional_analytics": lambda t: users.regional_analytics(

@@ -30,9 +30,13 @@ class LogTables:
         self.directory = directory.rstrip("/")
         self._as_of = as_of
         self._first = first
+        self._opened: dict[str, DataFrame] = {}
 
     def _read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.directory}/{name}.parquet")
+        """A table, whose files are listed and schema read once."""
+        if name not in self._opened:
+            self._opened[name] = self.spark.read.parquet(f"{self.directory}/{name}.parquet")
+        return self._opened[name]
 
     def table(self, name: str) -> DataFrame:
         rows = self._read(name)
@@ -40,7 +44,9 @@ class LogTables:
 
     def after(self, first: Column) -> LogTables:
         """The same tables without events before ``first``: what is derived from them reads no more."""
-        return type(self)(self.spark, self.directory, self.as_of, first)
+        cut = type(self)(self.spark, self.directory, self.as_of, first)
+        cut._opened = self._opened
+        return cut
 
     @cached_property
     def logs(self) -> DataFrame:

@@ -10,12 +10,9 @@ from collections.abc import Callable
 from dataclasses import dataclass, replace
 from math import ceil
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from edgeloom.functions.exprs import epoch_seconds, instant, n_where, pct, share, span
-from edgeloom.operators.jobs import missing_lines
-from edgeloom.operators.sets import union_files
+from edgeloom.functions.exprs import instant
 
 
 @dataclass(frozen=True)
@@ -23,7 +20,7 @@ class Rule:
     name: str
     severity: str
     table: str
-    measure: Callable[[Column], Column]  # given the window's end, returns an aggregate
+    measure: str  # SQL aggregate; {now} stands for the reference time in seconds
     above: bool
     threshold: float
     window_minutes: int
@@ -37,50 +34,54 @@ class Rule:
         return max(1, ceil(self.for_minutes / self.window_minutes))
 
 
-def _errors_pct(_):
-    return pct(F.sum("error_count"), F.sum("request_count"))
+def _share(condition: str) -> str:
+    return f"100.0D * count_if({condition}) / nullif(count(1), 0)"
 
 
-def _age_minutes(ts: str):
-    return lambda end: (epoch_seconds(end) - epoch_seconds(F.max(ts))) / F.lit(60.0)
+def _seconds(time: str) -> str:
+    """Seconds since 1970 of a time, with fractions."""
+    return f"unix_micros(CAST({time} AS TIMESTAMP)) / 1000000.0D"
 
 
-def _metric(agg):
-    return lambda _: agg("metric_value")
+def _age_minutes(ts: str) -> str:
+    return f"({{now}} - {_seconds(f'max({ts})')}) / 60.0D"
+
+
+ERRORS_PCT = "100.0D * sum(error_count) / nullif(sum(request_count), 0)"
 
 
 # --- fixed values: alert names, severities, thresholds, windows and holding times -------
 RULES = [
     Rule("IngestionServiceDown", "P1", "ingestion_metrics", _age_minutes("timestamp"), True, 5, 60, 5,
          where="metric_name = 'health_check'", silence_fires=True),
-    Rule("HighErrorRate", "P1", "endpoint_summary", _errors_pct, True, 10, 10, 10, ts="window_start"),
-    Rule("KafkaLagCritical", "P1", "kafka_metrics", _metric(F.max), True, 100_000, 5, 5,
+    Rule("HighErrorRate", "P1", "endpoint_summary", ERRORS_PCT, True, 10, 10, 10, ts="window_start"),
+    Rule("KafkaLagCritical", "P1", "kafka_metrics", "max(metric_value)", True, 100_000, 5, 5,
          where="metric_name = 'consumer_lag'"),
-    Rule("QueueBacklogGrowing", "P2", "ingestion_metrics", _metric(F.avg), True, 500, 15, 15,
+    Rule("QueueBacklogGrowing", "P2", "ingestion_metrics", "avg(metric_value)", True, 500, 15, 15,
          where="metric_name = 'queue_depth'"),
-    Rule("SlowResponseTimes", "P2", "endpoint_summary", lambda _: F.avg("p95_response_time") * 1000, True, 1000, 10, 10,
+    Rule("SlowResponseTimes", "P2", "endpoint_summary", "avg(p95_response_time) * 1000", True, 1000, 10, 10,
          ts="window_start"),
-    Rule("DiskUsageHigh", "P2", "ingestion_metrics", _metric(F.max), True, 85, 5, 5,
+    Rule("DiskUsageHigh", "P2", "ingestion_metrics", "max(metric_value)", True, 85, 5, 5,
          where="metric_name = 'disk_usage_pct'"),
-    Rule("DataLossDetected", "critical", "processing_metrics", lambda _: n_where(missing_lines() > 0), True, 0, 5),
-    Rule("ProcessingFailure", "critical", "processing_metrics", lambda _: n_where(F.col("error_count") > 0), True, 0, 5),
+    Rule("DataLossDetected", "critical", "processing_metrics", "count_if(lines_read - lines_processed - lines_failed > 0)", True, 0, 5),
+    Rule("ProcessingFailure", "critical", "processing_metrics", "count_if(error_count > 0)", True, 0, 5),
     Rule("SuccessRateDrop", "critical", "processing_metrics",
-         lambda _: F.avg(F.col("success_rate").cast("double")), False, 90, 15),
-    Rule("SlowProcessing", "warning", "processing_metrics", lambda _: F.avg("processing_duration_ms"), True, 120_000, 15),
+         "avg(CAST(success_rate AS DOUBLE))", False, 90, 15),
+    Rule("SlowProcessing", "warning", "processing_metrics", "avg(processing_duration_ms)", True, 120_000, 15),
     Rule("HighFailureRate", "warning", "processing_metrics",
-         lambda _: F.avg(F.col("lines_failed") * F.lit(100.0) / F.col("lines_read")), True, 1, 30),
-    Rule("QualityScoreDrop", "warning", "job_quality", lambda _: F.avg("quality_score"), False, 95, 60),
-    Rule("CacheHitRateLow", "warning", "hourly_metrics", lambda _: F.avg("cache_hit_rate") * 100, False, 70, 60,
+         "avg(lines_failed * 100.0D / lines_read)", True, 1, 30),
+    Rule("QualityScoreDrop", "warning", "job_quality", "avg(quality_score)", False, 95, 60),
+    Rule("CacheHitRateLow", "warning", "hourly_metrics", "avg(cache_hit_rate) * 100", False, 70, 60,
          ts="window_start"),
-    Rule("EdgeErrorRate", "critical", "access_logs", lambda _: share(F.col("status_code") >= 400), True, 5, 5, 2,
+    Rule("EdgeErrorRate", "critical", "access_logs", _share("status_code >= 400"), True, 5, 5, 2,
          ts="request_timestamp"),
-    Rule("JobFailureRate", "warning", "processing_metrics", lambda _: share(F.col("error_count") > 0), True, 5, 60),
+    Rule("JobFailureRate", "warning", "processing_metrics", _share("error_count > 0"), True, 5, 60),
     Rule("DataStale", "warning", "access_logs", _age_minutes("request_timestamp"), True, 15, 60, ts="request_timestamp",
          silence_fires=True),
-    Rule("IngestionErrors", "critical", "ingestion_requests", lambda _: share(F.col("http_status") != 201), True, 1, 5),
-    Rule("QueueBacklog", "warning", "ingestion_metrics", _metric(F.max), True, 5000, 5,
+    Rule("IngestionErrors", "critical", "ingestion_requests", _share("http_status != 201"), True, 1, 5),
+    Rule("QueueBacklog", "warning", "ingestion_metrics", "max(metric_value)", True, 5000, 5,
          where="metric_name = 'queue_depth'"),
-    Rule("DiskFull", "critical", "ingestion_metrics", _metric(F.max), True, 90, 5,
+    Rule("DiskFull", "critical", "ingestion_metrics", "max(metric_value)", True, 90, 5,
          where="metric_name = 'disk_usage_pct'"),
 ]
 # --------------------------------------------------------------------------------------
@@ -93,47 +94,42 @@ def stretched(rules: list[Rule], factor: int) -> list[Rule]:
     ]
 
 
-def evaluate(rules: list[Rule], table: DataFrame, as_of) -> DataFrame:
-    """All rules of one table in one pass: one row per rule, with its latest value and
-    whether it fires. Rows are cut to the longest span, then filed under each rule whose
-    windows hold them; window k of a rule ends k windows before now."""
-    now, ts = instant(as_of), rules[0].ts
-    age = epoch_seconds(now) - epoch_seconds(F.col(ts))
+def _text(rules: list[Rule], table: str, now: str) -> str:
+    """All rules of one table as SQL over ``table``, in one pass: one row per rule, with its latest value and whether it
+    fires. Rows are cut to the longest span, then filed under each rule whose windows hold them; window k of
+    a rule ends k windows before now. There is one row per rule even when no rule has data."""
+    ts, at = rules[0].ts, f"TIMESTAMP_NTZ '{now}'"
     longest = max(r.window_minutes * r.hold for r in rules)
-    rows = table.filter((F.col(ts) > now - span(f"{longest} minutes")) & (F.col(ts) <= now))
-    filed = [
-        F.when(
-            (age < r.window_minutes * 60 * r.hold) & (F.expr(r.where) if r.where else F.lit(True)),
-            F.struct(F.lit(i).alias("no"), F.floor(age / (r.window_minutes * 60)).cast("int").alias("k")),
+    filed, measures, judged = [], [], []
+    for i, r in enumerate(rules):
+        seconds = r.window_minutes * 60
+        filed.append(f"CASE WHEN _age < {seconds * r.hold} AND ({r.where or 'true'}) THEN named_struct('no', {i}, 'k', CAST(floor(_age / {seconds}) AS INT)) END")
+        measures.append(f"CAST({r.measure.format(now=_seconds(at))} AS DOUBLE) AS _v{i}")
+        firing = f"count_if(no = {i} AND _v{i} {'>' if r.above else '<'} {r.threshold}) >= {r.hold}"
+        if r.silence_fires:
+            firing += f" OR count_if(no = {i} AND k = 0) = 0"
+        judged.append(
+            f"named_struct('rule', '{r.name}', 'severity', '{r.severity}', 'window_minutes', {r.window_minutes}, "
+            f"'value', max(CASE WHEN no = {i} AND k = 0 THEN _v{i} END), 'threshold', {float(r.threshold)}D, 'firing', {firing})"
         )
-        for i, r in enumerate(rules)
-    ]
-    rows = rows.withColumn("_w", F.explode(F.filter(F.array(*filed), lambda w: w.isNotNull())))
-    measures = [r.measure(now).cast("double").alias(f"_v{i}") for i, r in enumerate(rules)]
-    windows = rows.groupBy("_w.no", "_w.k").agg(*measures)
-    # One row even when no rule has data.
-    judged = windows.agg(*[_judge(r, i).alias(f"_r{i}") for i, r in enumerate(rules)])
-    return judged.select(F.explode(F.array(*[f"_r{i}" for i in range(len(rules))])).alias("r")).select("r.*")
-
-
-def _judge(rule: Rule, i: int) -> Column:
-    mine, value = F.col("no") == i, F.col(f"_v{i}")
-    breach = value > rule.threshold if rule.above else value < rule.threshold
-    firing = n_where(mine & breach) >= rule.hold
-    if rule.silence_fires:
-        firing = firing | (n_where(mine & (F.col("k") == 0)) == 0)
-    return F.struct(
-        F.lit(rule.name).alias("rule"), F.lit(rule.severity).alias("severity"), F.lit(rule.window_minutes).alias("window_minutes"),
-        F.max(F.when(mine & (F.col("k") == 0), value)).alias("value"), F.lit(float(rule.threshold)).alias("threshold"), firing.alias("firing"),
+    rows = f"SELECT *, {_seconds(at)} - {_seconds(ts)} AS _age FROM {table} WHERE {ts} > {at} - INTERVAL {longest} MINUTES AND {ts} <= {at}"
+    windows = (
+        f"SELECT _w.no, _w.k, {', '.join(measures)} FROM (SELECT *, explode(filter(array({', '.join(filed)}), w -> w IS NOT NULL)) AS _w FROM ({rows})) "
+        "GROUP BY _w.no, _w.k"
     )
+    return f"SELECT inline(array({', '.join(judged)})) FROM ({windows})"
 
 
 def evaluate_alerts(tables: Callable[[str, int], DataFrame], as_of, rules: list[Rule] | None = None) -> DataFrame:
     """All rules, one row each. ``tables`` opens a table by name, with at least the rows of
-    the given number of minutes before ``as_of``, so a caller can hand in stored roll-ups;
-    each table is read once, over the longest span its rules look at."""
+    the given number of minutes before ``as_of`` (of literals), so a caller can hand in stored roll-ups;
+    each table is read once, over the longest span its rules look at. The rules are one SQL text, analysed once."""
     by_table: dict[tuple[str, str], list[Rule]] = {}
     for rule in rules or RULES:
         by_table.setdefault((rule.table, rule.ts), []).append(rule)
     longest = {key: max(r.window_minutes * r.hold for r in own) for key, own in by_table.items()}
-    return union_files([evaluate(own, tables(key[0], longest[key]), as_of) for key, own in by_table.items()])
+    opened = {f"t{i}": tables(key[0], longest[key]) for i, key in enumerate(by_table)}
+    spark = opened["t0"].sparkSession
+    now = spark.sql("SELECT 1").select(instant(as_of).cast("string")).first()[0]
+    text = " UNION ALL ".join(_text(own, f"{{{name}}}", now) for name, own in zip(opened, by_table.values()))
+    return spark.sql(text, **opened)

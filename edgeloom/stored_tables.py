@@ -24,7 +24,7 @@ class StoredTables(LogTables):
 
     def __init__(self, tables: LogTables, store: RollupStore) -> None:
         super().__init__(tables.spark, tables.directory, tables._as_of, tables._first)
-        self._newest = tables._newest
+        self._newest, self._opened = tables._newest, tables._opened
         self.store = store
 
     def first_hour(self, begin) -> str:

@@ -231,6 +231,18 @@ SQL = {
         r AS (SELECT *, days_since_last_visit * 2 + coalesce(20::DOUBLE / nullif(visit_frequency_30d, 0), 0) + if(a < 30, 20, 0) AS score FROM u)
         SELECT user_id, days_since_last_visit, visit_frequency_30d, visit_frequency_90d, round(a, 6) AS avg_session_duration,
         round(score, 6) AS churn_risk_score FROM r WHERE visit_frequency_90d > 5 AND score > 3""",
+    "churn_risk_support": """WITH opened AS (SELECT user_id, req_id, request_timestamp AS ts, CASE WHEN request_timestamp - lag(request_timestamp) OVER
+        (PARTITION BY user_id ORDER BY request_timestamp, req_id) <= INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS opens FROM access_logs WHERE request_timestamp >= @asof - INTERVAL 90 DAY),
+        s AS (SELECT user_id, no, epoch_us(max(ts)) / 1e6 - epoch_us(min(ts)) / 1e6 AS secs, min(ts) AS first, max(ts) AS last
+        FROM (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ts, req_id) AS no FROM opened) GROUP BY user_id, no),
+        u AS (SELECT user_id, CAST(date_diff('day', CAST(max(last) AS DATE), CAST(@asof AS DATE)) AS INT) AS days_since_last_visit,
+              count(*) FILTER (WHERE first >= @asof - INTERVAL 30 DAY) AS visit_frequency_30d, count(*) AS visit_frequency_90d, avg(secs) AS a
+              FROM s GROUP BY user_id),
+        d AS (SELECT DISTINCT user_id, if(user_id % 6 = 0, user_id % 5, 0) AS tickets, if(user_id % 4 != 3, user_id % 11, NULL) AS nps FROM access_logs WHERE user_id % 3 != 2),
+        r AS (SELECT u.*, days_since_last_visit * 2 + coalesce(20::DOUBLE / nullif(visit_frequency_30d, 0), 0) + if(a < 30, 20, 0)
+              + coalesce(tickets, 0) * 5 + if(nps < 5, 30, 0) AS score FROM u LEFT JOIN d USING (user_id))
+        SELECT user_id, days_since_last_visit, visit_frequency_30d, visit_frequency_90d, round(a, 6) AS avg_session_duration,
+        round(score, 6) AS churn_risk_score FROM r WHERE visit_frequency_90d > 5 AND score > 22""",
     "tier_conversion": """WITH o AS (SELECT o_custkey, count(*) AS n, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS v FROM orders GROUP BY 1)
         SELECT c_mktsegment AS user_tier, count(*) AS unique_users, CAST(sum(n) AS BIGINT) AS orders, round(sum(v)::DOUBLE / sum(n), 6) AS avg_cart,
         round(count(n) * 100.0 / count(*), 6) AS conversion_rate FROM customer LEFT JOIN o ON o_custkey = c_custkey GROUP BY 1""",
