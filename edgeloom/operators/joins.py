@@ -30,44 +30,55 @@ def ip_to_long(ip: Column | str) -> Column:
     return F.when(valid, number)
 
 
-PREFIX_BITS = (32, 28, 24, 20, 16, 12, 8, 4, 0)
+BLOCK_BITS = 16
 
 
-def ip_range_lookup(logs: DataFrame, ranges: DataFrame, ip: str = "cli_ip", label: str = "geo", row_id: str = "req_id") -> DataFrame:
-    """Attach the label of the narrowest range (``first_ip``..``last_ip``) holding the address.
+def _prefix(number: Column) -> Column:
+    """The first ``bits`` of a 32-bit number."""
+    return F.call_function("shiftrightunsigned", number, F.lit(32) - F.col("bits"))
 
-    Ranges and addresses meet on a prefix, not on inequalities. A range is filed under the
-    longest prefix length whose block is at least as wide, so under two prefixes at most, and a
-    block meets only ranges of about its own width; an address asks every length. Distinct addresses
-    are looked up, not requests, and the label is joined back with hot addresses spread out.
-    """
+
+def _filed(ranges: DataFrame) -> DataFrame:
+    """Ranges under the longest prefix length, in steps of four bits, whose block is at least as wide: under two prefixes at most."""
     width = F.col("last_ip") - F.col("first_ip") + 1
     needed = F.when(width <= 1, F.lit(0)).otherwise(F.length(F.bin(width - 1)))
     bits = (F.lit(32) - F.ceil(needed / 4) * 4).cast("int")
-    size = F.shiftleft(F.lit(1).cast("long"), 32)
-    block = (size / F.pow(F.lit(2), F.col("bits"))).cast("long")
-
-    def prefix(number: str) -> Column:
-        return F.floor(F.col(number) / F.col("block"))
-
-    filed = ranges.withColumn("bits", bits).withColumn("block", block).withColumn(
-        "bucket", F.explode(F.sequence(prefix("first_ip"), prefix("last_ip")))
-    ).drop("block")
-    asked = F.array(*[F.struct(F.lit(b).alias("bits"), F.lit(2 ** (32 - b)).cast("long").alias("block")) for b in PREFIX_BITS])
-    probes = (
-        logs.select(ip).distinct()
-        .withColumn("n", ip_to_long(ip))
-        .filter(F.col("n").isNotNull())
-        .withColumn("p", F.explode(asked))
-        .select(ip, "n", F.col("p.bits").alias("bits"), F.floor(F.col("n") / F.col("p.block")).alias("bucket"))
-    )
+    ends = F.array(*(_prefix(F.col(c).cast("long")) for c in ("first_ip", "last_ip")))
+    return ranges.withColumn("bits", bits).withColumn("prefix", F.explode(F.array_distinct(ends)))
+
+
+def narrowest_at(points: DataFrame, ranges: DataFrame, label: str) -> DataFrame:
+    """(n, ``label`` of the narrowest range that holds n) for each number; NULL where none does. Numbers and ranges meet on a prefix,
+    not on inequalities, and a number asks only the lengths that some range has."""
+    filed = _filed(ranges)
+    lengths = filed.agg(F.collect_set("bits")).scalar()
+    probes = points.withColumn("bits", F.explode(lengths)).withColumn("prefix", _prefix(F.col("n")))
     inside = F.col("n").between(F.col("first_ip"), F.col("last_ip"))
-    found = (
-        probes.join(filed, ["bits", "bucket"]).filter(inside)
-        .groupBy(ip)
-        .agg(F.min_by(label, F.struct(F.col("last_ip") - F.col("first_ip"), "first_ip")).alias(label))
+    held = probes.join(filed, ["bits", "prefix"]).filter(inside).groupBy("n").agg(
+        F.min_by(F.struct(F.col(label)), F.struct(F.col("last_ip") - F.col("first_ip"), "first_ip")).alias("held")
     )
-    return join_split_hot(logs, found, [ip], row_id)
+    return points.join(held, "n", "left").select("n", F.col(f"held.{label}").alias(label))
+
+
+def ip_range_lookup(logs: DataFrame, ranges: DataFrame, ip: str = "cli_ip", label: str = "geo", row_id: str = "req_id") -> DataFrame:
+    """Attach the label of the narrowest range (``first_ip``..``last_ip``) holding the address.
+
+    Nested and overlapping ranges become one flat line first: between two neighbouring bounds of ranges the
+    narrowest range is the same, so it is looked up once per bound. Addresses are then swept along with the bounds, in order:
+    each takes what the last bound before it says. The line is cut in blocks of 65,536 addresses, which
+    many tasks sweep; a block holds no more distinct addresses and bounds than that. Distinct addresses
+    are looked up, not requests, and the label is joined back with hot addresses spread out.
+    """
+    block = F.shiftrightunsigned("n", BLOCK_BITS)
+    addresses = logs.select(ip).distinct().withColumn("n", ip_to_long(ip)).filter(F.col("n").isNotNull())
+    firsts = addresses.select(F.shiftleft(block, BLOCK_BITS).alias("n"))
+    bounds = ranges.select(F.explode(F.array(F.col("first_ip").cast("long"), F.col("last_ip").cast("long") + 1)).alias("n"))
+    points = narrowest_at(firsts.union(bounds).distinct(), ranges, label)
+    bound = points.select("n", F.lit(0).alias("is_address"), F.struct(label).alias("says"), F.lit(None).cast("string").alias(ip))
+    asked = addresses.select("n", F.lit(1).alias("is_address"), F.lit(None).cast(bound.schema["says"].dataType).alias("says"), ip)
+    along = Window.partitionBy(block).orderBy("n", "is_address")
+    swept = bound.unionByName(asked).withColumn("says", F.last("says", ignorenulls=True).over(along)).filter(F.col("is_address") == 1)
+    return join_split_hot(logs, swept.select(ip, F.col(f"says.{label}").alias(label)), [ip], row_id)
 
 
 def against_hourly(logs: DataFrame, hourly_country: DataFrame, row_id: str = "req_id") -> DataFrame:

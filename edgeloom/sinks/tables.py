@@ -67,6 +67,20 @@ def write_archive(df: DataFrame, path: str, ts: str = TS, files_per_day: int | N
     out.write.mode("append").option("compression", "snappy").partitionBy("year", "month", "day").parquet(path)
 
 
+def write_lookup_archive(
+    df: DataFrame, path: str, ts: str = TS, by: str = "cli_ip", ids: tuple[str, ...] = ("req_id",), files_per_day: int = 16,
+    row_group_bytes: int = 32 << 20, days: int = 1,
+) -> None:
+    """Append to an archive laid out for looking up single addresses and requests: inside a day, rows lie in ranges of ``by``, so
+    that the bounds of a file or row group tell whether it can hold an address, and Bloom filters on ``by`` and
+    ``ids`` rule out most others. ``days`` is how many days ``df`` holds, about."""
+    out = with_day_partitions(df, ts).repartitionByRange(files_per_day * days, "year", "month", "day", by, ts)
+    writer = out.sortWithinPartitions("year", "month", "day", by, ts).write.mode("append").option("parquet.block.size", row_group_bytes)
+    for column in (by, *ids):
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+    writer.partitionBy("year", "month", "day").parquet(path)
+
+
 def write_quarantine(rejected: DataFrame, path: str, batch_id: int | None = None) -> None:
     """Rejected lines with the time of rejection: of a batch that may run again in its own folder, which a retry replaces;
     without a batch they are appended."""

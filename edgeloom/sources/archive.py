@@ -19,6 +19,14 @@ def read_archive(spark: SparkSession, path: str, start: dt.date | None = None, e
     return archive
 
 
+def look_up(spark: SparkSession, path: str, start: dt.date | None = None, end: dt.date | None = None, **values) -> DataFrame:
+    """Rows of the archive with the given column values. Days, then files and row groups that cannot hold them are skipped."""
+    rows = read_archive(spark, path, start, end)
+    for column, value in values.items():
+        rows = rows.filter(F.col(column) == F.lit(value))
+    return rows
+
+
 def partition_day() -> Column:
     """Date of a row from its partition columns alone, so the filter prunes folders."""
     return F.make_date("year", "month", "day")

@@ -207,3 +207,43 @@ def test_busy_visitors_upload_several_bundles(spark, small, monkeypatch):
     assert sorted(map(tuple, ingest.bundle_logs(busy).collect())) == whole
     most = seen[0].where("user_id = 7").select(F.max(F.size(F.split("body", "req_id")) - 1)).first()[0]
     assert hot.where("user_id = 7").count() > 100 and most < 4 * 5
+
+
+def scanned(df):
+    """Rows that the scans of a plan hand on."""
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    out, todo = 0, [leaves.apply(i) for i in range(leaves.size())]
+    while todo:
+        node = todo.pop()
+        if "QueryStage" in node.nodeName() or "AdaptiveSparkPlan" in node.nodeName():
+            todo.append(node.plan() if "QueryStage" in node.nodeName() else node.executedPlan())
+        elif node.children().isEmpty():
+            out += node.metrics().apply("numOutputRows").value()
+        else:
+            todo += [node.children().apply(i) for i in range(node.children().size())]
+    return out
+
+
+def test_lookups_skip_most_row_groups(spark, small, tmp_path):
+    logs = LogTables(spark, small).logs
+    many = logs.crossJoin(spark.range(20).withColumnRenamed("id", "copy")).withColumn("req_id", F.col("req_id") * 20 + F.col("copy")).drop("copy")
+    many = many.withColumn("cli_ip", F.concat_ws(".", F.lit("203.0"), F.col("req_id") % 250, F.col("user_id") % 251)).persist()
+    days = many.select(F.to_date("request_timestamp").alias("d")).distinct().count()
+    small_groups = {"parquet.block.size.row.check.min": "10", "parquet.page.size.row.check.min": "10"}
+    for k, v in small_groups.items():
+        spark.conf.set(k, v)
+    tables.write_lookup_archive(many, f"{tmp_path}/a", files_per_day=4, row_group_bytes=1 << 16, days=days)
+    one = many.where("req_id % 977 = 5").first()
+    day = one.request_timestamp.date()
+    in_day = many.where(F.to_date("request_timestamp") == F.lit(day)).count()
+    by_address = archive.look_up(spark, f"{tmp_path}/a", day, day, cli_ip=one.cli_ip)
+    want = many.where((F.col("cli_ip") == one.cli_ip) & (F.to_date("request_timestamp") == F.lit(day))).count()
+    assert by_address.count() == want > 0 and scanned(by_address) < 0.35 * in_day
+    by_id = archive.look_up(spark, f"{tmp_path}/a", req_id=one.req_id)
+    assert by_id.count() == 1 and scanned(by_id) < 0.2 * many.count()
+    absent = archive.look_up(spark, f"{tmp_path}/a", req_id=one.req_id + 10**12)
+    assert scanned(absent) == 0
+    for k in small_groups:
+        spark.conf.unset(k)
+    many.unpersist()

@@ -146,3 +146,23 @@ def test_limiter_that_counts_what_it_let_in(spark):
         assert got == {c: plain_limiter(times, limit, window) for c, times in clients.items()}
     trusted = limits.admitted(logs, limit=F.when(F.col("cli_ip") == "hot", 1000).otherwise(100)).where("cli_ip = 'hot'").agg(F.sum("refused")).first()[0]
     assert trusted == 0
+
+
+def test_ranges_that_overlap_in_any_way(spark):
+    import random
+
+    rng = random.Random(4)
+    ranges = []
+    for i in range(60):
+        first = rng.randrange(2**32)
+        ranges.append((first, min(2**32 - 1, first + rng.choice([0, 1, 255, 65_535, 65_536, 2**20, 2**30])), f"r{i}"))
+    ranges += [(2**24, 2**24 + 9, None), (2**24, 2**24 + 99, "wide"), (2**32 - 1, 2**32 - 1, "last")]
+    numbers = sorted({n for a, b, _ in ranges for n in (a, b, min(b + 1, 2**32 - 1), max(a - 1, 0), (a + b) // 2)})
+    logs = spark.createDataFrame([(i, ".".join(str(n >> s & 255) for s in (24, 16, 8, 0))) for i, n in enumerate(numbers)], "req_id long, cli_ip string")
+    frame = spark.createDataFrame(ranges, "first_ip long, last_ip long, geo string")
+    got = {r.req_id: r.geo for r in joins.ip_range_lookup(logs, frame).collect()}
+    for i, n in enumerate(numbers):
+        holding = [(b - a, a, g) for a, b, g in ranges if a <= n <= b]
+        narrowest = {g for w, a, g in holding if (w, a) == min((w, a) for w, a, _ in holding)} if holding else {None}
+        assert got[i] in narrowest, (n, got[i], holding)
+    assert joins.ip_range_lookup(logs, frame.limit(0)).where("geo is not null").count() == 0
