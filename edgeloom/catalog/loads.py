@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from edgeloom import workspace
+from edgeloom.functions.exprs import TS, instant, since
 from edgeloom.sinks import tables
 from edgeloom.sinks.keyed import KeyedTable, SeenKeys
+from edgeloom.sources import archive
 
 ROW = "req_id BIGINT, created_at TIMESTAMP_NTZ, status_code INT"
 BATCHES = 3
@@ -39,4 +43,13 @@ def insert_ignored(t):
     return t.spark.read.parquet(path).select("req_id", "created_at", "load")
 
 
-QUERIES = {"keyed_upserts": upserts, "insert_ignored": insert_ignored}
+def archived_lookup(t):
+    """One address of the last week, from an archive that is laid out for it."""
+    path = workspace.fresh_path(t.spark, "lookup")
+    tables.write_lookup_archive(t.logs, path, files_per_day=1, days=30)
+    now = t.spark.sql("SELECT 1").select(instant(t.as_of).cast("timestamp_ntz")).first()[0]
+    rows = archive.look_up(t.spark, path, (now - dt.timedelta(days=7)).date(), now.date(), cli_ip="203.0.0.10")
+    return since(rows, t.as_of, "7 days", inclusive=True).select("req_id", TS, "req_path", "status_code")
+
+
+QUERIES = {"keyed_upserts": upserts, "insert_ignored": insert_ignored, "archived_point_lookup": archived_lookup}

@@ -9,16 +9,14 @@ from pyspark.sql import functions as F
 def read_bundles(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     """Bundle bodies (path, length, body) of any size. Log lines come line by line, however long their
     file; only a JSON list, which cannot be recognised from a part of it, is one row. Which
-    files are lists is read from their first characters."""
+    files are lists is read from their first characters, and joined on the path."""
     info = [F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("length")]
-    lines = spark.read.text(paths).select(*info, F.col("_metadata.file_block_start").alias("at"), F.col("value").alias("body"))
-    heads = lines.filter((F.col("at") == 0) & (F.trim("body") != "")).select("path", F.substring(F.ltrim("body"), 1, 1).alias("c"), F.monotonically_increasing_id().alias("place"))
-    first = heads.groupBy("path").agg(F.min_by("c", "place").alias("first"))
-    lists = [r.path for r in first.filter(F.col("first") == "[").select("path").collect()]  # names that the scan lists as well
-    if not lists:
-        return lines.drop("at")
-    whole = spark.read.text(lists, wholetext=True).select(*info, F.col("value").alias("body"))
-    return lines.drop("at").filter(~F.col("path").isin(lists)).unionByName(whole)
+    lines = spark.read.text(paths).select(*info, F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("place"), F.col("value").alias("body"))
+    heads = lines.filter((F.col("at") == 0) & (F.trim("body") != "")).select("path", F.substring(F.ltrim("body"), 1, 1).alias("c"), "place")
+    lists = heads.groupBy("path").agg(F.min_by("c", "place").alias("first")).filter(F.col("first") == "[").select("path")
+    in_order = F.array_sort(F.collect_list(F.struct("at", "place", "body")))
+    whole = lines.join(lists, "path", "left_semi").groupBy("path", "length").agg(F.array_join(F.transform(in_order, lambda x: x["body"]), "\n").alias("body"))
+    return lines.join(lists, "path", "left_anti").select("path", "length", "body").unionByName(whole)
 
 
 def parse_bundles(bodies: DataFrame, body: str = "body") -> DataFrame:
