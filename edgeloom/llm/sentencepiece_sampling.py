@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from bisect import bisect_right
 from collections.abc import Iterator
+from functools import cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -78,17 +81,22 @@ class Pieces:
             whole = ids >= 0
             yield at[whole], k + 1, ids[whole], self.piece_logp[key[whole]]
 
-    def edges(self, word: str) -> Iterator[tuple[int, int, list[int], float]]:
-        """(from, to, ids, log probability) by end; a character without a piece goes as bytes."""
+    def edges_into(self, word: str, end: int) -> Iterator[tuple[int, list[int], float]]:
+        """(from, ids, log probability) of the pieces that end at ``end``; a character without a piece goes as bytes."""
         ids, logp = self.ids, self.logp
+        for start in range(max(0, end - self.longest), end):
+            piece = word[start:end]
+            if piece in ids:
+                yield start, [ids[piece]], logp[piece]
+            elif start == end - 1:
+                raw = piece.encode("utf-8", "surrogatepass")
+                yield start, [self.byte_ids[b] for b in raw], self.byte_logp * len(raw)
+
+    def edges(self, word: str) -> Iterator[tuple[int, int, list[int], float]]:
+        """(from, to, ids, log probability) by end."""
         for end in range(1, len(word) + 1):
-            for start in range(max(0, end - self.longest), end):
-                piece = word[start:end]
-                if piece in ids:
-                    yield start, end, [ids[piece]], logp[piece]
-                elif start == end - 1:
-                    raw = piece.encode("utf-8", "surrogatepass")
-                    yield start, end, [self.byte_ids[b] for b in raw], self.byte_logp * len(raw)
+            for start, ids, logp in self.edges_into(word, end):
+                yield start, end, ids, logp
 
 
 def forward(word: str, pieces: Pieces) -> list[list[tuple[int, list[int], float]]]:
@@ -127,21 +135,59 @@ def _uniform(seed: np.ndarray, step: int | np.ndarray) -> np.ndarray:
     return (_mix(seed + np.asarray(step, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(11)).astype(np.float64) * 2.0**-53
 
 
+class Known(dict):
+    """Last nodes of words. A word that is asked for and not known is noted, under a number below -1 until its lattice is there."""
+
+    def __init__(self) -> None:
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        if len(word) > KEPT_CHARS:
+            return -1
+        self.new.append(word)
+        self[word] = number = -1 - len(self.new)
+        return number
+
+
+class Growing:
+    """An array with room at its end, so that adding to it does not copy it each time."""
+
+    def __init__(self, dtype: type) -> None:
+        self._room, self.size = np.empty(1 << 16, dtype), 0
+
+    def add(self, values: np.ndarray) -> None:
+        size = self.size + len(values)
+        if size > len(self._room):
+            room = np.empty(max(size, 2 * len(self._room)), self._room.dtype)
+            room[: self.size] = self._room[: self.size]
+            self._room = room
+        self._room[self.size : size] = values
+        self.size = size
+
+    @property
+    def values(self) -> np.ndarray:
+        return self._room[: self.size]
+
+
 class Sampler:
     """Draws a segmentation for each word of each text. Lattices of known words lie in flat
-    arrays: node k's edges have cumulated shares between k and k + 1, so one search finds the
-    edges of all words' current nodes at once, and all words step back together."""
+    arrays: a node's edges stand together, with cumulated shares. All words step back together: each looks
+    through the few edges of its current node, one more at a time until its draw is reached."""
 
     def __init__(self, pieces: Pieces):
         self.pieces = pieces
         self._clear()
 
     def _clear(self) -> None:
-        self.last: dict[str, int] = {}
+        self.last = Known()
         self.nodes = 0
-        self.cum, self.back, self.first_id, self.n_ids = (np.zeros(0), *(np.zeros(0, dtype=np.int32) for _ in range(3)))
+        self._cum, self._back, self._first_id, self._n_ids, self._starts = (Growing(t) for t in (np.float64, np.int32, np.int32, np.int32, np.int64))
         self.ids_of: list[list[int]] = []
 
+    @property
+    def cum(self) -> np.ndarray:
+        return self._cum.values
+
     def _learn(self, words: list[str]) -> None:
         """Adds the lattices of ``words``, all filtered forward together, character by character."""
         if not words:
@@ -192,37 +238,45 @@ class Sampler:
         target, back, ids, count, share = (x[order] for x in (target, back, ids, count, share))
         last = np.concatenate([target[1:] != target[:-1], [True]])
         summed = np.cumsum(share) - target  # the shares of each node add up to 1
-        cum = target + np.where(last, 1.0, np.clip(summed, 0.0, 1.0)) + self.nodes
-        back = np.where(back >= 0, back + self.nodes, -1)
-        self.cum = np.concatenate([self.cum, cum])
-        self.back, self.first_id, self.n_ids = (np.concatenate([a, b.astype(np.int32)]) for a, b in ((self.back, back), (self.first_id, ids), (self.n_ids, count)))
+        # the last share is above any draw, so no search runs into the next node
+        cum = np.where(last, 2.0, np.clip(summed, 0.0, 1.0))
+        self._starts.add(np.flatnonzero(np.concatenate([[True], last[:-1]])) + self._cum.size)
+        for held, values in ((self._cum, cum), (self._back, np.where(back >= 0, back + self.nodes, -1)), (self._first_id, ids), (self._n_ids, count)):
+            held.add(values)
         self.last.update(zip(words, (np.cumsum(lens) - 1 + self.nodes).tolist()))
         self.nodes += int(lens.sum())
 
     def encode(self, texts: list[str], seeds: list[int]) -> list[np.ndarray]:
         """Ids of each text. Every word's draws depend on its text's seed and its place only."""
-        words = [WORD.findall(t) for t in texts]
-        long = [{i: w for i, w in enumerate(ws) if len(w) > KEPT_CHARS} for ws in words]
-        short = [[w for w in ws if len(w) <= KEPT_CHARS] if far else ws for ws, far in zip(words, long)]
-        new = set().union(*short) - self.last.keys()
-        if len(self.cum) > KEPT_EDGES:
+        if self._cum.size > KEPT_EDGES:
             self._clear()
-            new = set().union(*short)
-        self._learn(sorted(new))
+        words = [WORD.findall(t) for t in texts]
         n_words = np.array([len(ws) for ws in words])
+        known = self.last
+        node = np.fromiter(chain.from_iterable(map(known.__getitem__, ws) for ws in words), np.int64, int(n_words.sum()))
+        if known.new:
+            new, known.new = known.new, []
+            self._learn(new)
+            unknown = node < -1
+            node[unknown] = np.array([known[w] for w in new], np.int64)[-2 - node[unknown]]
+        long = [[] for _ in texts]
         text_of = np.repeat(np.arange(len(texts)), n_words)
         place = np.arange(len(text_of)) - np.repeat(np.cumsum(n_words) - n_words, n_words)
+        for i in np.flatnonzero(node < 0).tolist():
+            long[text_of[i]].append(int(place[i]))
         seed = _mix(np.array(seeds, dtype=np.uint64)[text_of] + place.astype(np.uint64) * np.uint64(0xD1342543DE82EF95))
-        known = self.last
-        node = np.array([known.get(w, -1) for ws in words for w in ws], dtype=np.int64)
         word, edge, step = np.flatnonzero(node >= 0), [], 0
         at, of = node[word], []
+        cum, back, starts_of = self._cum.values, self._back.values, self._starts.values
         while len(word):
-            found = np.searchsorted(self.cum, at + _uniform(seed[word], step), side="right")
-            found = np.minimum(found, len(self.cum) - 1)
+            draw, found = _uniform(seed[word], step), starts_of[at]
+            open_ = np.flatnonzero(cum[found] <= draw)
+            while len(open_):
+                found[open_] += 1
+                open_ = open_[cum[found[open_]] <= draw[open_]]
             edge.append(found)
             of.append(word)
-            at = self.back[found]
+            at = back[found]
             go = at >= 0
             word, at, step = word[go], at[go], step + 1
         steps = np.bincount(np.concatenate(of), minlength=len(node)) if of else np.zeros(len(node), dtype=np.int64)
@@ -230,7 +284,7 @@ class Sampler:
         chosen = np.zeros(int(ends[-1]) if len(ends) else 0, dtype=np.int64)
         for k, (w, e) in enumerate(zip(of, edge)):
             chosen[ends[w] - 1 - k] = e
-        ids, counts = self.first_id[chosen].astype(np.int64), self.n_ids[chosen]
+        ids, counts = self._first_id.values[chosen].astype(np.int64), self._n_ids.values[chosen]
         owner = np.repeat(np.arange(len(node)), steps)
         if (counts > 1).any():
             place_of = np.cumsum(counts) - counts
@@ -245,25 +299,41 @@ class Sampler:
             if far:
                 own = owner[bounds[t] : bounds[t + 1]] - starts[t]
                 parts, done = [], 0
-                for i, w in far.items():
+                for i in far:
                     upto = int(np.searchsorted(own, i))
-                    parts += [result[t][done:upto], np.array(self._alone(w, seed[starts[t] + i]), dtype=np.int64)]
+                    parts += [result[t][done:upto], self._alone(words[t][i], seed[starts[t] + i])]
                     done = upto
                 result[t] = np.concatenate([*parts, result[t][done:]])
         return result
 
-    def _alone(self, word: str, seed: np.uint64) -> list[int]:
-        """One long word, edge by edge, without keeping its lattice."""
-        into, at, step, out = forward(word, self.pieces), len(word), 0, []
-        draws = np.zeros(0)
+    def _alone(self, word: str, seed: np.uint64) -> np.ndarray:
+        """One long word: of its lattice the log sums are kept, a number per character, and the edges of a
+        node are made again where the way back comes to it."""
+        alpha = array("d", [0.0])
+        into = self.pieces.edges_into
+        for end in range(1, len(word) + 1):
+            weights = [alpha[start] + logp for start, _, logp in into(word, end)]
+            top = max(weights)
+            alpha.append(top + math.log(sum([math.exp(w - top) for w in weights])))
+        at, step, out, draws = len(word), 0, array("l"), np.zeros(0)
         while at:
             if step % 4096 == 0:
                 draws = _uniform(np.full(4096, seed), np.arange(step, step + 4096))
-            shares = np.cumsum([p for _, _, p in into[at]]).tolist()
-            start, ids, _ = into[at][min(bisect_right(shares, draws[step % 4096]), len(shares) - 1)]
-            out.append(ids)
+            edges = list(into(word, at))
+            weights = [alpha[start] + logp for start, _, logp in edges]
+            top = max(weights)
+            total = sum(math.exp(w - top) for w in weights)
+            shares = np.cumsum([math.exp(w - top) / total for w in weights]).tolist()
+            start, ids, _ = edges[min(bisect_right(shares, draws[step % 4096]), len(shares) - 1)]
+            out.extend(reversed(ids))
             at, step = start, step + 1
-        return [i for ids in reversed(out) for i in ids]
+        return np.array(out, dtype=np.int64)[::-1]
+
+
+@cache
+def sampler_of(model_path: str, alpha: float) -> Sampler:
+    """One per worker process: its pieces and words serve the next task too."""
+    return Sampler(Pieces(model_path, alpha))
 
 
 def decode(ids: np.ndarray, pieces: Pieces) -> str:
@@ -288,8 +358,8 @@ def encode_rows(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_c
         import hashlib
         import zlib
 
-        pieces = Pieces(model_path, alpha)
-        sampler = Sampler(pieces)
+        sampler = sampler_of(model_path, alpha)
+        pieces = sampler.pieces
         for batch in batches:
             texts = [t or "" for t in batch["text"]]
             lo = 0
