@@ -81,6 +81,42 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(z / 2))
 
 
+def _standard(positive: np.ndarray, unlabelled: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and scale of each feature over both samples."""
+    n = len(positive) + len(unlabelled)
+    mean = (positive.sum(0, dtype=float) + unlabelled.sum(0, dtype=float)) / n
+    spread = sum(((x - mean) ** 2).sum(0, dtype=float) for x in (positive, unlabelled)) / n
+    return mean, np.sqrt(spread) + 1e-3
+
+
+def _with_bias(x: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    out = np.ones((len(x), x.shape[1] + 1), np.float32)
+    out[:, :-1] = np.clip((x - mean) / scale, -8, 8)
+    return out
+
+
+def _descend(gradient, begin: np.ndarray, steps: int, rate: float) -> np.ndarray:
+    """Steps of Adam down ``gradient``."""
+    w, first, second = begin, np.zeros_like(begin), np.zeros_like(begin)
+    for step in range(1, steps + 1):
+        grad = gradient(w)
+        first, second = 0.9 * first + 0.1 * grad, 0.999 * second + 0.001 * grad**2
+        w = w - rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
+    return w
+
+
+def risk_parts(w: np.ndarray, p: np.ndarray, u: np.ndarray) -> tuple[float, float, float]:
+    """R+ and R- of the positives and R- of the unlabelled: mean logistic losses of a linear model."""
+    zp, zu = p @ w, u @ w
+    return float(np.logaddexp(0, -zp).mean()), float(np.logaddexp(0, zp).mean()), float(np.logaddexp(0, zu).mean())
+
+
+def risk_gradients(w: np.ndarray, p: np.ndarray, u: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Gradients of the three parts."""
+    zp, zu = p @ w, u @ w
+    return -p.T @ _sigmoid(-zp) / len(p), p.T @ _sigmoid(zp) / len(p), u.T @ _sigmoid(zu) / len(u)
+
+
 def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = 600, rate: float = 0.05, decay: float = 1e-3) -> Model:
     """Minimises the non-negative unbiased risk of a logistic model,
 
@@ -88,30 +124,58 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int =
 
     with R+ and R- the mean logistic losses as positive and as negative. While the bracket
     is below zero the model has overfitted the negatives, and a step goes up it instead of down."""
-    both = np.concatenate([positive, unlabelled])
-    mean, scale = both.mean(0), both.std(0) + 1e-3
-    p, u = (np.clip((x - mean) / scale, -8, 8) for x in (positive, unlabelled))
-    p, u = (np.column_stack([x, np.ones(len(x))]) for x in (p, u))
-    w = np.zeros(p.shape[1])
-    w[-1] = np.log(prior / (1 - prior))
-    first, second = np.zeros_like(w), np.zeros_like(w)
-    for step in range(1, steps + 1):
-        zp, zu = p @ w, u @ w
-        up = -p.T @ _sigmoid(-zp) / len(p)  # gradient of R+ on the positives
-        down_p = p.T @ _sigmoid(zp) / len(p)
-        down_u = u.T @ _sigmoid(zu) / len(u)
-        rest = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
-        grad = prior * up + (down_u - prior * down_p) if rest >= 0 else prior * down_p - down_u
-        grad = grad + decay * np.append(w[:-1], 0)
-        first, second = 0.9 * first + 0.1 * grad, 0.999 * second + 0.001 * grad**2
-        w = w - rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
+    mean, scale = _standard(positive, unlabelled)
+    p, u = (_with_bias(x, mean, scale) for x in (positive, unlabelled))
+
+    def gradient(w: np.ndarray) -> np.ndarray:
+        up, down_p, down_u = risk_gradients(w, p, u)
+        _, on_p, on_u = risk_parts(w, p, u)
+        grad = prior * up + (down_u - prior * down_p) if on_u - prior * on_p >= 0 else prior * down_p - down_u
+        return grad + decay * np.append(w[:-1], 0)
+
+    w = _descend(gradient, np.append(np.zeros(p.shape[1] - 1), np.log(prior / (1 - prior))), steps, rate)
+    return Model(mean, scale, w[:-1], float(w[-1]))
+
+
+def contrast(positive: np.ndarray, unlabelled: np.ndarray, steps: int = 200, rate: float = 0.05, decay: float = 1e-3) -> Model:
+    """A plain logistic model that tells positives from unlabelled text, both weighing the same."""
+    mean, scale = _standard(positive, unlabelled)
+    p, u = (_with_bias(x, mean, scale) for x in (positive, unlabelled))
+
+    def gradient(w: np.ndarray) -> np.ndarray:
+        up, _, down_u = risk_gradients(w, p, u)
+        return (up + down_u) / 2 + decay * np.append(w[:-1], 0)
+
+    w = _descend(gradient, np.zeros(p.shape[1]), steps, rate)
     return Model(mean, scale, w[:-1], float(w[-1]))
 
 
+def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray, confidence: float = 0.1) -> float:
+    """The share of positives in the unlabelled text, from these two samples alone: no negative label is looked at.
+
+    Above any threshold of a score, at least (prior x share of positives above it) of the unlabelled text lies. Where hardly
+    a negative scores as high, the ratio of the two shares is the prior, so the least ratio estimates it. Thresholds with few
+    positives above them make chance ratios: a term for the sampling error at ``confidence`` is added when the threshold is chosen. Each half of
+    the samples is scored by a model of the other half."""
+    scored: tuple[list, list] = ([], [])
+    if min(len(positive), len(unlabelled)) < 4:
+        return 0.5
+    for half in (0, 1):
+        model = contrast(positive[half::2], unlabelled[half::2])
+        for out, rows in zip(scored, (positive, unlabelled)):
+            out.append(model.score(rows[1 - half :: 2]))
+    p, u = (np.sort(np.concatenate(x)) for x in scored)
+    grid = np.unique(p)
+    above_p, above_u = (1 - np.searchsorted(x, grid, side="left") / len(x) for x in (p, u))
+    error = sum(np.sqrt(np.log(4 / confidence) / (2 * len(x))) for x in (p, u))
+    best = int(np.argmin((above_u + error) / above_p))
+    return float(np.clip(above_u[best] / above_p[best], 1 / (len(u) + 2), 1 - 1 / (len(u) + 2)))
+
+
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", train_rows: int = 20_000, seed: int = 11) -> Model | None:
     """A model from two bounded samples, each of about ``train_rows`` documents chosen by hash: the
     trusted positives from all documents labelled 1, and the unlabelled text from all documents, labels unseen.
-    The class prior is the share of 1 among all labelled documents. None without positives."""
+    The class prior is estimated from these two samples (``estimate_prior``); labels other than 1 teach nothing. None without positives."""
     rows = docs.select(F.col(f"`{id_col}`").cast("string").alias("key"), F.col(f"`{text_col}`").cast("string").alias("text")).where("key is not null")
 
     def drawn(table: DataFrame, n: int, salt: int) -> DataFrame:
@@ -125,11 +189,11 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     def collected(sample: DataFrame) -> np.ndarray:
         got = sample.mapInPandas(described, "key string, x binary").orderBy("key", "x").select("x").collect()
-        return np.stack([np.frombuffer(r.x, dtype="<f4") for r in got]).astype(float) if got else np.zeros((0, CLASSES + SHAPES + 9))
+        return np.stack([np.frombuffer(r.x, dtype="<f4") for r in got]) if got else np.zeros((0, CLASSES + SHAPES + 9), np.float32)
 
     marked = labels.select(F.col(f"`{id_col}`").cast("string").alias("key"), F.col(f"`{label_col}`").alias("y")).where("y is not null")
     marked = rows.select("key").join(marked.groupBy("key").agg(F.max("y").alias("y")), "key")
-    n_marked, n_positive = marked.agg(F.count_if(F.col("y") >= 0), F.count_if(F.col("y") == 1)).first()
+    n_positive = marked.where("y = 1").count()
     if not n_positive:
         return None
     trusted = drawn(marked.where("y = 1").select("key").distinct(), n_positive, seed + 1)
@@ -137,7 +201,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     unlabelled = collected(drawn(rows, docs.count(), seed))
     if not len(positive) or not len(unlabelled):
         return None
-    return fit(positive, unlabelled, (n_positive + 1) / (n_marked + 2))
+    return fit(positive, unlabelled, estimate_prior(positive, unlabelled))
 
 
 def scores(text: Column, model: Model | None) -> Column:
