@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 import uuid
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,6 +23,8 @@ CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 
 MAX_TOKENS, MAX_CHARS = 6, 64
+#: A long island is worked on in stretches of so many characters, with some more to see where runs end.
+STRETCH, MARGIN = 4096, 1024
 OPENING, CLOSING = "([{<\"'", ")]}>\"'.,;:!?"
 ANCHOR = re.compile(r"[0-9@]+|[(\[]at[)\]]")
 TOKEN = re.compile(r"[^ \t\r\n]+")
@@ -99,19 +102,30 @@ def islands(text: str) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def candidates(text: str, lo: int, hi: int) -> list[tuple[int, int]]:
+def _beginning(pattern: re.Pattern, text: str, lo: int, hi: int, begin: int, end: int) -> tuple[list[tuple[int, int]], int]:
+    """The pattern's runs in [lo, hi) that begin in [begin, end), and how many these are: a few that
+    follow come after them. Runs that go on for over ``MARGIN`` characters are cut there; no segment holds as many."""
+    if begin > lo and pattern.match(text, begin - 1, begin):
+        running = pattern.match(text, begin, end)
+        begin = running.end() if running else begin
+    spans = [m.span() for m in pattern.finditer(text, begin, min(hi, end + MARGIN))]
+    return spans, sum(s < end for s, _ in spans)
+
+
+def candidates(text: str, lo: int, hi: int, begin: int | None = None, end: int | None = None) -> list[tuple[int, int]]:
     """Segments of up to ``MAX_TOKENS`` tokens, with and without brackets and punctuation at
     either end, and of as many runs between the delimiters inside tokens, that hold enough
-    digits or an @ to be an entity; by end, then start."""
-    tokens = [m.span() for m in TOKEN.finditer(text, lo, hi)]
+    digits or an @ to be an entity; by end, then start. With ``begin`` and ``end``, those of tokens and runs that begin there."""
+    begin, end = lo if begin is None else begin, hi if end is None else end
+    tokens, n = _beginning(TOKEN, text, lo, hi, begin, end)
     out = set()
-    for i, (first, stop) in enumerate(tokens):
+    for i, (first, stop) in enumerate(tokens[:n]):
         bare = first
-        while bare < stop and text[bare] in OPENING:
+        while bare < min(stop, first + MAX_CHARS) and text[bare] in OPENING:
             bare += 1
         _segments(text, {first, bare}, first, tokens[i : i + MAX_TOKENS], out)
-    runs = [m.span() for m in RUN.finditer(text, lo, hi)]
-    for i, (first, _) in enumerate(runs):
+    runs, n = _beginning(RUN, text, lo, hi, begin, end)
+    for i, (first, _) in enumerate(runs[:n]):
         joined = runs[i : i + 1]
         for following in runs[i + 1 : i + MAX_TOKENS]:
             if following[0] - first > MAX_CHARS or not WITHIN.fullmatch(text, joined[-1][1], following[0]):
@@ -193,6 +207,59 @@ def best_path(lattice: Lattice, weights: np.ndarray) -> list[tuple[int, int, int
     return out[::-1]
 
 
+class Path:
+    """The same dynamic program while segments come in by end. What all paths that can still win have in common is
+    decided and let go, so that a text of numbers alone needs no more room than a stretch of it."""
+
+    def __init__(self) -> None:
+        self.ends: list[int] = []
+        self.best, self.back, self.step = [0.0], [0], [None]  # of node k: its best sum, the node before it, the segment taken
+
+    def add(self, segments: list[tuple[int, int]], score: np.ndarray) -> None:
+        kinds, tops = score.argmax(1).tolist(), score.max(1).tolist()
+        for (start, end), kind, top in zip(segments, kinds, tops):
+            before, here = bisect_right(self.ends, start), len(self.ends)
+            with_it = self.best[before] + top
+            taken = with_it > self.best[-1]
+            self.ends.append(end)
+            self.best.append(with_it if taken else self.best[-1])
+            self.back.append(before if taken else here)
+            self.step.append((start, kind, end) if taken else None)
+
+    def decided(self, start: int | None = None) -> list[tuple[int, int, int]]:
+        """The part of the path that no segment from ``start`` on can change; all of it without ``start``."""
+        n = len(self.ends)
+        open_nodes = {n} if start is None else set(range(bisect_right(self.ends, start), n + 1))
+        while len(open_nodes) > 1:
+            last = max(open_nodes)
+            open_nodes.remove(last)
+            open_nodes.add(self.back[last])
+        common = k = open_nodes.pop()
+        out = []
+        while k:
+            if self.step[k]:
+                out.append(self.step[k])
+            k = self.back[k]
+        self.ends, self.best = self.ends[common:], self.best[common:]
+        self.back, self.step = [0, *(k - common for k in self.back[common + 1 :])], [None, *self.step[common + 1 :]]
+        return out[::-1]
+
+
+def entities(text: str, lo: int, hi: int, weights: np.ndarray) -> list[tuple[int, int, int]]:
+    """``best_path`` of an island of any length, stretch by stretch."""
+    path, held, out = Path(), [], []
+    for begin in range(lo, hi, STRETCH):
+        end = min(begin + STRETCH, hi)
+        held = sorted({*held, *candidates(text, lo, hi, begin, end)}, key=lambda x: (x[1], x[0]))
+        ready = len(held) if end == hi else bisect_right(held, end, key=lambda x: x[1])
+        if ready:
+            path.add(held[:ready], np.array([features(text, s, e) for s, e in held[:ready]], dtype=float) @ weights.T)
+        held = held[ready:]
+        # a run that begins next may take the bracket before it
+        out += path.decided(None if end == hi else min([end - 1, *(s for s, _ in held)]))
+    return out
+
+
 def train(examples: list[tuple[Lattice, dict[tuple[int, int], int]]], steps: int = 60, rate: float = 0.5, decay: float = 1e-3, shares: list[float] | None = None) -> np.ndarray:
     """Weights (kind x feature) that maximise the likelihood of the true segmentations. The
     sum over all segmentations runs forward over each lattice and its derivative backward;
@@ -295,7 +362,8 @@ def raised(sizes: dict[int, float]) -> dict[int, float]:
 def learn(docs: DataFrame, text_col: str = "text", windows: int = 1_500, seed: int = 5) -> np.ndarray | None:
     """Weights from at most ``windows`` distinct windows out of all documents. Windows are parted by the
     set of kinds that the patterns find in them, none included (if they have candidates); of each part those with the smallest
-    hashes are taken, so a rare kind teaches however rare it is. Parts count by their shares of all
+    hashes are taken, so a rare kind teaches however rare it is. Islands of over 256 characters are no windows: they
+    teach nothing, and are searched like all others. Parts count by their shares of all
     windows, rare ones by ``LEAST``. None if no window of any document holds an entity."""
     rows = docs.select(F.col(f"`{text_col}`").cast("string").alias("text")).where("text is not null")
     bound = max(1, windows // 2)
@@ -381,7 +449,7 @@ def find_spans(text: str, weights: np.ndarray | None) -> tuple[list[tuple[int, i
         parts.append((at, hi))
         for a, b in parts:
             if b - a >= 7:
-                added += best_path(Lattice.of(text, a, b), weights)
+                added += entities(text, a, b, weights)
     return base, sorted(base + added)
 
 

@@ -1,6 +1,8 @@
 import hashlib
 import random
 import re
+import time
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -134,3 +136,31 @@ def test_spelt_email_inside_tokens(weights):
         (s, k, e) = P.find_spans(text, weights)[1][0]
         assert (P.KINDS[k], text[s:e].replace(" ", "")) == ("email", "bob(at)example.com")
     assert P.find_spans("2024-01-02T10:20:30,17,1234567,19", weights)[1] == []
+
+
+def test_stretches_decide_as_the_whole(weights, monkeypatch):
+    rng = random.Random(8)
+    parts = ["1000000", "555-123-4567", "(504) 555-2652", "4111.1111.1111.1111", "bob[at]example.com", "a@b.co", "x", "name,", "((", "tel:", "1.2.3.4", "9" * 70, "+1", "|", "2024"]
+    whole = []
+    texts = ["".join(rng.choice(parts) + rng.choice([" ", " ", ",", ";", ""]) for _ in range(rng.randint(1, 120))) for _ in range(60)]
+    for text in texts:
+        whole.append(P.best_path(P.Lattice.of(text, 0, len(text)), weights))
+        assert P.entities(text, 0, len(text), weights) == whole[-1]
+    assert sum(map(len, whole)) > 50
+    for stretch in (1, 7, 64, 130):
+        monkeypatch.setattr(P, "STRETCH", stretch)
+        for text, want in zip(texts, whole):
+            assert P.entities(text, 0, len(text), weights) == want
+
+
+def test_very_long_islands_in_linear_time_and_flat_memory(weights):
+    took, peak = [], []
+    for n in (5_000, 10_000, 20_000):
+        text = " ".join(str(1_000_000 + i) for i in range(n)) + "|" + ",".join(str(2_000_000 + i) for i in range(n))
+        tracemalloc.start()
+        begun = time.process_time()
+        P.entities(text, 0, len(text), weights)
+        took.append(time.process_time() - begun)
+        peak.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert took[2] < 6 * took[0] and peak[2] < peak[0] + 3_000_000, (took, peak)
