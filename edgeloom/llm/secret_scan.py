@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,23 +26,49 @@ OWNED = {
 SPAN = "struct<start:int,rank:int,kind:string,end:int,value:string>"
 
 
+#: Matches that are numbered together.
+CHUNK = 256
+
+
+def _bound(value: Column, of: Callable[[Column], Column]) -> Column:
+    """``of(value)`` with ``value`` worked out once, however often ``of`` uses it."""
+    return F.get(F.transform(F.array(value), of), F.lit(0))
+
+
 def spans_of(text: Column, kind: str, rank: int, pattern: str, group: int, least: int) -> Column:
     """Spans of one kind, leftmost and non-overlapping, in code points. The text split at the
-    matches gives what lies between them, so a match starts after all gaps and matches before it."""
+    matches gives what lies between them, so a match starts after all gaps and matches before it. Matches are
+    numbered in chunks, each from the length of the chunks before it: a list grows by copying,
+    and so no list grows longer than a chunk, or than the number of chunks."""
     p = F.lit(pattern)
     whole = F.regexp_extract_all(text, p, F.lit(0))
     value = F.regexp_extract_all(text, p, F.lit(group)) if group else whole
     steps = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), whole.alias("hit"), value.alias("value"))
-    begun = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("out"))
+
+    def end_of(at: Column, x: Column) -> Column:
+        return at + F.length(x["gap"]) + F.coalesce(F.length(x["hit"]), F.lit(0))
 
     def step(done: Column, x: Column) -> Column:
-        start = done["at"] + F.length(x["gap"])
-        end = start + F.coalesce(F.length(x["hit"]), F.lit(0))
+        start, end = done["at"] + F.length(x["gap"]), end_of(done["at"], x)
         span = F.struct(start.alias("start"), F.lit(rank).alias("rank"), F.lit(kind).alias("kind"), end.alias("end"), x["value"].alias("value"))
         keep = x["hit"].isNotNull() & (F.length(x["value"]) >= least)
         return F.struct(end.alias("at"), F.when(keep, F.concat(done["out"], F.array(span))).otherwise(done["out"]).alias("out"))
 
-    found = F.aggregate(steps, begun, step, lambda done: done["out"])
+    def inside(chunk: Column, begin: Column) -> Column:
+        begun = F.struct(begin.alias("at"), F.array().cast(f"array<{SPAN}>").alias("out"))
+        return F.aggregate(chunk, begun, step, lambda done: done["out"])
+
+    def begins(chunks: Column) -> Column:
+        def next_begin(done: Column, chunk: Column) -> Column:
+            return F.struct(F.aggregate(chunk, done["at"], end_of).alias("at"), F.concat(done["out"], F.array(done["at"])).alias("out"))
+
+        return F.aggregate(chunks, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")), next_begin, lambda done: done["out"])
+
+    def chunks(steps: Column) -> Column:
+        numbers = F.sequence(F.lit(0), ((F.size(steps) - 1) / CHUNK).cast("int"))
+        return F.transform(numbers, lambda c: F.slice(steps, c * CHUNK + 1, F.lit(CHUNK)))
+
+    found = _bound(_bound(steps, chunks), lambda c: F.flatten(F.zip_with(c, begins(c), inside)))
     return F.when(text.rlike(pattern), found).otherwise(F.array().cast(f"array<{SPAN}>"))
 
 

@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -61,3 +62,16 @@ def test_no_python_in_the_plans(spark, small):
     for frame in (secret_scan.scan(df), __import__("edgeloom.llm.exact_dedup", fromlist=["x"]).deduplicate(df)):
         plan = frame._jdf.queryExecution().toString()
         assert "Python" not in plan and "Pandas" not in plan and "CartesianProduct" not in plan
+
+
+def test_texts_with_very_many_matches(spark):
+    """Lock files and manifests hold hashes by the ten thousand."""
+    took = []
+    for n in (300, 10_000, 40_000):
+        text = "".join(f"é {i:032x},token={i:06d}\n" for i in range(n))
+        begun = time.perf_counter()
+        row = secret_scan.scan(docs(spark, [text, text[:-1], "x"])).where("doc_id = 0").first()
+        took.append(time.perf_counter() - begun)
+        assert (row.n_hex, row.n_assign) == (n, n)
+        assert row.base_sha256 == hashlib.sha256(",".join(brute(text)).encode()).hexdigest()
+    assert took[2] - took[0] < 8 * (took[1] - took[0]) + 2, took
