@@ -10,6 +10,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from urllib.parse import quote, unquote
 
 import pandas as pd
 from pyarrow import fs as pafs
@@ -141,11 +142,11 @@ def _record(row) -> bytes:
     block = http if row.record_type == "revisit" else http + row.payload
     head = ["WARC/1.1", f"WARC-Type: {row.record_type}", f"WARC-Record-ID: <urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{row.id}|{row.url}|{digest}')}>", "WARC-Date: 2000-01-01T00:00:00Z"]
     if row.id is not None:
-        head.append(f"Page-ID: {_line(row.id)}")
+        head.append(f"Page-ID: {quote(str(row.id))}")
     if row.url is not None:
         head.append(f"WARC-Target-URI: {_line(row.url)}")
     if row.record_type == "revisit":
-        head += [f"WARC-Profile: {REVISIT_PROFILE}", f"Refers-To-Page-ID: {_line(row.first_id)}"]
+        head += [f"WARC-Profile: {REVISIT_PROFILE}", f"Refers-To-Page-ID: {quote(str(row.first_id))}"]
     head += [f"WARC-Payload-Digest: sha1:{digest}", "Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
     raw = "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
     packer = zlib.compressobj(4, zlib.DEFLATED, 31)
@@ -168,7 +169,7 @@ def parse_record(packed: bytes) -> tuple[dict[str, str], dict[str, str], bytes]:
 
 def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", min_bytes: int = 0, archive_bytes: int = 256 << 20) -> DataFrame:
     """Writes a record per row of ``pages`` to ZIP archives under ``folder`` and returns
-    their list (archive, records). Of records with equal payloads of at least ``min_bytes`` bytes, the
+    their list (archive, records, bytes). Of records with equal payloads of at least ``min_bytes`` bytes, the
     one with the smallest id is a response and others revisit it. Null payloads count as
     empty; a null id revisits a known one, and is a response where all are null.
 
@@ -197,7 +198,7 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
             zipped.end()
             zipped.close()
             out.close()
-            made[-1]["records"] = len(index)
+            made[-1] |= {"records": len(index), "bytes": zipped.at}
 
         for batch in batches:
             for row in batch.itertuples(index=False):
@@ -215,10 +216,10 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
                     out = None
         if out is not None:
             finish()
-        yield pd.DataFrame(made, columns=["archive", "records"])
+        yield pd.DataFrame(made, columns=["archive", "records", "bytes"])
 
     rows = rows.select(F.col("id").cast("string"), "url", "payload", "payload_bytes", "record_type", F.col("first").cast("string").alias("first_id"))
-    return staged(rows.mapInPandas(write, "archive string, records long"), "archives")
+    return staged(rows.mapInPandas(write, "archive string, records long, bytes long"), "archives")
 
 
 def _scan(f, start: int, size: int) -> Iterator[tuple[int, int]]:
@@ -260,8 +261,8 @@ def list_records(archives: DataFrame) -> DataFrame:
                             found = list(_scan(f, start, m.size))
                         yield pd.DataFrame({"archive": archive, "offset": [start + o for o, _ in found], "length": [n for _, n in found]})
 
-    names = archives.select("archive")
-    return names.repartition(F.col("archive")).mapInPandas(located, "archive string, offset long, length long")
+    names, most = archives.select("archive"), int(archives.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return names.repartition(max(1, min(most, archives.count())), "archive").mapInPandas(located, "archive string, offset long, length long")
 
 
 def read_records(archives: DataFrame, with_payload: bool = True) -> DataFrame:
@@ -289,7 +290,8 @@ def read_records(archives: DataFrame, with_payload: bool = True) -> DataFrame:
                     if own != digest:
                         raise ValueError(f"{archive}, offset {offset}: payload does not match its digest")
                 size = len(payload) if kind == "response" else int(http["content-length"])
-                row = (warc.get("page-id"), warc.get("warc-target-uri"), kind, size, digest, warc.get("refers-to-page-id"))
+                own_id, first_id = (None if x is None else unquote(x) for x in (warc.get("page-id"), warc.get("refers-to-page-id")))
+                row = (own_id, warc.get("warc-target-uri"), kind, size, digest, first_id)
                 rows.append((*row, payload if kind == "response" else None) if with_payload else row)
             yield pd.DataFrame(rows, columns=columns)
         if f is not None:
@@ -298,7 +300,10 @@ def read_records(archives: DataFrame, with_payload: bool = True) -> DataFrame:
     columns = ["page_id", "url", "record_type", "payload_bytes", "payload_digest", "refers_to"] + ["payload"] * with_payload
     schema = "page_id string, url string, record_type string, payload_bytes long, payload_digest string, refers_to string" + ", payload binary" * with_payload
     block = F.floor(F.col("offset") / RANGE_BLOCK)
-    places = list_records(archives).repartition(F.col("archive"), block).sortWithinPartitions("archive", "offset")
+    # The rows that say where records lie are small: their size must not decide how many tasks read the records.
+    size = F.col("bytes") if "bytes" in archives.columns else F.lit(None).cast("long")
+    stretches = archives.agg(F.sum(F.ceil(F.coalesce(size, F.lit(RANGE_BLOCK)) / RANGE_BLOCK))).first()[0]
+    places = list_records(archives).repartition(max(1, int(stretches or 0)), "archive", block).sortWithinPartitions("archive", "offset")
     return places.mapInPandas(read, schema)
 
 

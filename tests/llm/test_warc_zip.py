@@ -139,3 +139,19 @@ def test_damage_is_noticed(tmp_path):
     with pytest.raises(ValueError, match="compressed"):
         W.data_offset(f, W.read_directory(f, len(out.getvalue()))[0])
     assert struct.unpack("<I", out.getvalue()[:4])[0] == W.LOCAL
+
+
+def test_records_are_read_by_as_many_tasks_as_there_are_stretches(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(W, "RANGE_BLOCK", 4000)
+    df = spark.createDataFrame([(i, f"http://x/{i}", "".join(chr(97 + (i * j) % 26) for j in range(900))) for i in range(60)], "page_id long, url string, html string")
+    made = W.write_archives(df.coalesce(1), f"file:{tmp_path}/zips", archive_bytes=9000)
+    stretches = sum(-(-r.bytes // 4000) for r in made.collect())
+    read = W.read_records(made)
+    assert read.rdd.getNumPartitions() == stretches > 4 and read.count() == 60
+
+
+def test_ids_of_any_text_come_back(spark):
+    ids = [" a ", "b\r\nWARC-Type: x", "50%", "é:ü", "", "c"]
+    df = spark.createDataFrame([(i, "u", "same") for i in ids], "page_id string, url string, html string")
+    got = {r.page_id: r.refers_to for r in W.round_trip(spark, df).collect()}
+    assert set(got) == set(ids) and set(got.values()) == {None, min(ids)}
