@@ -11,6 +11,8 @@ from edgeloom.llm.storage import fresh_path, keep_marked, settings, staged
 WHITE_SPACE = " \t\n\v\f\r"
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 HOT_SHARE, SALTS = 1000, 64
+#: Values of the digests' hash by which texts without a second one are kept out of the comparison's shuffle.
+SLOTS = 1 << 18
 
 
 def normalised(text: Column) -> Column:
@@ -61,6 +63,9 @@ def _unequal_bytes(texts: DataFrame, groups: DataFrame, rows: Column) -> DataFra
     compared: each against the smallest and largest text of its group, partial per task. A group with
     over a thousandth of all rows (there are under a thousand of these) is spread over salts."""
     hits = groups.where("group_size > 1").select("digest", "group_size")
+    # At most SLOTS rows, whatever the number of hits: of few hits, hardly another text goes on to the shuffle.
+    slot = F.pmod(F.xxhash64("digest"), F.lit(SLOTS)).cast("int").alias("slot")
+    texts = texts.withColumn("slot", slot).join(F.broadcast(hits.select(slot).distinct()), "slot", "left_semi").drop("slot")
     total = groups.agg(F.sum("group_size")).first()[0] or 0
     hot = F.broadcast(hits.where(F.col("group_size") > total / HOT_SHARE).select("digest", F.lit(True).alias("hot")))
     salt = F.when(F.col("hot"), F.pmod(F.xxhash64(rows, F.spark_partition_id()), F.lit(SALTS))).otherwise(F.lit(0))
