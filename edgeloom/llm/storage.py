@@ -9,14 +9,11 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SETTING = "spark.checkpoint.dir"
-
+from edgeloom.workspace import shared_dir
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``. Where a session leaves it unset, the
-    warehouse is used, which a cluster shares as well."""
-    named = spark.conf.get(SETTING, None)
-    return (named or f"{spark.conf.get('spark.sql.warehouse.dir')}/staged").rstrip("/")
+    """The folder that driver and executors share (see ``workspace.shared_dir``): an error where a cluster names none."""
+    return shared_dir(spark)
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
