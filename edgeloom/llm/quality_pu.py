@@ -105,16 +105,26 @@ def _descend(gradient, begin: np.ndarray, steps: int, rate: float) -> np.ndarray
     return w
 
 
+def _linear(w: np.ndarray, p: np.ndarray, u: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return p @ w.astype(p.dtype), u @ w.astype(u.dtype)
+
+
+def _parts(zp: np.ndarray, zu: np.ndarray) -> tuple[float, float, float]:
+    return tuple(float(np.logaddexp(0, z).mean(dtype=float)) for z in (-zp, zp, zu))
+
+
+def _gradients(zp: np.ndarray, zu: np.ndarray, p: np.ndarray, u: np.ndarray) -> tuple[np.ndarray, ...]:
+    return tuple((x.T @ g).astype(float) / len(x) for x, g in ((p, -_sigmoid(-zp)), (p, _sigmoid(zp)), (u, _sigmoid(zu))))
+
+
 def risk_parts(w: np.ndarray, p: np.ndarray, u: np.ndarray) -> tuple[float, float, float]:
     """R+ and R- of the positives and R- of the unlabelled: mean logistic losses of a linear model."""
-    zp, zu = p @ w, u @ w
-    return float(np.logaddexp(0, -zp).mean()), float(np.logaddexp(0, zp).mean()), float(np.logaddexp(0, zu).mean())
+    return _parts(*_linear(w, p, u))
 
 
-def risk_gradients(w: np.ndarray, p: np.ndarray, u: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def risk_gradients(w: np.ndarray, p: np.ndarray, u: np.ndarray) -> tuple[np.ndarray, ...]:
     """Gradients of the three parts."""
-    zp, zu = p @ w, u @ w
-    return -p.T @ _sigmoid(-zp) / len(p), p.T @ _sigmoid(zp) / len(p), u.T @ _sigmoid(zu) / len(u)
+    return _gradients(*_linear(w, p, u), p, u)
 
 
 def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = 600, rate: float = 0.05, decay: float = 1e-3) -> Model:
@@ -128,8 +138,8 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int =
     p, u = (_with_bias(x, mean, scale) for x in (positive, unlabelled))
 
     def gradient(w: np.ndarray) -> np.ndarray:
-        up, down_p, down_u = risk_gradients(w, p, u)
-        _, on_p, on_u = risk_parts(w, p, u)
+        zp, zu = _linear(w, p, u)
+        (up, down_p, down_u), (_, on_p, on_u) = _gradients(zp, zu, p, u), _parts(zp, zu)
         grad = prior * up + (down_u - prior * down_p) if on_u - prior * on_p >= 0 else prior * down_p - down_u
         return grad + decay * np.append(w[:-1], 0)
 
