@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from edgeloom.llm.components import connected
 from edgeloom.llm.storage import keep_marked, staged
+from edgeloom.operators.skew import join_split_hot
 
 BITS = 64
 PIECE_BYTES = 1 << 22
@@ -168,7 +169,8 @@ def _labelled(rows: DataFrame, max_bits: int, bucket_rows: int) -> DataFrame:
     label = prints.join(linked.withColumn("found", F.lit(True)), "f", "left").select(
         "f", F.when(F.col("found"), F.col("component_id")).otherwise(F.col("least")).alias("component_id")
     )
-    return rows.join(label, "f")
+    # a print that many rows share is spread over tasks
+    return join_split_hot(rows, label, ["f"], "id")
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 2) -> DataFrame:
