@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import product
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,7 +16,12 @@ from edgeloom.llm.storage import staged
 
 BLOCK = 512
 SLACK = 1e-9
-SUMS = 16
+#: Vectors that the axes are taken from, and tasks that sum their products.
+AXES_ROWS, SUMS = 20_000, 16
+#: Leading axes that boxes are kept of, that the grid has at most, and its cells at most.
+BOX_AXES, GRID_AXES, CELLS = 16, 3, 4096
+#: Leading axes of the curve that orders the vectors of a cell; tiles of a block.
+CURVE_AXES, SIDE = 8, 8
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
@@ -23,8 +30,9 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
 
 
 def principal_axes(classes: DataFrame, dims: int) -> np.ndarray:
-    """Orthogonal axes of the vectors of length ``dims``, by falling variance about zero.
-    Each task sums its products; 16 tasks add these sums, and 16 matrices reach the driver."""
+    """Orthogonal axes of the vectors of length ``dims``, by falling variance about zero. Any turn keeps cosines, so the axes only
+    decide how early a pair is ruled out: they come from some ``AXES_ROWS`` vectors chosen by hash,
+    whose products 16 tasks sum, and 16 matrices reach the driver."""
 
     def moments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros((dims, dims))
@@ -32,13 +40,12 @@ def principal_axes(classes: DataFrame, dims: int) -> np.ndarray:
             if len(batch):
                 x = _unit(np.stack(batch["v"].to_numpy()))
                 total += x.T @ x
-        yield pd.DataFrame({"part": [int(abs(total[0, 0]) * 1e6) % SUMS], "sums": [total.tobytes()]})
+        yield pd.DataFrame({"sums": [total.tobytes()]})
 
-    def added(group: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"sums": [sum(np.frombuffer(s) for s in group["sums"]).tobytes()]})
-
-    own = classes.where(F.size("v") == dims).select("v")
-    parts = own.mapInPandas(moments, "part int, sums binary").groupBy("part").applyInPandas(added, "sums binary")
+    own = classes.where(F.size("v") == dims).select("node", "v")
+    share = min(1.0, AXES_ROWS / max(1, own.count()))
+    some = own.where(F.pmod(F.xxhash64("node"), F.lit(1 << 30)) < int(share * (1 << 30))) if share < 1 else own
+    parts = some.select("v").repartition(SUMS).mapInPandas(moments, "sums binary")
     total = sum((np.frombuffer(r.sums) for r in parts.collect()), np.zeros(dims * dims)).reshape(dims, dims)
     return np.linalg.eigh(total)[1][:, ::-1]
 
@@ -76,11 +83,15 @@ def compare_tiles(x: np.ndarray, y: np.ndarray, axes: np.ndarray, threshold: flo
         open_ = bound >= threshold - SLACK
         n_open = int(open_.sum())
         if n_open > open_.size // 16:  # a block of near copies: one product of whole vectors
-            i, j = np.nonzero(x[lo:hi] @ y[from_row:].T >= threshold)
+            whole = x[lo:hi] @ y[from_row:].T
+            i, j = np.nonzero(whole >= threshold - SLACK)
+            sure = whole[i, j] >= threshold + SLACK
             i, j = i + lo, j + from_row
+            # what lies at the threshold is decided by the one formula, however full its block is
+            sure[~sure] = np.einsum("ij,ij->i", x[i[~sure]], y[j[~sure]]) >= threshold
             if same:
-                i, j = i[i < j], j[i < j]
-            yield i, j
+                sure &= i < j
+            yield i[sure], j[sure]
             continue
         if not n_open:
             continue
@@ -99,78 +110,122 @@ def compare_tiles(x: np.ndarray, y: np.ndarray, axes: np.ndarray, threshold: flo
             yield i[hit], j[hit]
 
 
-def _links(classes: DataFrame, axes: np.ndarray, dims: int, threshold: float, tile_rows: int, lead: int) -> DataFrame:
-    """For each class that links with another: ``linked`` (vectors of other classes, a count
-    from one pair of tiles) and ``root`` (its least link in that pair of tiles)."""
-    reach = max(float(np.sqrt(max(2 - 2 * threshold, 0))), 1e-3) * (1 + 1e-9) + 1e-9
+TILE = "block long, tile long, dims int, cell long, lo array<double>, hi array<double>, nodes binary, sizes binary, x binary"
 
-    def placed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if len(batch):
-                v = batch["v"].to_numpy()
-                d = len(v[0])
-                x = _unit(np.stack(v))
-                head = x @ axes[:, 0] if d == dims else x[:, 0]
-                yield pd.DataFrame({"dims": d, "strip": np.floor(head / reach).astype("int64"), "node": batch["node"], "size": batch["size"], "x": [r.tobytes() for r in x]})
 
-    def one_length(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for _, group in batch.groupby(batch["v"].map(len)):
-                yield from placed(iter([group]))
+def tiles_of(classes: DataFrame, axes: np.ndarray, dims: int, reach: float, tile_rows: int) -> DataFrame:
+    """Unit vectors in tiles of up to ``tile_rows``, with the bounds of each tile along the leading axes.
 
-    rows = classes.select("node", "size", "v").mapInPandas(one_length, "dims int, strip long, node long, size long, x binary")
-    rows = staged(rows, "strips")
-    tiles = rows.groupBy("dims", "strip").agg(F.ceil(F.count(F.lit(1)) / tile_rows).alias("tiles"))
-    tiles = staged(tiles, "tile-counts")  # two at most for each stretch of ``reach`` between -1 and 1, and each length
+    A grid of cells as wide as two linked vectors can lie apart cuts the first axes; inside a cell vectors go
+    in the order of a curve through the leading axes, so that tiles are small boxes. Rows are
+    dealt by range: a cell with a third of all rows is cut like any other, and a range is a block of ``SIDE`` tiles."""
+    strips = int(np.ceil(2 / reach)) + 4  # with the neighbours' room at both ends
+    used = max(1, min(GRID_AXES, int(np.log(CELLS) / np.log(strips))))
 
-    def near(step: int, name: str) -> DataFrame:
-        return tiles.select("dims", (F.col("strip") - step).alias("strip"), F.col("tiles").alias(name))
+    spread = 1 / np.sqrt(max(dims, 4))  # of a coordinate, about; only the order of vectors hangs on it
 
-    plan = tiles.join(F.broadcast(near(1, "after")), ["dims", "strip"], "left").join(F.broadcast(near(-1, "before")), ["dims", "strip"], "left").na.fill(0)
-    rows = rows.join(F.broadcast(plan), ["dims", "strip"]).withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")))
+    def placed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for d, group in batch.groupby(batch["v"].map(len)):
+                x = _unit(np.stack(group["v"].to_numpy()))
+                head = np.zeros((len(x), BOX_AXES))
+                m = min(BOX_AXES, d)
+                head[:, :m] = x @ axes[:, :m] if d == dims else x[:, :m]
+                cell = np.zeros(len(x), np.int64)
+                for axis in range(used):
+                    cell = cell * strips + np.floor((head[:, axis] + 1) / reach).astype(np.int64) + 1
+                steps = np.clip((head[:, :CURVE_AXES] / (8 * spread) + 0.5) * 64, 0, 63).astype(np.int64)
+                order = np.zeros(len(x), np.int64)
+                for bit in range(5, -1, -1):  # the axes' leading digits first
+                    for axis in range(CURVE_AXES):
+                        order = order << 1 | (steps[:, axis] >> bit & 1)
+                yield pd.DataFrame({"dims": d, "cell": cell, "order": order, "node": group["node"].to_numpy(), "size": group["size"].to_numpy(), "x": [r.tobytes() for r in x], "head": list(head)})
+
+    def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        block, number, rows, key = TaskContext.get().partitionId(), 0, [], None
+
+        def tile() -> pd.DataFrame:
+            nonlocal number
+            number += 1
+            heads = np.stack([r.head for r in rows])
+            return pd.DataFrame(
+                {
+                    "block": [block], "tile": [(block << 24) + number], "dims": [key[0]], "cell": [key[1]], "lo": [heads.min(0)], "hi": [heads.max(0)],
+                    "nodes": [np.array([r.node for r in rows], np.int64).tobytes()], "sizes": [np.array([r.size for r in rows], np.int64).tobytes()], "x": [b"".join(r.x for r in rows)],
+                }
+            )
 
-    def packed(group: pd.DataFrame) -> pd.DataFrame:
-        head = group[["dims", "strip", "tile", "tiles", "before", "after"]].head(1).reset_index(drop=True)
-        return head.assign(nodes=[group["node"].to_numpy("int64").tobytes()], sizes=[group["size"].to_numpy("int64").tobytes()], x=[b"".join(group["x"])])
+        for batch in batches:
+            for row in batch.itertuples(index=False):
+                if rows and ((row.dims, row.cell) != key or len(rows) >= tile_rows):
+                    yield tile()
+                    rows = []
+                key = (row.dims, row.cell)
+                rows.append(row)
+        if rows:
+            yield tile()
+
+    rows = classes.select("node", "size", "v").mapInPandas(placed, "dims int, cell long, order long, node long, size long, x binary, head array<double>")
+    rows = staged(rows, "cells")
+    blocks = max(1, -(-rows.count() // (tile_rows * SIDE)))
+    place = ["dims", "cell", "order", "node"]
+    return staged(rows.repartitionByRange(blocks, *place).sortWithinPartitions(*place).mapInPandas(packed, TILE), "tiles")
+
+
+def meeting_blocks(tiles: DataFrame, reach: float) -> DataFrame:
+    """(dims, a, b) of blocks that may hold a link, a no later than b: a tile of each lies in cells next to each other, and
+    the boxes of these tiles are no further apart than ``reach``. Nothing but boxes is joined."""
+    strips = int(np.ceil(2 / reach)) + 4
+    used = max(1, min(GRID_AXES, int(np.log(CELLS) / np.log(strips))))
+    steps = [sum(s * strips**i for i, s in enumerate(x)) for x in product((-1, 0, 1), repeat=used)]
+    ours = tiles.select("dims", F.col("block").alias("a"), F.col("lo").alias("lo_a"), F.col("hi").alias("hi_a"), F.explode(F.array(*(F.col("cell") + s for s in steps))).alias("cell"))
+    theirs = tiles.select("dims", "cell", F.col("block").alias("b"), F.col("lo").alias("lo_b"), F.col("hi").alias("hi_b"))
+    apart = F.zip_with(
+        F.zip_with("lo_a", "hi_b", lambda p, q: F.greatest(p - q, F.lit(0.0))), F.zip_with("lo_b", "hi_a", lambda p, q: F.greatest(p - q, F.lit(0.0))),
+        lambda p, q: F.greatest(p, q),
+    )
+    near = F.aggregate(apart, F.lit(0.0), lambda total, x: total + x * x) <= reach * reach
+    return ours.join(theirs, ["dims", "cell"]).where((F.col("a") <= F.col("b")) & near).select("dims", "a", "b").distinct()
 
-    whole = rows.groupBy("dims", "strip", "tile").applyInPandas(packed, "dims int, strip long, tile long, tiles long, before long, after long, nodes binary, sizes binary, x binary")
 
-    def met(n: str) -> F.Column:
-        return F.when(F.col(n) > 0, F.sequence(F.lit(0).cast("long"), F.col(n) - 1)).otherwise(F.array().cast("array<bigint>"))
+def _reach(threshold: float) -> float:
+    """The most that two unit vectors with a cosine of ``threshold`` lie apart, and some slack."""
+    return max(float(np.sqrt(max(2 - 2 * threshold, 0))), 1e-3) * (1 + 1e-9) + 1e-9
 
-    def pair(s, a, b) -> F.Column:
-        return F.struct(s[0].alias("s"), a.alias("a"), s[1].alias("s2"), b.alias("b"))
 
-    s, t = F.col("strip"), F.col("tile")
-    pairs = F.concat(
-        F.transform(met("tiles"), lambda j: pair((s, s), F.least(t, j), F.greatest(t, j))),
-        F.transform(met("after"), lambda j: pair((s, s + 1), t, j)),
-        F.transform(met("before"), lambda j: pair((s - 1, s), j, t)),
-    )
-    meet = whole.withColumn("pair", F.explode(pairs)).select("dims", "pair", "strip", "tile", "nodes", "sizes", "x")
+def _links(classes: DataFrame, axes: np.ndarray, dims: int, threshold: float, tile_rows: int, lead: int) -> DataFrame:
+    """For each class that links with another: ``linked`` (vectors of other classes, a count
+    from one pair of blocks) and ``root`` (its least link in that pair of blocks)."""
+    reach = _reach(threshold)
+    tiles = tiles_of(classes, axes, dims, reach, tile_rows)
+    meeting = staged(meeting_blocks(tiles, reach), "meetings")
+    members = meeting.select("dims", "a", "b", F.explode(F.array_distinct(F.array("a", "b"))).alias("block"))
+    meet = tiles.join(members, ["dims", "block"])
 
     def compared(group: pd.DataFrame) -> pd.DataFrame:
-        d = int(group["dims"].iloc[0])
-        group = group.sort_values(["strip", "tile"])
-        own = [(np.frombuffer(r.nodes, "int64"), np.frombuffer(r.sizes, "int64"), np.frombuffer(r.x).reshape(-1, d)) for r in group.itertuples()]
-        p = group["pair"].iloc[0]
-        same = (p["s"], p["a"]) == (p["s2"], p["b"])
-        if not same and len(own) < 2:
-            return pd.DataFrame({"node": [], "linked": [], "root": []})
-        (na, sa, xa), (nb, sb, xb) = own[0], own[-1]
-        base = 0 if same else len(na)
-        nodes = na if same else np.concatenate([na, nb])
+        d, a, b = (int(group[c].iloc[0]) for c in ("dims", "a", "b"))
+        group = group.sort_values("tile")
+        held = [(np.frombuffer(r.nodes, "int64"), np.frombuffer(r.sizes, "int64"), np.frombuffer(r.x).reshape(-1, d)) for r in group.itertuples()]
+        starts = np.cumsum([0, *(len(n) for n, _, _ in held)])
+        nodes = np.concatenate([n for n, _, _ in held])
         linked, parent = np.zeros(len(nodes), "int64"), np.arange(len(nodes))
         turn = axes if d == dims else np.eye(d)
         cuts = sorted({min(lead, d), min(2 * lead, d), min(4 * lead, d), d})
-        for i, j in compare_tiles(xa, xb, turn, threshold, same, cuts):
-            linked[: len(na)] += np.bincount(i, weights=sb[j], minlength=len(na)).astype("int64")
-            linked[base : base + len(nb)] += np.bincount(j, weights=sa[i], minlength=len(nb)).astype("int64")
-            _hook(parent, i, j + base)
+        lo, hi, block = np.stack(group["lo"]), np.stack(group["hi"]), group["block"].to_numpy()
+        for p in np.flatnonzero(block == a):
+            for q in np.flatnonzero(block == b):
+                gap = np.maximum(np.maximum(lo[p] - hi[q], lo[q] - hi[p]), 0)
+                if (a == b and q < p) or gap @ gap > reach * reach:
+                    continue
+                (_, size_p, x), (_, size_q, y) = held[p], held[q]
+                for i, j in compare_tiles(x, y, turn, threshold, p == q, cuts):
+                    linked[starts[p] : starts[p + 1]] += np.bincount(i, weights=size_q[j], minlength=len(x)).astype("int64")
+                    linked[starts[q] : starts[q + 1]] += np.bincount(j, weights=size_p[i], minlength=len(y)).astype("int64")
+                    _hook(parent, i + starts[p], j + starts[q])
         some = linked > 0
         return pd.DataFrame({"node": nodes[some], "linked": linked[some], "root": nodes[parent[some]]})
 
-    return meet.groupBy("dims", "pair").applyInPandas(compared, "node long, linked long, root long")
+    return meet.groupBy("dims", "a", "b").applyInPandas(compared, "node long, linked long, root long")
 
 
 def near_duplicates(
@@ -181,10 +236,10 @@ def near_duplicates(
     ``kept`` (whether the two ids agree).
 
     Equal vectors are one class with a count. The unit vectors are turned to their principal
-    axes (a turn keeps cosines) and cut along the first into strips as wide as two linked
-    vectors can lie apart, so that only tiles of one strip or of neighbours meet. Tiles
-    hold some ``tile_rows`` classes whatever the strip holds. A pair of tiles is compared
-    coordinate block by coordinate block (``compare_tiles``) and returns a count and one link per class,
+    axes (a turn keeps cosines) and laid in tiles of some ``tile_rows`` that are small boxes along the leading
+    axes (``tiles_of``). Which blocks of tiles can hold a link is found from the boxes alone
+    (``meeting_blocks``); only to these a block is copied. A pair of tiles is compared
+    coordinate block by coordinate block (``compare_tiles``), and a pair of blocks returns a count and one link per class,
     never its pairs, so a large group of near copies costs no more rows than any other.
 
     A vector that is null, empty, zero or holds a null or non-finite component, and a row

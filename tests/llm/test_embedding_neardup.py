@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from brute import components
+from edgeloom.llm import embedding_neardup as N
 from edgeloom.llm.embedding_neardup import compare_tiles, near_duplicates
 
 
@@ -63,3 +64,34 @@ def test_blocks_of_near_copies_and_bounds_agree():
     got = {(i, j) for a, b in compare_tiles(x, x, axes, 0.9, True, [3, 6, 12]) for i, j in zip(a.tolist(), b.tolist())}
     s = x @ x.T
     assert got == {(i, j) for i, j in zip(*np.nonzero(s >= 0.9)) if i < j}
+
+
+def copies_per_vector(spark, n, dims=32, members=500, tile_rows=25):
+    """To how many pairs of blocks a vector goes, on clustered data."""
+    rng = np.random.default_rng(n)
+    centres = rng.normal(size=(n // members, dims)) * np.linspace(3, 0.3, dims)  # leading directions matter more, as in trained embeddings
+    rows = [(i, (centres[i % len(centres)] + 0.03 * rng.normal(size=dims)).tolist(), 1) for i in range(n)]
+    classes = spark.createDataFrame(rows, "node long, v array<double>, size long")
+    axes, reach = N.principal_axes(classes, dims), N._reach(0.95)
+    tiles = N.tiles_of(classes, axes, dims, reach, tile_rows)
+    meeting = N.meeting_blocks(tiles, reach)
+    members = meeting.select("dims", F.explode(F.array_distinct(F.array("a", "b"))).alias("block"))
+    sent = tiles.join(members, ["dims", "block"]).agg(F.sum(F.length("nodes") / 8)).first()[0]
+    blocks = tiles.select("block").distinct().count()
+    return sent / n, blocks
+
+
+def test_copies_on_clustered_data(spark):
+    few, blocks = copies_per_vector(spark, 4_000)
+    many, more_blocks = copies_per_vector(spark, 24_000)
+    print(few, blocks, many, more_blocks)
+    assert more_blocks >= 5 * blocks and many < 0.2 * more_blocks and many < 3 * few
+
+
+def test_axes_from_a_sample(spark, monkeypatch):
+    monkeypatch.setattr(N, "AXES_ROWS", 40)
+    vectors = planted(6)
+    links, component = brute(vectors, 0.95)
+    df = spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>")
+    got = {r.vec_id: r for r in near_duplicates(df, tile_rows=30).collect()}
+    assert [got[i].n_links for i in range(len(vectors))] == links and [got[i].component_id for i in range(len(vectors))] == component
