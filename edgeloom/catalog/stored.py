@@ -13,16 +13,16 @@ from edgeloom.sinks.rollup_store import RollupStore
 from edgeloom.stored_tables import StoredTables
 from edgeloom.streaming import windows
 
-#: The batches that build the store: the log in four parts, out of order, one of them twice.
-ORDER = (2, 0, 3, 0, 1)
-PARTS = 4
+#: The batches that build the store: the log in three parts, out of order, one of them twice.
+ORDER = (2, 0, 2, 1)
+PARTS = 3
 _built: dict[tuple[str, str], str] = {}
 
 
 def store_of(t) -> RollupStore:
     """The store of a directory's log, built once per application."""
     key = (t.spark.sparkContext.applicationId, t.directory)
-    if key in _built:
+    if key in _built and RollupStore(t.spark, _built[key]).log.numbers():
         return RollupStore(t.spark, _built[key])
     store = RollupStore(t.spark, workspace.fresh_path(t.spark, "rollups"), files_per_hour=1)
     for batch in ORDER:
