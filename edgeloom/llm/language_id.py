@@ -18,6 +18,8 @@ UNKNOWN = "und"
 TEXTS_AT_ONCE = 256
 #: Texts that teach a language at least, if it has them.
 LEAST_ROWS = 64
+#: Texts whose n-grams are counted together, which bounds the table of counts.
+TEXTS_AT_ONCE = 400
 
 
 def letter_vector(code: int, dims: int, seed: int) -> np.ndarray:
@@ -56,7 +58,9 @@ class Profiler:
 
     def bundles(self, texts: list[str | None]) -> np.ndarray:
         """One row per text; zeros for a text without letters. Long texts go in stretches
-        that begin with the last letters of the one before."""
+        that begin with the last letters of the one before; many texts go some at a time."""
+        if len(texts) > TEXTS_AT_ONCE:
+            return np.concatenate([self.bundles(texts[lo : lo + TEXTS_AT_ONCE]) for lo in range(0, len(texts), TEXTS_AT_ONCE)])
         rows, parts = [], []
         for number, text in enumerate(texts):
             for lo in range(0, len(text or ""), CHUNK):
@@ -91,13 +95,12 @@ class Profiler:
         if not len(found):
             return out
         starts = np.searchsorted(text_of, np.arange(len(parts) + 1))
-        held = []
+        counts = np.empty((len(parts), len(found)), dtype=np.float32)
         for lo in range(0, len(parts), 64):
             hi = min(lo + 64, len(parts))
             own = slice(starts[lo], starts[hi])
-            counts = np.bincount((text_of[own] - lo) * len(found) + which[own], minlength=(hi - lo) * len(found))
-            held.append(counts.reshape(hi - lo, len(found)).astype(np.float32))
-        counts = np.concatenate(held)
+            some = np.bincount((text_of[own] - lo) * len(found) + which[own], minlength=(hi - lo) * len(found))
+            counts[lo:hi] = some.reshape(hi - lo, len(found))
         for lo in range(0, len(found), GRAMS_AT_ONCE):
             some = slice(lo, lo + GRAMS_AT_ONCE)
             np.add.at(out, rows, counts[:, some] @ self._gram_vectors(alphabet, found[some], k))
