@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from edgeloom.functions.exprs import TS, day_start, span
 from edgeloom.operators.windows import dedup_latest
+from edgeloom.sinks.versions import VersionLog
 
 BATCH = "batch_id"
 
@@ -38,15 +39,21 @@ def compact(spark: SparkSession, path: str, keys: list[str], target: str, batch_
     write_batch(read_latest(spark, path, keys), batch_id, target)
 
 
-def replace_partitions(df: DataFrame, path: str, by: list[str]) -> None:
-    """Replace exactly the partitions present in ``df`` (a re-run of a day, say). The
-    source of ``df`` must not be ``path`` itself."""
+def replace_partitions(df: DataFrame, path: str, by: list[str], scope: list[tuple] | None = None) -> None:
+    """Replace exactly the partitions present in ``df`` (a re-run of a day, say), and those of ``scope``
+    (values of ``by``) that ``df`` has no rows of any more. The source of ``df`` must not be ``path`` itself."""
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*by)
         .parquet(path)
     )
+    if scope:
+        left = {tuple(map(str, r)) for r in df.select(*by).distinct().collect()}  # one row a partition
+        files = VersionLog(df.sparkSession, path)
+        for values in scope:
+            if tuple(map(str, values)) not in left:
+                files.delete_folder("/".join([path, *(f"{name}={value}" for name, value in zip(by, values))]))
 
 
 def with_day_partitions(df: DataFrame, ts: str = TS) -> DataFrame:

@@ -247,3 +247,12 @@ def test_lookups_skip_most_row_groups(spark, small, tmp_path):
     for k in small_groups:
         spark.conf.unset(k)
     many.unpersist()
+
+
+def test_a_partition_that_a_run_empties_goes(spark, tmp_path):
+    rows = spark.createDataFrame([(d, h, i) for i, (d, h) in enumerate([(1, 0), (1, 1), (2, 0), (3, 0)])], "day int, hour int, v int")
+    path, by = f"{tmp_path}/t", ["day", "hour"]
+    tables.replace_partitions(rows, path, by)
+    again = rows.where("day = 1 and hour = 1").withColumn("v", F.lit(9))
+    tables.replace_partitions(again, path, by, scope=[(1, 0), (1, 1), (2, 0), (7, 7)])
+    assert sorted((r.day, r.hour, r.v) for r in spark.read.parquet(path).collect()) == [(1, 1, 9), (3, 0, 3)]
