@@ -2,22 +2,24 @@
 
 The store holds partials whose measures all merge exactly: sums at the grain of whole milliseconds, from which
 counts, averages and exact percentiles follow, visitors as rows, and HLL sketches where only a
-window's number of addresses is asked for. A batch is aggregated once. An hour that
-the store does not have yet is taken over as it is; one that it has is merged into a new folder, and no other
-hour is read. Which folder holds which hour is in one version file for all tables together (see
+window's number of addresses is asked for. A batch is aggregated together with what the
+store has of its hours, in one shuffle, and written as a new part; no other hour is read. Which part holds which hour is in one version file for all tables together (see
 ``versions``), with the batches that are in: a reader sees a batch in all roll-ups or in none, and a batch that comes again counts once.
+
+A part is what one write made of a table: a folder per month, with files in order of hours, as many as the rows need. The number
+of files grows with the rows, not with the hours. A part may still have rows of hours that a later part has taken over; readers leave them out.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections import Counter
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from edgeloom.functions.classify import browser_class, device_class
 from edgeloom.functions.exprs import TS
@@ -25,7 +27,7 @@ from edgeloom.operators.enrich import enrich
 from edgeloom.sinks.versions import Conflict, VersionLog
 
 HOUR = "hour"
-FOLDER = "hour_id"
+FOLDER, MONTH, PART, SPREAD = "hour_id", "month_id", "part_id", "_spread"
 NO_HOUR = "none"
 SKETCH_LOG2 = 12
 Content = dict
@@ -33,21 +35,33 @@ Content = dict
 
 @dataclass(frozen=True)
 class Partial:
-    """One stored table: a row per hour and ``keys``, with sums of the expressions ``sums`` and sketches of the columns ``sketches``."""
+    """One stored table: a row per hour and ``keys``, with sums of the expressions ``sums`` and sketches of the columns ``sketches``.
+    Where the keys are ``few``, requests are added up before they are shuffled, as for sketches; else that would hardly make them fewer."""
 
     keys: tuple[str, ...]
     sums: dict[str, str] = field(default_factory=dict)
     sketches: dict[str, str] = field(default_factory=dict)
     rows: str = "true"
+    few: bool = False
 
     def of(self, rows: DataFrame) -> DataFrame:
         sums = [F.expr(f"sum({e})").alias(n) for n, e in self.sums.items()]
         sketches = [F.hll_sketch_agg(c, F.lit(SKETCH_LOG2)).alias(n) for n, c in self.sketches.items()]
         return rows.where(self.rows).groupBy(HOUR, *self.keys).agg(*sums, *sketches)
 
-    def merged(self, rows: DataFrame) -> DataFrame:
-        sums, sketches = [F.sum(n).alias(n) for n in self.sums], [F.hll_union_agg(n).alias(n) for n in self.sketches]
-        return rows.groupBy(HOUR, *self.keys).agg(*sums, *sketches)
+    def added(self, rows: DataFrame) -> DataFrame:
+        """What ``rows`` add to the table, for ``merged``: partials, or a row per request in their shape."""
+        partials = self.of(rows)
+        if self.few or self.sketches:
+            return partials
+        values = [F.expr(e).cast(partials.schema[n].dataType).alias(n) for n, e in self.sums.items()]
+        return rows.where(self.rows).select(HOUR, *self.keys, *values)
+
+    def merged(self, rows: DataFrame, *by: str) -> DataFrame:
+        """One row per key; ``by`` are columns that follow from the key."""
+        sums = [F.sum(n).cast(rows.schema[n].dataType).alias(n) for n in self.sums]
+        sketches = [F.hll_union_agg(n).alias(n) for n in self.sketches]
+        return rows.groupBy(HOUR, *by, *self.keys).agg(*sums, *sketches).drop(*by)
 
 
 ONE = {"request_count": "1"}
@@ -57,7 +71,7 @@ TABLES = {
         ONE | {"total_bytes": "bytes", "error_count": "is_error", "cache_hits": "is_cache_hit", "ttfb_sum": "ttfb_ms", "ttfb_count": "if(ttfb_ms IS NULL, 0, 1)"},
     ),
     "paths": Partial(("req_path", "response_time_ms"), ONE | {"cache_hits": "is_cache_hit"}),
-    "clients": Partial(("device_type", "browser"), ONE),
+    "clients": Partial(("device_type", "browser"), ONE, few=True),
     "visitors": Partial(("date", "cli_ip"), ONE | {"total_bytes": "bytes", "cache_hits": "is_cache_hit"}),
     "endpoints": Partial(("window_start", "req_path", "req_method", "response_time_ms"), ONE | {"error_count": "is_error"}),
     "statuses": Partial(("window_start", "status_code", "response_time_ms"), ONE | {"error_count": "is_error"}),
@@ -79,9 +93,12 @@ def prepared(logs: DataFrame) -> DataFrame:
 
 
 def folder_of(hour: str = HOUR) -> Column:
-    """Name of an hour's folder, from its wall clock."""
+    """Name of an hour, from its wall clock."""
     t = F.col(hour)
-    return F.when(t.isNull(), NO_HOUR).otherwise(F.format_string("%04d%02d%02d%02d", F.year(t), F.month(t), F.dayofmonth(t), F.hour(t)))
+    year, month, day, clock = F.year(t), F.month(t), F.dayofmonth(t), F.hour(t)
+    number = year.cast("long") * 1000000 + month * 10000 + day * 100 + clock  # far quicker than a format
+    dated = F.when(year.between(1000, 9999), number.cast("string")).otherwise(F.format_string("%04d%02d%02d%02d", year, month, day, clock))
+    return F.when(t.isNull(), NO_HOUR).otherwise(dated)
 
 
 def with_batch(ranges: list[list[int]], batch: int) -> list[list[int]]:
@@ -95,6 +112,16 @@ def with_batch(ranges: list[list[int]], batch: int) -> list[list[int]]:
     return out
 
 
+def month_of(hour: str) -> str:
+    """Folder of an hour's month, from the hour's name."""
+    return hour if hour == NO_HOUR else hour[:-4]
+
+
+def whole_parts(hours: dict[str, str], written: dict[str, int]) -> set[str]:
+    """Parts of which every hour that was written is among ``hours``."""
+    return {part for part, n in Counter(hours.values()).items() if n == written[part]}
+
+
 class RollupStore:
     def __init__(self, spark: SparkSession, path: str, tables: dict[str, Partial] = TABLES, files_per_hour: int = 4, threads: int = 4) -> None:
         self.spark, self.path, self.tables = spark, path.rstrip("/"), tables
@@ -106,91 +133,118 @@ class RollupStore:
     def merge(self, logs: DataFrame, batch_id: int) -> int:
         """Add the requests of one batch, whatever hours they are of and in whatever order batches come. Returns the version that
         holds the batch. The batch is read once per table: ``persist`` it where that costs much."""
-        number, now = self.log.newest()
+        number, now = self._newest()
         if self._has(now, batch_id):
             return number
         rows = prepared(logs)
-        delta, schemas = self._write_all({name: table.of(rows) for name, table in self.tables.items()})
+        names = sorted(r.h for r in rows.select(HOUR).distinct().select(folder_of().alias("h")).collect())
+        merged_with, part, schemas, mine = None, "", {}, {}
         while True:
-            number, now = self.log.newest()
+            number, now = self._newest()
             if self._has(now, batch_id):
                 return number
-            hours, again = {}, {}
-            for name in self.tables:
-                held = now.get("hours", {}).get(name, {})
-                hours[name] = held | {h: delta for h in self._hours(delta, name) if h not in held}
-                both = [h for h in self._hours(delta, name) if h in held]
-                if both:
-                    old, new = self._read(name, {h: held[h] for h in both}, schemas[name]), self._read(name, dict.fromkeys(both, delta), schemas[name])
-                    again[name] = self.tables[name].merged(old.unionByName(new))
-            if again:
-                part, _ = self._write_all(again)
-                for name in again:
-                    hours[name] |= {h: part for h in self._hours(part, name)}
+            hours = {name: now.get("hours", {}).get(name, {}) for name in self.tables}
+            held = {name: {h: hours[name][h] for h in names if h in hours[name]} for name in self.tables}
+            if held != merged_with:
+                frames = {name: self._with_held(name, table.added(rows), now, held[name]) for name, table in self.tables.items()}
+                part, schemas, mine = self._write_all(frames)
+                merged_with = held
+            hours = {name: hours[name] | dict.fromkeys(mine[name], part) for name in self.tables}
+            change = {"hours": hours, "written": self._sizes(now, hours, part, mine), "schemas": schemas}
             try:
-                return self.log.commit(number + 1, now | {"hours": hours, "schemas": schemas, "batches": with_batch(now.get("batches", []), batch_id)})
+                return self.log.commit(number + 1, now | change | {"batches": with_batch(now.get("batches", []), batch_id)})
             except Conflict:  # another batch was first: its hours may be among ours
                 continue
 
+    def _with_held(self, name: str, new: DataFrame, now: Content, held: dict[str, str]) -> DataFrame:
+        return new.unionByName(self._read(name, held, now["schemas"][name], whole_parts(held, now["written"][name]))) if held else new
+
     def replace(self, logs: DataFrame, hours: Iterable[str]) -> int:
-        """Make the folders ``hours`` again from ``logs``, which must hold all their requests; an hour without any goes. The way
+        """Make the ``hours`` (by name) again from ``logs``, which must hold all their requests; an hour without any goes. The way
         to take in files that replace others. Other hours stay as they are, also those that others write meanwhile."""
         wanted = sorted(set(hours))
         rows = prepared(logs)
         rows = rows.where(folder_of().isin(wanted)) if wanted else rows.limit(0)
-        part, schemas = self._write_all({name: table.of(rows) for name, table in self.tables.items()})
+        part, schemas, mine = self._write_all({name: table.added(rows) for name, table in self.tables.items()})
 
         def change(now: Content) -> Content:
-            out = {}
+            out, gone = {}, set(wanted)
             for name in self.tables:
-                kept = {h: p for h, p in now.get("hours", {}).get(name, {}).items() if h not in wanted}
-                out[name] = kept | dict.fromkeys(self._hours(part, name), part)
-            return now | {"hours": out, "schemas": schemas}
+                kept = {h: p for h, p in self._known(now).get("hours", {}).get(name, {}).items() if h not in gone}
+                out[name] = kept | dict.fromkeys(mine[name], part)
+            return now | {"hours": out, "written": self._sizes(now, out, part, mine), "schemas": schemas}
 
         return self.log.update(change)
 
+    def _newest(self) -> tuple[int, Content]:
+        number, now = self.log.newest()
+        return number, self._known(now)
+
+    def _known(self, now: Content) -> Content:
+        if "hours" in now and "written" not in now:
+            raise ValueError(f"{self.path} has a folder per hour, as older stores had: build it again")
+        return now
+
     @staticmethod
     def _has(now: Content, batch_id: int) -> bool:
         return any(low <= batch_id <= high for low, high in now.get("batches", []))
 
-    def _write_all(self, frames: dict[str, DataFrame]) -> tuple[str, dict[str, str]]:
-        """All tables' rows in folders by hour, the tables side by side."""
-        part = uuid.uuid4().hex
+    @staticmethod
+    def _sizes(now: Content, hours: dict[str, dict[str, str]], part: str, mine: dict[str, list[str]]) -> dict[str, dict[str, int]]:
+        """Of each table the number of hours that were written to each part which ``hours`` names."""
+        sizes = {name: now.get("written", {}).get(name, {}) | {part: len(mine[name])} for name in hours}
+        return {name: {p: sizes[name][p] for p in sorted(set(held.values()))} for name, held in hours.items()}
+
+    def _write_all(self, frames: dict[str, DataFrame]) -> tuple[str, dict[str, str], dict[str, list[str]]]:
+        """All tables' rows as one part, the tables side by side. Returns its name, and of each table the schema and the hours."""
+        part = uuid.uuid4().hex[:16]
         with ThreadPoolExecutor(self.threads) as pool:
-            schemas = dict(zip(frames, pool.map(lambda item: self._write(*item, part), frames.items())))
-        return part, schemas
-
-    def _write(self, name: str, rows: DataFrame, part: str) -> str:
-        keys = self.tables[name].keys
-        spread = F.pmod(F.xxhash64(*keys), F.lit(self.files_per_hour))
-        out = rows.withColumn(FOLDER, folder_of()).repartition(FOLDER, spread).sortWithinPartitions(FOLDER, *keys)
-        out.write.partitionBy(FOLDER).parquet(f"{self.path}/data/{part}/{name}")
-        return T.StructType([f for f in rows.schema]).toDDL()
-
-    def _hours(self, part: str, name: str) -> list[str]:
-        folders = self.log.folders(f"{self.path}/data/{part}/{name}")
-        return [f.removeprefix(f"{FOLDER}=") for f in folders if f.startswith(f"{FOLDER}=")]
+            done = dict(zip(frames, pool.map(lambda item: self._write(*item, part), frames.items())))
+        return part, {name: schema for name, (schema, _) in done.items()}, {name: hours for name, (_, hours) in done.items()}
+
+    def _write(self, name: str, rows: DataFrame, part: str) -> tuple[str, list[str]]:
+        """One row per key in order of hours; those of one hour go to up to ``files_per_hour`` files, which other hours share."""
+        table, path = self.tables[name], f"{self.path}/data/{part}/{name}"
+        spread = F.pmod(F.xxhash64(*table.keys), F.lit(self.files_per_hour))
+        # rows of a key meet in the range of their hour: the aggregate needs no shuffle of its own
+        merged = table.merged(rows.withColumn(SPREAD, spread).repartitionByRange(HOUR, SPREAD), SPREAD)
+        month = F.when(F.col(FOLDER) == NO_HOUR, NO_HOUR).otherwise(F.expr(f"left({FOLDER}, length({FOLDER}) - 4)"))
+        named = merged.withColumn(FOLDER, folder_of()).withColumns({PART: F.lit(part), MONTH: month})
+        named.sortWithinPartitions(MONTH, HOUR, *table.keys).write.partitionBy(MONTH).parquet(path)
+        hours = self.spark.read.schema(f"{FOLDER} STRING").parquet(path).distinct().collect()
+        return merged.schema.toDDL(), sorted(r[0] for r in hours)
 
     # -- reading
 
-    def _read(self, name: str, hours: dict[str, str], schema: str) -> DataFrame:
-        paths = [f"{self.path}/data/{part}/{name}/{FOLDER}={h}" for h, part in sorted(hours.items())]
-        if not paths:
+    def _read(self, name: str, hours: dict[str, str], schema: str, whole: set[str]) -> DataFrame:
+        """The rows of ``hours`` in the parts that hold them. Of the parts ``whole`` all hours between the first and last of ``hours`` are wanted."""
+        if not hours:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*paths)
+        columns = f"{schema}, {FOLDER} STRING, {PART} STRING"
+        out = []
+        for full in (True, False):
+            some = {h: p for h, p in hours.items() if (p in whole) == full}
+            if some:
+                paths = sorted({f"{self.path}/data/{part}/{name}/{MONTH}={month_of(h)}" for h, part in some.items()})
+                rows = self.spark.read.schema(columns).parquet(*paths).where(F.col(FOLDER).between(min(some), max(some)))
+                if not full:
+                    pairs = self.spark.createDataFrame(list(some.items()), f"{FOLDER} STRING, {PART} STRING")
+                    rows = rows.join(F.broadcast(pairs), [FOLDER, PART], "left_semi")
+                out.append(rows.drop(FOLDER, PART))
+        return out[0] if len(out) == 1 else out[0].unionByName(out[1])
 
     def rows(self, name: str, first: str | None = None, last: str | None = None, version: int | None = None) -> DataFrame:
-        """A table's partials in the hours from ``first`` to ``last`` (folder names, both included): only their folders are opened."""
-        now = self.log.newest()[1] if version is None else self.log.read(version)
+        """A table's partials in the hours from ``first`` to ``last`` (names, both included): only the folders of their months are opened."""
+        now = self._known(self.log.newest()[1] if version is None else self.log.read(version))
         if "schemas" not in now:
             raise ValueError(f"nothing is stored in {self.path} yet")
         hours = now["hours"][name]
         dated = first is not None or last is not None
         inside = {h: p for h, p in hours.items() if not (dated and h == NO_HOUR) and (first is None or h >= first) and (last is None or h <= last)}
-        return self._read(name, inside, now["schemas"][name])
+        return self._read(name, inside, now["schemas"][name], whole_parts(hours, now["written"][name]))
 
     def hours(self) -> list[str]:
-        """Folder names of the hours that the store holds."""
+        """Names of the hours that the store holds."""
         return sorted({h for held in self.log.newest()[1].get("hours", {}).values() for h in held})
 
     # -- upkeep
