@@ -5,7 +5,7 @@ import glob
 import pytest
 from pyspark.sql import functions as F
 
-from edgeloom.sinks.rollup_store import TABLES, RollupStore, folder_of, prepared
+from edgeloom.sinks.rollup_store import TABLES, RollupStore, folder_of, half_minute, prepared
 
 FEW = {name: TABLES[name] for name in ("hourly", "clients", "statuses", "status_visitors")}
 HOURS = 24 * 70
@@ -78,3 +78,38 @@ def test_a_store_of_the_older_layout_says_so(spark, tmp_path):
     for use in (lambda: store.rows("hourly"), lambda: store.merge(requests(spark, 1), 1)):
         with pytest.raises(ValueError, match="build it again"):
             use()
+
+
+def test_a_batch_is_read_once_for_all_tables(spark, tmp_path):
+    seen, cached = spark.sparkContext.accumulator(0), spark.sparkContext._jsc.getPersistentRDDs().size()
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    logs, store = requests(spark, 48), RollupStore(spark, str(tmp_path), FEW)
+    rows = logs.mapInArrow(counted, logs.schema)
+    store.merge(rows, 0)
+    assert seen.value == 50 and sum(counts(store).values()) == 50
+    store.merge(rows, 1)
+    assert seen.value == 100 and sum(counts(store).values()) == 100
+    store.replace(rows, store.hours())
+    assert seen.value == 150 and sum(counts(store).values()) == 50
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == cached
+
+
+def test_hours_that_only_some_tables_have(spark, tmp_path):
+    store = RollupStore(spark, str(tmp_path), {"hourly": TABLES["hourly"], "errors": TABLES["errors"]})
+    rows = requests(spark, 10)
+    store.merge(rows.withColumn("status_code", F.when(F.col("req_id") % 2 == 0, 500).otherwise(F.col("status_code"))), 0)
+    store.merge(rows.where("status_code = 200"), 1)
+    hours = store.log.newest()[1]["hours"]
+    assert len(hours["hourly"]) == 11 and sorted(hours["errors"]) == ["2023123100", "2023123102", "2023123104", "2023123106", "2023123108", "none"]
+    assert sum(counts(store, "errors").values()) == 6
+
+
+def test_half_minutes(spark):
+    found = spark.sql("""SELECT TIMESTAMP_NTZ '1969-12-31 23:59:59.999999' AS request_timestamp UNION ALL SELECT TIMESTAMP_NTZ '2024-02-29 00:00:29.999999'
+        UNION ALL SELECT TIMESTAMP_NTZ '2024-03-31 02:30:30' UNION ALL SELECT NULL""").select(half_minute().cast("string").alias("t"))
+    assert {r.t for r in found.collect()} == {"1969-12-31 23:59:30", "2024-02-29 00:00:00", "2024-03-31 02:30:30", None}
