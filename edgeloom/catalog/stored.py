@@ -16,6 +16,8 @@ from edgeloom.streaming import windows
 #: The batches that build the store: the log in three parts, out of order, one of them twice.
 ORDER = (2, 0, 2, 1)
 PARTS = 3
+#: Parts of an hour that readers add up; the batch after them makes one part of all.
+PARTS_PER_HOUR = 4
 _built: dict[tuple[str, str], str] = {}
 
 
@@ -24,7 +26,7 @@ def store_of(t) -> RollupStore:
     key = (t.spark.sparkContext.applicationId, t.directory)
     if key in _built and RollupStore(t.spark, _built[key]).log.numbers():
         return RollupStore(t.spark, _built[key])
-    store = RollupStore(t.spark, workspace.fresh_path(t.spark, "rollups"), files_per_hour=1)
+    store = RollupStore(t.spark, workspace.fresh_path(t.spark, "rollups"), files_per_hour=1, parts_per_hour=PARTS_PER_HOUR)
     for batch in ORDER:
         store.merge(t.logs.where(F.col("req_id") % PARTS == batch), batch)
     _built[key] = store.path

@@ -2,8 +2,8 @@
 
 The store holds partials whose measures all merge exactly: sums at the grain of whole milliseconds, from which
 counts, averages and exact percentiles follow, visitors as rows, and HLL sketches where only a
-window's number of addresses is asked for. A batch is aggregated together with what the
-store has of its hours, in one shuffle, and written as a new part; no other hour is read. Which part holds which hour is in one version file for all tables together (see
+window's number of addresses is asked for. A batch is written as a new part. An hour may lie in up to ``parts_per_hour`` parts, whose
+partials readers add up; a batch that finds an hour in so many makes one part of them, aggregated together in one shuffle. No other hour is read. Which parts hold which hour is in one version file for all tables together (see
 ``versions``), with the batches that are in: a reader sees a batch in all roll-ups or in none, and a batch that comes again counts once.
 
 A part is what one write made of a table: a folder per month, with files in order of hours, as many as the rows need. The number
@@ -31,6 +31,7 @@ HOUR = "hour"
 FOLDER, MONTH, PART, SPREAD = "hour_id", "month_id", "part_id", "_spread"
 NO_HOUR = "none"
 SKETCH_LOG2 = 12
+ROWS_PER_TASK = 250_000
 Content = dict
 
 
@@ -123,15 +124,28 @@ def month_of(hour: str) -> str:
     return hour if hour == NO_HOUR else hour[:-4]
 
 
-def whole_parts(hours: dict[str, str], written: dict[str, int]) -> set[str]:
+def parts_of(now: Content, name: str) -> list[str]:
+    """The parts behind what an hour is mapped to: a part, or the name of several."""
+    return now.get("sets", {}).get(name, [name])
+
+
+def hours_in(now: Content, hours: dict[str, str]) -> Counter:
+    """Of each part the number of ``hours`` that it holds."""
+    out: Counter = Counter()
+    for held, n in Counter(hours.values()).items():
+        out.update(dict.fromkeys(parts_of(now, held), n))
+    return out
+
+
+def whole_parts(now: Content, hours: dict[str, str], written: dict[str, int]) -> set[str]:
     """Parts of which every hour that was written is among ``hours``."""
-    return {part for part, n in Counter(hours.values()).items() if n == written[part]}
+    return {part for part, n in hours_in(now, hours).items() if n == written[part]}
 
 
 class RollupStore:
-    def __init__(self, spark: SparkSession, path: str, tables: dict[str, Partial] = TABLES, files_per_hour: int = 4, threads: int = 4) -> None:
+    def __init__(self, spark: SparkSession, path: str, tables: dict[str, Partial] = TABLES, files_per_hour: int = 4, threads: int = 4, parts_per_hour: int = 1) -> None:
         self.spark, self.path, self.tables = spark, path.rstrip("/"), tables
-        self.files_per_hour, self.threads = files_per_hour, threads
+        self.files_per_hour, self.threads, self.parts_per_hour = files_per_hour, threads, parts_per_hour
         self.log = VersionLog(spark, f"{self.path}/versions")
 
     # -- writing
@@ -142,32 +156,54 @@ class RollupStore:
         number, now = self._newest()
         if self._has(now, batch_id):
             return number
-        with self._held_once(prepared(logs)) as rows:
-            return self._merge(rows, batch_id)
+        with self._held_once(prepared(logs)) as (rows, of_batch):
+            return self._merge(rows, of_batch, batch_id)
 
-    def _merge(self, rows: DataFrame, batch_id: int) -> int:
-        of_batch = self._hours_of(rows)
-        names = sorted(set().union(*of_batch.values()))
-        merged_with, part, schemas, mine = None, "", {}, {}
+    def _merge(self, rows: DataFrame, of_batch: dict[str, set[str]], batch_id: int) -> int:
+        merged_with, part, schemas = None, "", {}
         while True:
             number, now = self._newest()
             if self._has(now, batch_id):
                 return number
             hours = {name: now.get("hours", {}).get(name, {}) for name in self.tables}
-            held = {name: {h: hours[name][h] for h in names if h in hours[name]} for name in self.tables}
+            full = {name: {h: hours[name][h] for h in of_batch[name] if h in hours[name] and self._is_full(now, hours[name][h])} for name in self.tables}
+            held = {name: {h: parts_of(now, held) for h, held in full[name].items()} for name in self.tables}
             if held != merged_with:
-                frames = {name: self._with_held(name, table.added(rows), now, held[name]) for name, table in self.tables.items()}
+                frames = {name: self._frame(name, table, rows, now, full[name]) for name, table in self.tables.items()}
                 part, schemas = self._write_all(frames)
-                merged_with, mine = held, {name: sorted(of_batch[name] | held[name].keys()) for name in self.tables}
-            hours = {name: hours[name] | dict.fromkeys(mine[name], part) for name in self.tables}
-            change = {"hours": hours, "written": self._sizes(now, hours, part, mine), "schemas": schemas}
+                merged_with = held
+            sets, out = dict(now.get("sets", {})), {}
+            for name in self.tables:
+                joined = {held: self._named(sets, [*parts_of(now, held), part]) for held in sorted(set(hours[name].values()))}
+                out[name] = hours[name] | {h: part if h in full[name] or h not in hours[name] else joined[hours[name][h]] for h in of_batch[name]}
+            change = self._state(now | {"sets": sets}, out, part, of_batch) | {"schemas": schemas}
             try:
                 return self.log.commit(number + 1, now | change | {"batches": with_batch(now.get("batches", []), batch_id)})
             except Conflict:  # another batch was first: its hours may be among ours
                 continue
 
+    def _is_full(self, now: Content, held: str) -> bool:
+        return len(parts_of(now, held)) >= self.parts_per_hour
+
+    @staticmethod
+    def _named(sets: dict[str, list[str]], parts: list[str]) -> str:
+        """One name for several parts, so that the hours' entries stay short."""
+        name = next((name for name, known in sets.items() if known == parts), uuid.uuid4().hex[:16])
+        sets[name] = parts
+        return name
+
+    def _frame(self, name: str, table: Partial, rows: DataFrame, now: Content, held: dict[str, str]) -> DataFrame:
+        """One row per key of the batch and the hours ``held``, where rows of a key meet in the range of their hour: no aggregate needs a shuffle of its own."""
+        if not held and self.files_per_hour == 1:
+            return table.of(rows)  # the batch is dealt by hours already
+        rows = self._with_held(name, table.added(rows), now, held)
+        if self.files_per_hour == 1:
+            return table.merged(rows.repartitionByRange(HOUR))
+        spread = F.pmod(F.xxhash64(*table.keys), F.lit(self.files_per_hour))
+        return table.merged(rows.withColumn(SPREAD, spread).repartitionByRange(HOUR, SPREAD), SPREAD)
+
     def _with_held(self, name: str, new: DataFrame, now: Content, held: dict[str, str]) -> DataFrame:
-        return new.unionByName(self._read(name, held, now["schemas"][name], whole_parts(held, now["written"][name]))) if held else new
+        return new.unionByName(self._read(name, held, now, held)) if held else new
 
     def replace(self, logs: DataFrame, hours: Iterable[str]) -> int:
         """Make the ``hours`` (by name) again from ``logs``, which must hold all their requests; an hour without any goes. The way
@@ -175,34 +211,41 @@ class RollupStore:
         wanted = sorted(set(hours))
         rows = prepared(logs)
         rows = rows.where(folder_of().isin(wanted)) if wanted else rows.limit(0)
-        with self._held_once(rows) as rows:
-            mine = {name: sorted(hours) for name, hours in self._hours_of(rows).items()}
-            part, schemas = self._write_all({name: table.added(rows) for name, table in self.tables.items()})
+        with self._held_once(rows) as (rows, mine):
+            part, schemas = self._write_all({name: self._frame(name, table, rows, {}, {}) for name, table in self.tables.items()})
 
         def change(now: Content) -> Content:
             out, gone = {}, set(wanted)
             for name in self.tables:
                 kept = {h: p for h, p in self._known(now).get("hours", {}).get(name, {}).items() if h not in gone}
                 out[name] = kept | dict.fromkeys(mine[name], part)
-            return now | {"hours": out, "written": self._sizes(now, out, part, mine), "schemas": schemas}
+            return now | self._state(now, out, part, mine) | {"schemas": schemas}
 
         return self.log.update(change)
 
     @contextmanager
-    def _held_once(self, rows: DataFrame) -> Iterator[DataFrame]:
-        """Prepared rows with the columns that the tables use, kept by Spark (memory, then disk) until all tables are written:
-        the log is read, and times and classes are worked out, once instead of once per table and sample."""
-        kept = rows.select(HOUR, *[c for c in rows.columns if c != HOUR and any(t.reads(c) for t in self.tables.values())]).persist()
+    def _held_once(self, rows: DataFrame) -> Iterator[tuple[DataFrame, dict[str, set[str]]]]:
+        """Prepared rows with the columns that the tables use, and of each table its hours. Spark keeps the rows (memory, then disk) until all tables are
+        written: the log is read, times and classes are worked out, and rows are dealt by their hours, once instead of once per table and sample."""
+        read = rows.select(HOUR, *[c for c in rows.columns if c != HOUR and any(t.reads(c) for t in self.tables.values())]).persist()
+        dealt = read
         try:
-            yield kept
+            hours, requests = self._hours_of(read)
+            if self.files_per_hour == 1:
+                tasks = max(self.spark.sparkContext.defaultParallelism, requests // ROWS_PER_TASK + 1)
+                dealt = read.repartitionByRange(tasks, HOUR).persist()
+                dealt.count()
+                read.unpersist()
+            yield dealt, hours
         finally:
-            kept.unpersist()
+            dealt.unpersist()
+            read.unpersist()
 
-    def _hours_of(self, rows: DataFrame) -> dict[str, set[str]]:
-        """Of each table the names of the hours to which ``rows`` add something, all in one pass."""
+    def _hours_of(self, rows: DataFrame) -> tuple[dict[str, set[str]], int]:
+        """Of each table the names of the hours to which ``rows`` add something, and the number of rows, all in one pass."""
         used = [F.bool_or(F.expr(table.rows)).alias(f"_{i}") for i, table in enumerate(self.tables.values())]
-        found = rows.groupBy(HOUR).agg(*used).withColumn(FOLDER, folder_of()).drop(HOUR).collect()
-        return {name: {r[FOLDER] for r in found if r[f"_{i}"]} for i, name in enumerate(self.tables)}
+        found = rows.groupBy(HOUR).agg(F.count("*").alias("_n"), *used).withColumn(FOLDER, folder_of()).drop(HOUR).collect()
+        return {name: {r[FOLDER] for r in found if r[f"_{i}"]} for i, name in enumerate(self.tables)}, sum(r["_n"] for r in found)
 
     def _newest(self) -> tuple[int, Content]:
         number, now = self.log.newest()
@@ -218,10 +261,12 @@ class RollupStore:
         return any(low <= batch_id <= high for low, high in now.get("batches", []))
 
     @staticmethod
-    def _sizes(now: Content, hours: dict[str, dict[str, str]], part: str, mine: dict[str, list[str]]) -> dict[str, dict[str, int]]:
-        """Of each table the number of hours that were written to each part which ``hours`` names."""
+    def _state(now: Content, hours: dict[str, dict[str, str]], part: str, mine: dict[str, set[str]]) -> Content:
+        """``hours``, the names of several parts in them, and of each table the number of hours that were written to each part."""
+        sets = {held: parts_of(now, held) for by_hour in hours.values() for held in set(by_hour.values()) if held in now.get("sets", {})}
         sizes = {name: now.get("written", {}).get(name, {}) | {part: len(mine[name])} for name in hours}
-        return {name: {p: sizes[name][p] for p in sorted(set(held.values()))} for name, held in hours.items()}
+        written = {name: {p: sizes[name][p] for p in sorted(hours_in(now, by_hour))} for name, by_hour in hours.items()}
+        return {"hours": hours, "sets": sets, "written": written}
 
     def _write_all(self, frames: dict[str, DataFrame]) -> tuple[str, dict[str, str]]:
         """All tables' rows as one part, the tables side by side. Returns its name, and the schema of each table."""
@@ -231,46 +276,41 @@ class RollupStore:
 
     def _write(self, name: str, rows: DataFrame, part: str) -> str:
         """One row per key in order of hours; those of one hour go to up to ``files_per_hour`` files, which other hours share."""
-        table, path = self.tables[name], f"{self.path}/data/{part}/{name}"
-        # rows of a key meet in the range of their hour: the aggregate needs no shuffle of its own
-        if self.files_per_hour == 1:
-            merged = table.merged(rows.repartitionByRange(HOUR))
-        else:
-            spread = F.pmod(F.xxhash64(*table.keys), F.lit(self.files_per_hour))
-            merged = table.merged(rows.withColumn(SPREAD, spread).repartitionByRange(HOUR, SPREAD), SPREAD)
         month = F.when(F.col(FOLDER) == NO_HOUR, NO_HOUR).otherwise(F.expr(f"left({FOLDER}, length({FOLDER}) - 4)"))
-        named = merged.withColumn(FOLDER, folder_of()).withColumns({PART: F.lit(part), MONTH: month})
-        named.sortWithinPartitions(MONTH, HOUR, *table.keys).write.partitionBy(MONTH).parquet(path)
-        return merged.schema.toDDL()
+        named = rows.withColumn(FOLDER, folder_of()).withColumns({PART: F.lit(part), MONTH: month})
+        named.sortWithinPartitions(MONTH, HOUR, *self.tables[name].keys).write.partitionBy(MONTH).parquet(f"{self.path}/data/{part}/{name}")
+        return rows.schema.toDDL()
 
     # -- reading
 
-    def _read(self, name: str, hours: dict[str, str], schema: str, whole: set[str]) -> DataFrame:
-        """The rows of ``hours`` in the parts that hold them. Of the parts ``whole`` all hours between the first and last of ``hours`` are wanted."""
+    def _read(self, name: str, hours: dict[str, str], now: Content, among: dict[str, str]) -> DataFrame:
+        """The rows of ``hours`` in the parts that hold them, a row per key and part. ``hours`` are all of ``among`` between their first and last."""
         if not hours:
-            return self.spark.createDataFrame([], schema)
-        columns = f"{schema}, {FOLDER} STRING, {PART} STRING"
+            return self.spark.createDataFrame([], now["schemas"][name])
+        columns, whole = f"{now['schemas'][name]}, {FOLDER} STRING, {PART} STRING", whole_parts(now, among, now["written"][name])
         out = []
         for full in (True, False):
-            some = {h: p for h, p in hours.items() if (p in whole) == full}
+            some = [(h, p) for h, held in hours.items() for p in parts_of(now, held) if (p in whole) == full]
             if some:
-                paths = sorted({f"{self.path}/data/{part}/{name}/{MONTH}={month_of(h)}" for h, part in some.items()})
-                rows = self.spark.read.schema(columns).parquet(*paths).where(F.col(FOLDER).between(min(some), max(some)))
+                paths = sorted({f"{self.path}/data/{part}/{name}/{MONTH}={month_of(h)}" for h, part in some})
+                rows = self.spark.read.schema(columns).parquet(*paths).where(F.col(FOLDER).between(min(some)[0], max(some)[0]))
                 if not full:
-                    pairs = self.spark.createDataFrame(list(some.items()), f"{FOLDER} STRING, {PART} STRING")
+                    pairs = self.spark.createDataFrame(some, f"{FOLDER} STRING, {PART} STRING")
                     rows = rows.join(F.broadcast(pairs), [FOLDER, PART], "left_semi")
                 out.append(rows.drop(FOLDER, PART))
         return out[0] if len(out) == 1 else out[0].unionByName(out[1])
 
     def rows(self, name: str, first: str | None = None, last: str | None = None, version: int | None = None) -> DataFrame:
-        """A table's partials in the hours from ``first`` to ``last`` (names, both included): only the folders of their months are opened."""
+        """A table's partials in the hours from ``first`` to ``last`` (names, both included), one row per key: only the folders of their months are opened."""
         now = self._known(self.log.newest()[1] if version is None else self.log.read(version))
         if "schemas" not in now:
             raise ValueError(f"nothing is stored in {self.path} yet")
         hours = now["hours"][name]
         dated = first is not None or last is not None
         inside = {h: p for h, p in hours.items() if not (dated and h == NO_HOUR) and (first is None or h >= first) and (last is None or h <= last)}
-        return self._read(name, inside, now["schemas"][name], whole_parts(hours, now["written"][name]))
+        rows = self._read(name, inside, now, hours)
+        several = any(len(parts_of(now, held)) > 1 for held in set(inside.values()))
+        return self.tables[name].merged(rows) if several else rows
 
     def hours(self) -> list[str]:
         """Names of the hours that the store holds."""
@@ -278,10 +318,14 @@ class RollupStore:
 
     # -- upkeep
 
+    @staticmethod
+    def _parts(now: Content) -> set[str]:
+        return {p for hours in now.get("hours", {}).values() for held in set(hours.values()) for p in parts_of(now, held)}
+
     def vacuum(self, keep_versions: int = 2) -> int:
         """Delete folders that none of the newest versions names, while no batch is being merged. Returns their number."""
         self.log.forget(keep_versions)
-        named = {p for n in self.log.numbers() for held in self.log.read(n).get("hours", {}).values() for p in held.values()}
+        named = {p for n in self.log.numbers() for p in self._parts(self.log.read(n))}
         gone = [p for p in self.log.folders(f"{self.path}/data") if p not in named]
         for part in gone:
             self.log.delete_folder(f"{self.path}/data/{part}")
