@@ -166,7 +166,8 @@ class RollupStore:
             if self._has(now, batch_id):
                 return number
             hours = {name: now.get("hours", {}).get(name, {}) for name in self.tables}
-            full = {name: {h: hours[name][h] for h in of_batch[name] if h in hours[name] and self._is_full(now, hours[name][h])} for name in self.tables}
+            limit = {name: {p for p in set(hours[name].values()) if len(parts_of(now, p)) >= self.parts_per_hour} for name in self.tables}
+            full = {name: {h: hours[name][h] for h in of_batch[name] if hours[name].get(h) in limit[name]} for name in self.tables}
             held = {name: {h: parts_of(now, held) for h, held in full[name].items()} for name in self.tables}
             if held != merged_with:
                 frames = {name: self._frame(name, table, rows, now, full[name]) for name, table in self.tables.items()}
@@ -182,9 +183,6 @@ class RollupStore:
             except Conflict:  # another batch was first: its hours may be among ours
                 continue
 
-    def _is_full(self, now: Content, held: str) -> bool:
-        return len(parts_of(now, held)) >= self.parts_per_hour
-
     @staticmethod
     def _named(sets: dict[str, list[str]], parts: list[str]) -> str:
         """One name for several parts, so that the hours' entries stay short."""
@@ -244,8 +242,8 @@ class RollupStore:
     def _hours_of(self, rows: DataFrame) -> tuple[dict[str, set[str]], int]:
         """Of each table the names of the hours to which ``rows`` add something, and the number of rows, all in one pass."""
         used = [F.bool_or(F.expr(table.rows)).alias(f"_{i}") for i, table in enumerate(self.tables.values())]
-        found = rows.groupBy(HOUR).agg(F.count("*").alias("_n"), *used).withColumn(FOLDER, folder_of()).drop(HOUR).collect()
-        return {name: {r[FOLDER] for r in found if r[f"_{i}"]} for i, name in enumerate(self.tables)}, sum(r["_n"] for r in found)
+        found = rows.groupBy(HOUR).agg(F.count("*").alias("_n"), *used).select(folder_of(), "_n", *[f"_{i}" for i in range(len(used))]).collect()
+        return {name: {r[0] for r in found if r[i + 2]} for i, name in enumerate(self.tables)}, sum(r[1] for r in found)
 
     def _newest(self) -> tuple[int, Content]:
         number, now = self.log.newest()

@@ -1,11 +1,14 @@
 """Stored roll-ups with hours in several parts: readers add them up, a full hour becomes one part, and a batch is dealt once."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 from test_rollup_files import FEW, counts, requests
 from test_rollup_store import all_of
 
 from edgeloom.sinks.rollup_store import TABLES, RollupStore, parts_of, prepared
+from edgeloom.sinks.versions import VersionLog
 
 SOME = FEW | {name: TABLES[name] for name in ("visitors", "errors")}
 
@@ -108,3 +111,17 @@ def test_another_batch_first(spark, one_pass, tmp_path, monkeypatch):
     monkeypatch.setattr(ours.log, "commit", late)
     ours.merge(batch(spark, 0), 0)
     assert all_of(ours, SOME) == one_pass and calls == [2]
+
+
+def test_large_versions_are_packed_and_read_once(spark, tmp_path, monkeypatch):
+    """A store of many hours has a long list of them: what it costs to write and read should not follow its text."""
+    small, large = {"hours": {"a": "ä"}}, {"hours": {f"{h:010d}": "0123456789abcdef" for h in range(100_000)}}
+    log = VersionLog(spark, f"{tmp_path}/versions")
+    log.commit(1, small)
+    log.commit(2, large)
+    sizes = [len(open(f"{tmp_path}/versions/{n:012d}.json").read()) for n in (1, 2)]
+    assert sizes[0] < 40 and sizes[1] < len(json.dumps(large)) / 4
+    again = VersionLog(spark, f"{tmp_path}/versions")
+    assert again.newest() == (2, large) and again.read(1) == small and again.newest() == (2, large)
+    monkeypatch.setattr(again, "_read", lambda n: pytest.fail("read twice"))
+    assert again.newest() == (2, large)
