@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from test_rollup_files import FEW, counts, requests
 from test_rollup_store import all_of
 
-from edgeloom.sinks.rollup_store import TABLES, RollupStore, parts_of, prepared
+from edgeloom.sinks.rollup_store import TABLES, Partial, RollupStore, parts_of, prepared
 from edgeloom.sinks.versions import VersionLog
 
 SOME = FEW | {name: TABLES[name] for name in ("visitors", "errors")}
@@ -125,3 +125,20 @@ def test_large_versions_are_packed_and_read_once(spark, tmp_path, monkeypatch):
     assert again.newest() == (2, large) and again.read(1) == small and again.newest() == (2, large)
     monkeypatch.setattr(again, "_read", lambda n: pytest.fail("read twice"))
     assert again.newest() == (2, large)
+
+
+@pytest.mark.parametrize("files", [1, 2])
+def test_a_batch_is_kept_as_whole_rows(spark, tmp_path, files):
+    """To encode each column of a batch apart, twice, took longer than the rest of its preparation: two columns are kept, and rows come back as they were."""
+    store, logs = RollupStore(spark, str(tmp_path), SOME, files_per_hour=files), prepared(batch(spark, 0))
+    with store._held_once(logs) as (rows, hours):
+        kept = rows._jdf.queryExecution().executedPlan().toString().split("InMemoryTableScan [")[1].split("]")[0]
+        assert len(kept.split(", ")) == 2, kept
+        assert sorted(map(str, rows.collect())) == sorted(map(str, logs.select(rows.columns).collect())) and "none" in hours["hourly"]
+
+
+def test_a_table_that_reads_the_hour_alone(spark, tmp_path):
+    store = RollupStore(spark, str(tmp_path), {"volume": Partial((), {"request_count": "1"})}, files_per_hour=1, parts_per_hour=2)
+    for n in range(3):
+        store.merge(batch(spark, n), n)
+    assert sum(counts(store, "volume").values()) == batch(spark, 0).count() + batch(spark, 1).count() + batch(spark, 2).count()
